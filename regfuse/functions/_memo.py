@@ -1,0 +1,39 @@
+"""Reuse Column expressions built from plain arguments.
+
+Building a Column costs one JVM round trip per function and literal, and a
+register build touches hundreds of them.  Expressions over column *names*
+are session-independent, so a builder called again with the same plain
+arguments returns the Column it built before.
+"""
+
+from __future__ import annotations
+
+import functools
+
+_PLAIN = (str, int, float, bool, type(None))
+
+
+def _plain(v) -> bool:
+    if isinstance(v, _PLAIN):
+        return True
+    if isinstance(v, (tuple, list)):
+        return all(_plain(x) for x in v)
+    return False
+
+
+def memo_column(fn):
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        if not (all(_plain(a) for a in args) and all(_plain(v) for v in kwargs.values())):
+            return fn(*args, **kwargs)
+        key = (args, tuple(sorted((k, tuple(v) if isinstance(v, list) else v) for k, v in kwargs.items())))
+        key = tuple(tuple(a) if isinstance(a, list) else a for a in key[0]), key[1]
+        try:
+            return cache[key]
+        except KeyError:
+            out = cache[key] = fn(*args, **kwargs)
+            return out
+
+    return wrapper

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from regfuse.functions._memo import memo_column
+
 from regfuse.functions.constants import EXCEL_EPOCH_1900
 
 
@@ -18,37 +20,93 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@memo_column
 def serial_to_date(n, epoch: str = EXCEL_EPOCH_1900) -> Column:
     """Excel serial day -> date (fractional part = time of day, dropped)."""
     days = F.floor(_col(n)).cast("int")
     return F.date_add(F.lit(epoch).cast("date"), days)
 
 
-def _pivot_two_digit_year(d: Column) -> Column:
-    # Spark reads 'yy' into 2000..2099; shift 2069..2099 back a century.
-    return F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
+def _date_or_null(y: Column, m: Column, d: Column) -> Column:
+    """make_date without exceptions: NULL unless (y, m, d) is a calendar day."""
+    ok = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
+    last = F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
+    return F.when(ok, F.when(d <= last, F.make_date(y, m, d)))
 
 
-def parse_date_text(c) -> Column:
-    """Free-text date -> date, or NULL when no order yields a valid date."""
+def _pivot(yy: Column) -> Column:
+    """Two-digit year: 69..99 -> 19xx, 00..68 -> 20xx."""
+    return F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
+
+
+@memo_column
+def date_text_shape(c) -> Column:
+    """Digits-and-slashes form of a date text: runs of non-digits become one
+    ``/``, ends trimmed, a trailing time of day dropped."""
     t = F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
     v = F.regexp_replace(F.regexp_replace(t, "[^0-9]+", "/"), "^/+|/+$", "")
-    # a trailing time of day (``2020-01-02 00:00:00``) is dropped
-    v = F.regexp_replace(v, r"^([0-9]+/[0-9]+/[0-9]+)(/[0-9]{1,2}){2,3}$", "$1")
-    serial = F.when(
-        t.rlike("^[0-9]{5}(\\.[0-9]+)?$"), serial_to_date(t.try_cast("double"))
-    )
-    return F.coalesce(
-        serial,
-        F.try_to_date(v, F.lit("d/M/yyyy")),
-        _pivot_two_digit_year(F.try_to_date(v, F.lit("d/M/yy"))),
-        F.try_to_date(v, F.lit("ddMMyyyy")),
-        F.try_to_date(v, F.lit("yyyy/M/d")),
-        F.try_to_date(v, F.lit("yyyyMMdd")),
-        F.try_to_date(v, F.lit("M/d/yyyy")),
-        _pivot_two_digit_year(F.try_to_date(v, F.lit("yy/M/d"))),
-        _pivot_two_digit_year(F.try_to_date(v, F.lit("M/d/yy"))),
+    return F.regexp_replace(v, r"^([0-9]+/[0-9]+/[0-9]+)(/[0-9]{1,2}){2,3}$", "$1")
+
+
+@memo_column
+def parse_date_shape(shape, squished=None) -> Column:
+    """Date from a ``date_text_shape`` value; ``squished`` (the trimmed text)
+    enables the 5-digit serial rule.
+
+    Orders, first valid wins (each applies only to its shape):
+    d/m/yyyy, d/m/yy, ddmmyyyy, yyyy/m/d, yyyymmdd, m/d/yyyy, yy/m/d, m/d/yy.
+    Calendar validity is checked arithmetically - no parser exceptions per row.
+    """
+    s = _col(shape)
+    parts = F.split(s, "/")
+    p = [F.element_at(parts, i).try_cast("int") for i in (1, 2, 3)]
+    ln = [F.length(F.element_at(parts, i)) for i in (1, 2, 3)]
+    three = F.size(parts) == 3
+    short = [ln[i].between(1, 2) for i in range(3)]
+    eight = s.rlike("^[0-9]{8}$")
+
+    def sub(pos, n):
+        return F.substring(s, pos, n).try_cast("int")
+
+    tries = []
+    if squished is not None:
+        t = _col(squished)
+        tries.append(F.when(t.rlike("^[0-9]{5}(\\.[0-9]+)?$"), serial_to_date(t.try_cast("double"))))
+    tries += [
+        F.when(three & short[0] & short[1] & (ln[2] == 4), _date_or_null(p[2], p[1], p[0])),
+        F.when(three & short[0] & short[1] & (ln[2] == 2), _date_or_null(_pivot(p[2]), p[1], p[0])),
+        F.when(eight, _date_or_null(sub(5, 4), sub(3, 2), sub(1, 2))),
+        F.when(three & (ln[0] == 4) & short[1] & short[2], _date_or_null(p[0], p[1], p[2])),
+        F.when(eight, _date_or_null(sub(1, 4), sub(5, 2), sub(7, 2))),
+        F.when(three & short[0] & short[1] & (ln[2] == 4), _date_or_null(p[2], p[0], p[1])),
+        F.when(three & (ln[0] == 2) & short[1] & short[2], _date_or_null(_pivot(p[0]), p[1], p[2])),
+        F.when(three & short[0] & short[1] & (ln[2] == 2), _date_or_null(_pivot(p[2]), p[0], p[1])),
+    ]
+    return F.coalesce(*tries)
+
+
+def parse_date_text(c) -> Column:
+    """Free-text date -> date, or NULL when no order yields a valid date.
+
+    The shape is bound once through a lambda, so the expression stays small
+    wherever it is used.  Pipelines should prefer ``with_parsed_date``, which
+    materialises the shape in a projection and keeps everything in generated
+    code."""
+    squished = F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
+    bound = F.array(F.struct(date_text_shape(c).alias("s"), squished.alias("t")))
+    return F.transform(bound, lambda r: parse_date_shape(r["s"], r["t"]))[0]
+
+
+def with_parsed_date(df, text_col: str, out_col: str):
+    """``df`` plus ``out_col`` = date parsed from ``text_col`` (staged)."""
+    tmp_s, tmp_t = f"_{out_col}_shape", f"_{out_col}_sq"
+    staged = df.withColumns(
+        {
+            tmp_s: date_text_shape(text_col),
+            tmp_t: F.trim(F.regexp_replace(F.col(text_col), r"(?U)\s+", " ")),
+        }
     )
+    return staged.withColumn(out_col, parse_date_shape(tmp_s, tmp_t)).drop(tmp_s, tmp_t)
 
 
 def cell_date(cell_type, text, num, ts, epoch: str = EXCEL_EPOCH_1900) -> Column:

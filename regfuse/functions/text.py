@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from regfuse.functions._memo import memo_column
+
 from regfuse.functions.constants import MINISTRY_RULES, TRANSLIT_FROM, TRANSLIT_TO
 
 
@@ -17,6 +19,7 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@memo_column
 def normalize_name(c) -> Column:
     """ASCII-fold, lower-case, collapse runs of non ``[a-z0-9]`` into ``_``,
     strip one leading and one trailing ``_``.  NULL stays NULL."""
@@ -26,15 +29,18 @@ def normalize_name(c) -> Column:
     return F.regexp_replace(x, "^_|_$", "")
 
 
+@memo_column
 def as_text(c) -> Column:
     """Trim and squish whitespace (Unicode aware, so NBSP counts)."""
     return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
 
 
+@memo_column
 def blank_to_null(c) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
+@memo_column
 def num_to_text(c) -> Column:
     """Exact text of a numeric cell: integral values without a fraction,
     no scientific notation (``2.1e11`` -> ``210000000000``)."""
@@ -44,16 +50,19 @@ def num_to_text(c) -> Column:
     return F.when(x == F.floor(x), integral).otherwise(frac)
 
 
+@memo_column
 def normalize_rut(c) -> Column:
     """Keep digits only; empty -> NULL."""
     return F.nullif(F.regexp_replace(_col(c), "[^0-9]", ""), F.lit(""))
 
 
+@memo_column
 def normalize_codigo(c) -> Column:
     """Squish, strip one trailing ``.0``; empty -> NULL."""
     return F.nullif(F.regexp_replace(as_text(c), r"\.0$", ""), F.lit(""))
 
 
+@memo_column
 def classify_ministerio(normalized, squished, rules=MINISTRY_RULES) -> Column:
     """Rule classification over a precomputed ``normalize_name(as_text(x))``
     (``normalized``) and ``as_text(x)`` (``squished``).
@@ -78,21 +87,25 @@ def normalize_ministerio(c, rules=MINISTRY_RULES) -> Column:
     return classify_ministerio(normalize_name(as_text(c)), as_text(c), rules)
 
 
+@memo_column
 def has_text(c) -> Column:
     """True when ``as_text(c)`` would be non-blank (cheap: one regex find)."""
     return F.coalesce(_col(c).rlike(r"(?U)\S"), F.lit(False))
 
 
+@memo_column
 def tramo_clean(c) -> Column:
     """Normalised tranche; the one column where NULL folds to ``''``."""
     return normalize_name(F.coalesce(_col(c), F.lit("")))
 
 
+@memo_column
 def es_ampliacion(tramo_clean_col) -> Column:
     """A tranche is an extension when its clean text contains ``ampl``."""
     return _col(tramo_clean_col).contains("ampl")
 
 
+@memo_column
 def composite_key(a, b, sep: str = "::") -> Column:
     """``a || sep || b``; NULL when either part is NULL (``concat`` propagates)."""
     return F.concat(_col(a), F.lit(sep), _col(b))

@@ -7,116 +7,5 @@ DuckDB SQL over the same tables, with identical column names.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from regfuse.operators import consolidate, linkage, reports
-from regfuse.plans import oracle as O
-from regfuse.plans import standins
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return deco
-
-
-# --------------------------------------------------------------------------
-# linkage family
-# --------------------------------------------------------------------------
-
-def _auth(spark, sf_dir, with_ids=False, sort=False):
-    p, r = standins.registers(spark, sf_dir)
-    return consolidate.authoritative(p, r, with_ids=with_ids, sort=sort)
-
-
-@register("linkage_audit", f"""WITH {O.linkage_cte()}
-SELECT match_method, source, count(*) AS rows FROM auth GROUP BY match_method, source
-ORDER BY match_method, source""")
-def q_linkage_audit(spark, sf_dir):
-    return reports.linkage_audit(_auth(spark, sf_dir))
-
-
-@register("authoritative", f"""WITH {O.linkage_cte()}
-SELECT * FROM auth ORDER BY rut NULLS LAST, codigo_comap NULLS LAST, fecha_presentado NULLS LAST,
-         tramo NULLS LAST, project_row_id""")
-def q_authoritative(spark, sf_dir):
-    return _auth(spark, sf_dir, with_ids=True, sort=True)
-
-
-@register("summary_by_group", f"""WITH {O.linkage_cte()}
-SELECT coalesce(ministerio_evaluador, 'SIN_DATO') AS ministerio_evaluador,
-       count(*) AS filas,
-       count(DISTINCT project_key) AS proyectos,
-       count(*) FILTER (WHERE es_ampliacion) AS ampliaciones,
-       count(DISTINCT project_key) FILTER (WHERE has_benefits) AS proyectos_con_beneficios,
-       count(*) FILTER (WHERE has_benefits) AS filas_con_beneficios,
-       round(coalesce(sum(monto_ui_beneficios), 0.0), 2) AS monto_ui_beneficios,
-       round(coalesce(sum(monto_ui_presentado), 0.0), 2) AS monto_ui_presentado
-FROM auth GROUP BY 1 ORDER BY monto_ui_beneficios DESC, ministerio_evaluador""")
-def q_summary_by_group(spark, sf_dir):
-    return reports.summary_by_group(_auth(spark, sf_dir))
-
-
-@register("unlinked_recommended", f"""WITH {O.registers_cte()}
-SELECT r.project_key, r.tramo_clean, r.fecha_recomendado, r.regimen, r.monto_ui
-FROM rec r
-WHERE r.project_key IS NOT NULL
-  AND EXISTS (SELECT 1 FROM pres p WHERE p.project_key = r.project_key)
-  AND NOT EXISTS (SELECT 1 FROM pres p WHERE p.project_key = r.project_key
-                  AND p.tramo_clean = r.tramo_clean AND p.tramo_clean <> '')
-  AND (SELECT count(*) FROM rec r2 WHERE r2.project_key = r.project_key) > 1""")
-def q_unlinked_recommended(spark, sf_dir):
-    p, r = standins.registers(spark, sf_dir)
-    return linkage.unlinked_recommended(p, r).select(
-        "project_key", "tramo_clean", "fecha_recomendado", "regimen", "monto_ui"
-    )
-
-
-@register("exact_rollup", f"""WITH {O.linkage_cte()}
-SELECT * FROM exact""")
-def q_exact_rollup(spark, sf_dir):
-    return linkage.exact_rollup(standins.recommended_register(spark, sf_dir))
-
-
-@register("project_rollup", f"""WITH {O.linkage_cte()}
-SELECT * FROM proj""")
-def q_project_rollup(spark, sf_dir):
-    return linkage.project_rollup(standins.recommended_register(spark, sf_dir))
-
-
-@register("recommended_only", f"""WITH {O.linkage_cte()}
-SELECT project_key, rut, codigo_comap, tramo_clean, fecha_recomendado, regimen, monto_ui,
-       recommended_tramos, match_method FROM ronly""")
-def q_recommended_only(spark, sf_dir):
-    p, r = standins.registers(spark, sf_dir)
-    return linkage.recommended_only(p, r).select(
-        "project_key", "rut", "codigo_comap", "tramo_clean", "fecha_recomendado", "regimen",
-        "monto_ui", "recommended_tramos", "match_method",
-    )
-
-
-@register("fallback_unique", f"""WITH {O.linkage_cte()}
-SELECT ord AS presentado_order, project_key, tramo_clean, fecha_recomendado, regimen_recomendado,
-       monto_ui_recomendado, ministerio_recomendado, recommended_rows_project
-FROM linked WHERE match_method = 'rut_codigo_unique'""")
-def q_fallback_unique(spark, sf_dir):
-    p, r = standins.registers(spark, sf_dir)
-    return (
-        linkage.link_presented(p, r)
-        .where(F.col("match_method") == "rut_codigo_unique")
-        .select(
-            F.col("_order").alias("presentado_order"), "project_key", "tramo_clean",
-            "fecha_recomendado", "regimen_recomendado", "monto_ui_recomendado",
-            "ministerio_recomendado", "recommended_rows_project",
-        )
-    )
+from regfuse.plans import queries_functions, queries_linkage  # noqa: F401  (registration)
+from regfuse.plans.registry import ORACLE, QUERIES  # noqa: F401

@@ -20,8 +20,17 @@ def norm_name(e: str) -> str:
     return f"regexp_replace({x}, '^_|_$', '', 'g')"
 
 
+# Unicode White_Space, as Java's (?U)\s sees it
+WS = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def as_text(e: str) -> str:
-    return f"trim(regexp_replace({e}, '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({e}, '{WS}+', ' ', 'g'))"
+
+
+def upper_full(e: str) -> str:
+    """Upper case with full case mapping of sharp s, as the JVM does."""
+    return f"upper(replace({e}, 'ß', 'SS'))"
 
 
 def norm_rut(e: str) -> str:
@@ -35,7 +44,7 @@ def norm_codigo(e: str) -> str:
 def norm_ministerio(e: str) -> str:
     n = norm_name(as_text(e))
     arms = " ".join(f"WHEN regexp_matches({n}, {q(p)}) THEN {q(label)}" for label, p in MINISTRY_RULES)
-    return f"(CASE {arms} ELSE upper({as_text(e)}) END)"
+    return f"(CASE {arms} ELSE {upper_full(as_text(e))} END)"
 
 
 def tramo_clean(e: str) -> str:
@@ -197,3 +206,46 @@ auth AS (
            source_file, source_sheet, CAST(source_row AS BIGINT) AS source_row
     FROM u
 )"""
+
+
+def num_to_text(e: str) -> str:
+    return (f"(CASE WHEN {e} = floor({e}) THEN CAST(CAST({e} AS DECIMAL(38,0)) AS VARCHAR) "
+            f"ELSE rtrim(CAST(CAST({e} AS DECIMAL(38,10)) AS VARCHAR), '0') END)")
+
+
+_NUM_PAT = {
+    "comma": r"^[^-0-9,]*(-?[0-9.]*(?:[,][0-9.]*)?(?:[eE][+-]?[0-9]+)?)",
+    "dot": r"^[^-0-9.]*(-?[0-9,]*(?:[.][0-9,]*)?(?:[eE][+-]?[0-9]+)?)",
+}
+
+
+def parse_number(e: str, locale: str) -> str:
+    raw = f"nullif(regexp_extract({e}, {q(_NUM_PAT[locale])}, 1), '')"
+    if locale == "comma":
+        clean = f"replace(replace({raw}, '.', ''), ',', '.')"
+    else:
+        clean = f"replace({raw}, ',', '')"
+    return f"TRY_CAST({clean} AS DOUBLE)"
+
+
+_DATE_ORDERS = [
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%d/%m/%Y"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$", "%d/%m/%y"),
+    (r"^[0-9]{8}$", "%d%m%Y"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "%Y/%m/%d"),
+    (r"^[0-9]{8}$", "%Y%m%d"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%m/%d/%Y"),
+    (r"^[0-9]{2}/[0-9]{1,2}/[0-9]{1,2}$", "%y/%m/%d"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$", "%m/%d/%y"),
+]
+
+
+def parse_date_text(e: str) -> str:
+    t = as_text(e)
+    v = f"regexp_replace(regexp_replace({t}, '[^0-9]+', '/', 'g'), '^/+|/+$', '', 'g')"
+    v = f"regexp_replace({v}, '^([0-9]+/[0-9]+/[0-9]+)(/[0-9]{{1,2}}){{2,3}}$', '\\1')"
+    arms = [f"CASE WHEN regexp_matches({t}, '^[0-9]{{5}}([.][0-9]+)?$') "
+            f"THEN DATE '1899-12-30' + CAST(floor(CAST({t} AS DOUBLE)) AS INTEGER) END"]
+    for guard, fmt in _DATE_ORDERS:
+        arms.append(f"CASE WHEN regexp_matches({v}, {q(guard)}) THEN CAST(try_strptime({v}, {q(fmt)}) AS DATE) END")
+    return "coalesce(" + ", ".join(arms) + ")"
