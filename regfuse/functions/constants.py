@@ -69,4 +69,4 @@ CANONICAL_FIELDS = list(COLUMN_ALIASES)
 
 PREVIEW_ROWS = 25          # header search window
 MIN_HEADER_SCORE = 2       # below this the first non-empty row is the header
-EXCEL_MAX_ROWS_BITS = 20   # 1,048,576 rows per sheet
+ROW_BITS = 32             # row slot of the (file, row) order key; a sheet has <= 2**20 rows

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regfuse.functions.constants import EXCEL_MAX_ROWS_BITS
+from regfuse.functions.constants import ROW_BITS
 from regfuse.session import checkpoint_dir
 
 _POS_MASK = (1 << 33) - 1
@@ -58,8 +58,8 @@ def dense_row_ids(df: DataFrame, order_cols, id_col: str = "row_id", num_partiti
 def cell_order_key(file_rank, row_idx):
     """Unique, order-preserving bigint for (file order, sheet row).
 
-    A sheet has at most 2**20 rows, so ``file_rank << 20 | row`` never
+    Rows fit in the low 32 bits (a sheet has at most 2**20), so ``file_rank << 32 | row`` never
     collides and sorts like (file, row)."""
     fr = F.col(file_rank) if isinstance(file_rank, str) else file_rank
     ri = F.col(row_idx) if isinstance(row_idx, str) else row_idx
-    return F.shiftleft(fr.cast("bigint"), EXCEL_MAX_ROWS_BITS) + ri.cast("bigint")
+    return F.shiftleft(fr.cast("bigint"), ROW_BITS) + ri.cast("bigint")
