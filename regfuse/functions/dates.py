@@ -27,11 +27,15 @@ def serial_to_date(n, epoch: str = EXCEL_EPOCH_1900) -> Column:
     return F.date_add(F.lit(epoch).cast("date"), days)
 
 
-def _date_or_null(y: Column, m: Column, d: Column) -> Column:
-    """make_date without exceptions: NULL unless (y, m, d) is a calendar day."""
-    ok = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
-    last = F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
-    return F.when(ok, F.when(d <= last, F.make_date(y, m, d)))
+def _days_in_month(y: Column, m: Column) -> Column:
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    feb = F.when(leap, F.lit(29)).otherwise(F.lit(28))
+    return F.when(m == 2, feb).when(m.isin(4, 6, 9, 11), F.lit(30)).otherwise(F.lit(31))
+
+
+def _valid(y: Column, m: Column, d: Column) -> Column:
+    """(y, m, d) is a calendar day - pure integer arithmetic, no exceptions."""
+    return y.between(1, 9999) & m.between(1, 12) & d.between(1, 31) & (d <= _days_in_month(y, m))
 
 
 def _pivot(yy: Column) -> Column:
@@ -48,65 +52,117 @@ def date_text_shape(c) -> Column:
     return F.regexp_replace(v, r"^([0-9]+/[0-9]+/[0-9]+)(/[0-9]{1,2}){2,3}$", "$1")
 
 
-@memo_column
-def parse_date_shape(shape, squished=None) -> Column:
-    """Date from a ``date_text_shape`` value; ``squished`` (the trimmed text)
-    enables the 5-digit serial rule.
-
-    Orders, first valid wins (each applies only to its shape):
-    d/m/yyyy, d/m/yy, ddmmyyyy, yyyy/m/d, yyyymmdd, m/d/yyyy, yy/m/d, m/d/yy.
-    Calendar validity is checked arithmetically - no parser exceptions per row.
-    """
-    s = _col(shape)
-    parts = F.split(s, "/")
-    p = [F.element_at(parts, i).try_cast("int") for i in (1, 2, 3)]
-    ln = [F.length(F.element_at(parts, i)) for i in (1, 2, 3)]
-    three = F.size(parts) == 3
-    short = [ln[i].between(1, 2) for i in range(3)]
-    eight = s.rlike("^[0-9]{8}$")
+# Parts of a shape, as plain columns: three slash-separated numbers with their
+# digit counts, or the three ways an 8-digit run splits.
+_PART_COLS = ["_a", "_b", "_c", "_la", "_lb", "_lc", "_e8", "_dd", "_mm", "_yyyy"]
 
-    def sub(pos, n):
-        return F.substring(s, pos, n).try_cast("int")
 
-    tries = []
-    if squished is not None:
-        t = _col(squished)
-        tries.append(F.when(t.rlike("^[0-9]{5}(\\.[0-9]+)?$"), serial_to_date(t.try_cast("double"))))
-    tries += [
-        F.when(three & short[0] & short[1] & (ln[2] == 4), _date_or_null(p[2], p[1], p[0])),
-        F.when(three & short[0] & short[1] & (ln[2] == 2), _date_or_null(_pivot(p[2]), p[1], p[0])),
-        F.when(eight, _date_or_null(sub(5, 4), sub(3, 2), sub(1, 2))),
-        F.when(three & (ln[0] == 4) & short[1] & short[2], _date_or_null(p[0], p[1], p[2])),
-        F.when(eight, _date_or_null(sub(1, 4), sub(5, 2), sub(7, 2))),
-        F.when(three & short[0] & short[1] & (ln[2] == 4), _date_or_null(p[2], p[0], p[1])),
-        F.when(three & (ln[0] == 2) & short[1] & short[2], _date_or_null(_pivot(p[0]), p[1], p[2])),
-        F.when(three & short[0] & short[1] & (ln[2] == 2), _date_or_null(_pivot(p[2]), p[0], p[1])),
+def _shape_parts(shape: Column) -> dict[str, Column]:
+    parts = F.split(shape, "/")
+    three = F.size(parts) == 3
+    out = {}
+    for name, i in (("a", 1), ("b", 2), ("c", 3)):
+        piece = F.when(three, F.element_at(parts, i))
+        out[f"_{name}"] = piece.try_cast("int")
+        out[f"_l{name}"] = F.length(piece)
+    eight = shape.rlike("^[0-9]{8}$")
+    out["_e8"] = eight
+    out["_dd"] = F.when(eight, F.substring(shape, 1, 4).try_cast("int"))   # ddMM (or yyyy)
+    out["_mm"] = F.when(eight, F.substring(shape, 5, 2).try_cast("int"))   # yy.. (or MM)
+    out["_yyyy"] = F.when(eight, F.substring(shape, 5, 4).try_cast("int"))
+    return out
+
+
+def _date_from_parts(a, b, c, la, lb, lc, e8, h4, m2, t4, squished=None) -> Column:
+    """First valid reading, in order: d/m/yyyy, d/m/yy, ddmmyyyy, yyyy/m/d,
+    yyyymmdd, m/d/yyyy, yy/m/d, m/d/yy (each only for texts of its shape)."""
+    short_ab = la.between(1, 2) & lb.between(1, 2)
+    # 8 digits: h4 = first four digits, t4 = last four, m2 = digits 5-6
+    dd8, mm8, yy8 = (h4 / 100).cast("int"), h4 % 100, t4
+    y8, mo8, d8 = h4, m2, t4 % 100
+    cands = [
+        (short_ab & (lc == 4), c, b, a),
+        (short_ab & (lc == 2), _pivot(c), b, a),
+        (e8, yy8, mm8, dd8),
+        ((la == 4) & lb.between(1, 2) & lc.between(1, 2), a, b, c),
+        (e8, y8, mo8, d8),
+        (short_ab & (lc == 4), c, a, b),
+        ((la == 2) & lb.between(1, 2) & lc.between(1, 2), _pivot(a), b, c),
+        (short_ab & (lc == 2), _pivot(c), a, b),
     ]
-    return F.coalesce(*tries)
+    out = None
+    if squished is not None:
+        sq = squished
+        out = F.when(sq.rlike("^[0-9]{5}(\\.[0-9]+)?$"), serial_to_date(sq.try_cast("double")))
+    for cond, y, m, d in cands:
+        ok = F.coalesce(cond & _valid(y, m, d), F.lit(False))
+        out = F.when(ok, F.make_date(y, m, d)) if out is None else out.when(ok, F.make_date(y, m, d))
+    return out
 
 
 def parse_date_text(c) -> Column:
     """Free-text date -> date, or NULL when no order yields a valid date.
 
-    The shape is bound once through a lambda, so the expression stays small
-    wherever it is used.  Pipelines should prefer ``with_parsed_date``, which
-    materialises the shape in a projection and keeps everything in generated
-    code."""
+    The shape parts are bound once through a lambda so the expression stays
+    small wherever it is used.  Pipelines should prefer ``with_parsed_date``,
+    which materialises them in projections and stays in generated code."""
     squished = F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
-    bound = F.array(F.struct(date_text_shape(c).alias("s"), squished.alias("t")))
-    return F.transform(bound, lambda r: parse_date_shape(r["s"], r["t"]))[0]
+    shape = date_text_shape(c)
+    p = _shape_parts(shape)
+    bound = F.array(F.struct(*[v.alias(k) for k, v in p.items()], squished.alias("_sq")))
+    return F.transform(
+        bound,
+        lambda r: _date_from_parts(r["_a"], r["_b"], r["_c"], r["_la"], r["_lb"], r["_lc"], r["_e8"],
+                                   r["_dd"], r["_mm"], r["_yyyy"], r["_sq"]),
+    )[0]
+
+
+def _valid_sql(y: str, m: str, d: str) -> str:
+    leap = f"(({y}) % 4 = 0 AND ({y}) % 100 <> 0 OR ({y}) % 400 = 0)"
+    dim = f"CASE WHEN ({m}) = 2 THEN CASE WHEN {leap} THEN 29 ELSE 28 END WHEN ({m}) IN (4, 6, 9, 11) THEN 30 ELSE 31 END"
+    return (f"({y}) BETWEEN 1 AND 9999 AND ({m}) BETWEEN 1 AND 12 AND ({d}) BETWEEN 1 AND 31 "
+            f"AND ({d}) <= {dim}")
+
+
+def _date_from_parts_sql(a, b, c, la, lb, lc, e8, h4, m2, t4, sq) -> str:
+    """SQL text of ``_date_from_parts`` over column names (one expression,
+    parsed on the JVM side: building it costs one call, not hundreds)."""
+    def piv(x):
+        return f"(CASE WHEN {x} >= 69 THEN {x} + 1900 ELSE {x} + 2000 END)"
+
+    short_ab = f"{la} BETWEEN 1 AND 2 AND {lb} BETWEEN 1 AND 2"
+    cands = [
+        (f"{short_ab} AND {lc} = 4", c, b, a),
+        (f"{short_ab} AND {lc} = 2", piv(c), b, a),
+        (e8, t4, f"{h4} % 100", f"{h4} div 100"),
+        (f"{la} = 4 AND {lb} BETWEEN 1 AND 2 AND {lc} BETWEEN 1 AND 2", a, b, c),
+        (e8, h4, m2, f"{t4} % 100"),
+        (f"{short_ab} AND {lc} = 4", c, a, b),
+        (f"{la} = 2 AND {lb} BETWEEN 1 AND 2 AND {lc} BETWEEN 1 AND 2", piv(a), b, c),
+        (f"{short_ab} AND {lc} = 2", piv(c), a, b),
+    ]
+    arms = [f"WHEN {sq} RLIKE '^[0-9]{{5}}([.][0-9]+)?$' "
+            f"THEN date_add(DATE'1899-12-30', CAST(floor(try_cast({sq} AS DOUBLE)) AS INT))"]
+    for cond, y, m, d in cands:
+        arms.append(f"WHEN coalesce(({cond}) AND {_valid_sql(y, m, d)}, false) THEN make_date({y}, {m}, {d})")
+    return "CASE " + " ".join(arms) + " END"
 
 
 def with_parsed_date(df, text_col: str, out_col: str):
-    """``df`` plus ``out_col`` = date parsed from ``text_col`` (staged)."""
-    tmp_s, tmp_t = f"_{out_col}_shape", f"_{out_col}_sq"
+    """``df`` plus ``out_col`` = date parsed from ``text_col``, in three small
+    projections (shape -> parts -> date), all in generated code."""
+    pre = f"_{out_col}"
     staged = df.withColumns(
         {
-            tmp_s: date_text_shape(text_col),
-            tmp_t: F.trim(F.regexp_replace(F.col(text_col), r"(?U)\s+", " ")),
+            f"{pre}_shape": date_text_shape(text_col),
+            f"{pre}_sq": F.trim(F.regexp_replace(F.col(text_col), r"(?U)\s+", " ")),
         }
     )
-    return staged.withColumn(out_col, parse_date_shape(tmp_s, tmp_t)).drop(tmp_s, tmp_t)
+    parts = _shape_parts(F.col(f"{pre}_shape"))
+    staged = staged.withColumns({f"{pre}{k}": v for k, v in parts.items()})
+    names = [f"`{pre}{k}`" for k in _PART_COLS] + [f"`{pre}_sq`"]
+    staged = staged.withColumn(out_col, F.expr(_date_from_parts_sql(*names)))
+    return staged.drop(f"{pre}_shape", f"{pre}_sq", *[f"{pre}{k}" for k in _PART_COLS])
 
 
 def cell_date(cell_type, text, num, ts, epoch: str = EXCEL_EPOCH_1900) -> Column:

@@ -214,8 +214,8 @@ DEFAULT_METRICS = {
     "proyectos": "count(DISTINCT project_key)",
     "proyectos_promovidos": "count(DISTINCT CASE WHEN has_benefits THEN project_key END)",
     "ampliaciones": "count_if(es_ampliacion)",
-    "monto_ui_beneficios": "round(coalesce(sum(monto_ui_beneficios), 0D), 2)",
-    "monto_ui_presentado": "round(coalesce(sum(monto_ui_presentado), 0D), 2)",
+    "monto_ui_beneficios": "round(coalesce(sum(monto_ui_beneficios), CAST(0 AS DOUBLE)), 2)",
+    "monto_ui_presentado": "round(coalesce(sum(monto_ui_presentado), CAST(0 AS DOUBLE)), 2)",
 }
 
 

@@ -9,6 +9,7 @@ table; the few title and header rows are layout configuration.
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +94,7 @@ def _date(c: Column) -> Column:
                     F.lit(None).cast("double").alias("num"), c.cast("timestamp_ntz").alias("ts"))
 
 
+@functools.lru_cache(maxsize=None)
 def cell_of(kind: str) -> Column:
     """Cell struct for one kind of synthetic value (NULL -> no cell)."""
     ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -130,29 +132,26 @@ def cell_of(kind: str) -> Column:
 
 
 def _data_cells(layout) -> Column:
-    entries = [F.struct(F.lit(i).alias("k"), cell_of(kind).alias("v")) for i, (_, _, kind) in enumerate(layout["columns"], 1)]
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["v"].isNotNull()))
+    # a NULL value stands for an empty cell; every reader skips it
+    keys = [F.lit(i) for i in range(1, len(layout["columns"]) + 1)]
+    return F.map_from_arrays(F.array(*keys), F.array(*[cell_of(kind) for _, _, kind in layout["columns"]]))
 
 
 def data_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One data row per order, in the layout of its priority's workbook."""
     o = table(spark, sf_dir, "orders",
               ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    p = F.col("o_orderpriority")
-    path = sheet = sheet_idx = row = cells = None
+    out = None
     for prio, lay in LAYOUTS.items():
-        cond = p == prio
-        r = F.lit(lay["header_row"] + 1) + F.col("o_orderkey")
-        if path is None:
-            path, sheet = F.when(cond, F.lit(lay["path"])), F.when(cond, F.lit(lay["sheet"]))
-            sheet_idx, row, cells = F.when(cond, F.lit(lay["sheet_idx"])), F.when(cond, r), F.when(cond, _data_cells(lay))
-        else:
-            path, sheet = path.when(cond, F.lit(lay["path"])), sheet.when(cond, F.lit(lay["sheet"]))
-            sheet_idx, row, cells = sheet_idx.when(cond, F.lit(lay["sheet_idx"])), row.when(cond, r), cells.when(cond, _data_cells(lay))
-    return o.select(
-        path.alias("source_path"), sheet.alias("source_sheet"), sheet_idx.cast("int").alias("sheet_idx"),
-        row.cast("int").alias("row_idx"), cells.alias("cells"),
-    ).where(F.col("source_path").isNotNull())
+        part = o.where(F.col("o_orderpriority") == prio).select(
+            F.lit(lay["path"]).alias("source_path"),
+            F.lit(lay["sheet"]).alias("source_sheet"),
+            F.lit(lay["sheet_idx"]).cast("int").alias("sheet_idx"),
+            (F.lit(lay["header_row"] + 1) + F.col("o_orderkey")).cast("int").alias("row_idx"),
+            _data_cells(lay).alias("cells"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def layout_rows(spark: SparkSession) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from regfuse.functions import dates as D
 from regfuse.functions import numbers as N
-from regfuse.functions.constants import CANONICAL_FIELDS
+from regfuse.functions.constants import CANONICAL_FIELDS, DATASET_PATTERNS
 from regfuse.operators import consolidate, headers as H, reports
 from regfuse.operators.register import standardize
 from regfuse.operators.rowid import cell_order_key, dense_row_ids
@@ -83,6 +83,16 @@ def typed_values(cc: DataFrame, locale: str = "auto") -> DataFrame:
     return out.drop("_m_text", "locale")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's checkpoint folder and read it back:
+    later branches (preview, header, data) reuse it instead of decoding the
+    workbooks again, and a lost executor does not force a re-decode."""
+    from regfuse.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame | None = None,
                         locale: str = "auto") -> tuple[dict[str, DataFrame], Inference]:
     """Rows of all workbooks -> {dataset: canonical register} (+ inference tables).
@@ -94,8 +104,7 @@ def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame |
     cc = cc.join(files.select("source_path", "dataset", "file_rank"), ["source_path", "dataset"])
     v = typed_values(cc, locale)
     out = {}
-    for ds in files.select("dataset").distinct().collect():
-        name = ds["dataset"]
+    for name in DATASET_PATTERNS:
         part = v.where(F.col("dataset") == name)
         out[name] = standardize(
             part,
@@ -123,7 +132,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt:
     inv = W.inventory(spark, input_dir, output_dir)
     files = W.selected_files(inv)
     W.require_datasets(files)
-    decoded = W.read_decoded(spark, input_dir, output_dir)
+    decoded = materialize(W.read_decoded(spark, input_dir, output_dir))
     rows = W.read_rows(decoded)
     regs, inf = registers_from_rows(rows, files, locale=locale)
     pres = regs["presentados"].persist()

@@ -9,7 +9,7 @@ from regfuse.functions.constants import CANONICAL_FIELDS
 from regfuse.operators import deck
 from regfuse.plans import grid
 from regfuse.plans import oracle as O
-from regfuse.plans.pipeline import infer, registers_from_rows
+from regfuse.plans.pipeline import infer, materialize, registers_from_rows
 from regfuse.plans.registry import register
 
 
@@ -28,8 +28,12 @@ def _sheet_rows():
     return [(by_path[s["path"]], s["path"], s["sheet"], s["header_row"], s["header_score"]) for s in sheets]
 
 
+def _rows(spark, sf_dir):
+    return materialize(grid.grid_rows(spark, sf_dir))
+
+
 def _inference(spark, sf_dir):
-    return infer(grid.grid_rows(spark, sf_dir), grid.grid_files(spark))
+    return infer(_rows(spark, sf_dir), grid.grid_files(spark))
 
 
 # ---- H3 H4 W2 O5 ----------------------------------------------------------
@@ -135,7 +139,7 @@ FROM c"""
 
 @register("canonical_pivot", _canonical_sql())
 def q_canonical_pivot(spark, sf_dir):
-    regs, _ = registers_from_rows(grid.grid_rows(spark, sf_dir), grid.grid_files(spark))
+    regs, _ = registers_from_rows(_rows(spark, sf_dir), grid.grid_files(spark))
     out = None
     cols = ["source_path", "source_sheet", "source_header_row", "source_row", *CANONICAL_FIELDS,
             "tramo_clean", "es_ampliacion", "project_key"]
