@@ -15,6 +15,11 @@ from regfuse.functions._memo import memo_column
 from regfuse.functions.constants import MINISTRY_RULES, TRANSLIT_FROM, TRANSLIT_TO
 
 
+# --- fixed values: Unicode White_Space (what Java's (?U)\s matches) ---
+WHITESPACE = "\t\n\u000b\f\r \u0085\u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + \
+    "\u2028\u2029\u202f\u205f\u3000"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -26,13 +31,19 @@ def normalize_name(c) -> Column:
     x = F.replace(_col(c), F.lit("ß"), F.lit("ss"))
     x = F.lower(F.translate(x, TRANSLIT_FROM, TRANSLIT_TO))
     x = F.regexp_replace(x, "[^a-z0-9]+", "_")
-    return F.regexp_replace(x, "^_|_$", "")
+    # runs are collapsed, so at most one '_' sits at each end
+    return F.btrim(x, F.lit("_"))
 
 
 @memo_column
 def as_text(c) -> Column:
-    """Trim and squish whitespace (Unicode aware, so NBSP counts)."""
-    return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
+    """Trim and squish whitespace (Unicode aware, so NBSP counts).
+
+    Every whitespace character becomes a space (``translate``, a character
+    map); only values that then hold a double space pay for a regex."""
+    x = F.translate(_col(c), WHITESPACE, " " * len(WHITESPACE))
+    squeezed = F.when(x.contains("  "), F.regexp_replace(x, " {2,}", " ")).otherwise(x)
+    return F.trim(squeezed)
 
 
 @memo_column
@@ -59,7 +70,21 @@ def normalize_rut(c) -> Column:
 @memo_column
 def normalize_codigo(c) -> Column:
     """Squish, strip one trailing ``.0``; empty -> NULL."""
-    return F.nullif(F.regexp_replace(as_text(c), r"\.0$", ""), F.lit(""))
+    x = as_text(c)
+    stripped = F.when(x.endswith(".0"), F.left(x, F.length(x) - 2)).otherwise(x)
+    return F.nullif(stripped, F.lit(""))
+
+
+def _pattern_test(n: Column, pattern: str) -> Column:
+    """``n rlike pattern``; an alternation of plain words is tested with
+    ``contains`` (no regex engine per row)."""
+    words = pattern.split("|")
+    if all(w and all(ch.isalnum() or ch == "_" for ch in w) for w in words):
+        cond = None
+        for w in words:
+            cond = n.contains(w) if cond is None else cond | n.contains(w)
+        return cond
+    return n.rlike(pattern)
 
 
 @memo_column
@@ -74,7 +99,7 @@ def classify_ministerio(normalized, squished, rules=MINISTRY_RULES) -> Column:
     n = _col(normalized)
     out = None
     for label, pattern in rules:
-        cond = n.rlike(pattern)
+        cond = _pattern_test(n, pattern)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     fallback = F.upper(_col(squished))
     return fallback if out is None else out.otherwise(fallback)
@@ -89,8 +114,9 @@ def normalize_ministerio(c, rules=MINISTRY_RULES) -> Column:
 
 @memo_column
 def has_text(c) -> Column:
-    """True when ``as_text(c)`` would be non-blank (cheap: one regex find)."""
-    return F.coalesce(_col(c).rlike(r"(?U)\S"), F.lit(False))
+    """True when ``as_text(c)`` would be non-blank (NULL -> False)."""
+    x = F.translate(_col(c), WHITESPACE, " " * len(WHITESPACE))
+    return F.coalesce(F.length(F.trim(x)) > 0, F.lit(False))
 
 
 @memo_column

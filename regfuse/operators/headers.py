@@ -85,10 +85,14 @@ def sheet_bounds(rows: DataFrame) -> DataFrame:
 
 def preview_cells(rows: DataFrame, bounds: DataFrame, preview_rows: int = PREVIEW_ROWS) -> DataFrame:
     """Cells of each sheet's first ``preview_rows`` rows with normalised text.
-    Empty names are dropped (an empty cell never resolves a field)."""
-    p = rows.join(bounds.select(*SHEET_KEY, "first_row"), SHEET_KEY).where(
-        F.col("row_idx") < F.col("first_row") + preview_rows
+    Empty names are dropped (an empty cell never resolves a field).
+
+    The preview row numbers are enumerated per sheet and joined on
+    (path, sheet, row): a row-level key, so no workbook lands in one task."""
+    wanted = bounds.select(
+        *SHEET_KEY, F.explode(F.sequence("first_row", F.col("first_row") + (preview_rows - 1))).alias("row_idx")
     )
+    p = rows.join(wanted, [*SHEET_KEY, "row_idx"])
     cells = p.select(*SHEET_KEY, "row_idx", F.explode("cells").alias("col_idx", "cell"))
     cells = cells.withColumn("raw", cell_text("cell"))
     return cells.withColumn("name", tx.normalize_name("raw")).where(F.col("name") != "")
@@ -124,9 +128,8 @@ def header_names(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Normalised header names of the chosen header row, with name repair:
     a raw name used by several columns gets its column number appended
     (``Fecha`` twice -> ``fecha_3``, ``fecha_7``)."""
-    h = rows.join(headers.select(*SHEET_KEY, "header_row"), SHEET_KEY).where(
-        F.col("row_idx") == F.col("header_row")
-    )
+    # joined on (path, sheet, row): one row per sheet, a row-level key
+    h = rows.join(headers.select(*SHEET_KEY, F.col("header_row").alias("row_idx")), [*SHEET_KEY, "row_idx"])
     cells = h.select(*SHEET_KEY, F.explode("cells").alias("col_idx", "cell"))
     cells = cells.withColumn("raw", cell_text("cell")).where(tx.has_text("raw"))
     dup = F.count(F.lit(1)).over(Window.partitionBy(*SHEET_KEY, "raw")) > 1
@@ -190,12 +193,15 @@ def column_mapping(resolved: DataFrame, chosen: DataFrame) -> DataFrame:
 def canonical_cells(rows: DataFrame, mapping: DataFrame, fields=CANONICAL_FIELDS) -> DataFrame:
     """Data rows (below the header) of the chosen sheets, one cell per field.
 
-    ``mapping`` has one row per chosen (file, dataset) - bounded by the file
-    count; AQE broadcasts it when it is small and otherwise plans a skew-aware
-    shuffle join.  Cells never leave their row."""
-    m = mapping.select(*SHEET_KEY, "dataset", "header_row", "mapping")
-    d = rows.join(m, SHEET_KEY).where(F.col("row_idx") > F.col("header_row"))
-    cols = [F.col(c) for c in ("source_path", "source_sheet", "sheet_idx", "dataset", "header_row", "row_idx")]
+    ``mapping`` has one row per chosen (file, dataset); it is broadcast when
+    its size allows, else joined with the data rows spread over salted
+    partitions (see ``joins.join_small``).  Cells never leave their row."""
+    from regfuse.operators.joins import join_small
+
+    carried = [c for c in mapping.columns if c in ("dataset", "file_rank")]
+    m = mapping.select(*SHEET_KEY, *carried, "header_row", "mapping")
+    d = join_small(rows, m, SHEET_KEY, salt_cols=["row_idx"]).where(F.col("row_idx") > F.col("header_row"))
+    cols = [F.col(c) for c in ("source_path", "source_sheet", "sheet_idx", *carried, "header_row", "row_idx")]
     for f in fields:
         pos = F.try_element_at(F.col("mapping"), F.lit(f))
         cols.append(F.when(pos.isNotNull(), F.try_element_at(F.col("cells"), pos)).alias(f"c_{f}"))

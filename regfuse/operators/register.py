@@ -86,9 +86,12 @@ def standardize(
         # values with cheap predicates (cheapest first, OR short-circuits), so
         # the filter can be pushed below the normalisers without running
         # them twice.
+        rut_raw, cod_raw = F.col("_r_rut"), F.col("_r_codigo")
+        has_digit = F.length(F.translate(rut_raw, "0123456789", "")) < F.length(rut_raw)
+        cod_trim = F.trim(F.translate(cod_raw, tx.WHITESPACE, " " * len(tx.WHITESPACE)))
         present = (
-            F.coalesce(F.col("_r_rut").rlike("[0-9]"), F.lit(False))
-            | (tx.has_text("_r_codigo") & ~F.coalesce(F.col("_r_codigo").rlike(r"(?U)^\s*\.0\s*$"), F.lit(False)))
+            F.coalesce(has_digit, F.lit(False))
+            | F.coalesce((F.length(cod_trim) > 0) & (cod_trim != ".0"), F.lit(False))
             | tx.has_text("_r_empresa")
             | tx.has_text("_r_min")
             | F.col("monto_ui").isNotNull()

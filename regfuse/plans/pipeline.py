@@ -16,6 +16,7 @@ from regfuse.functions import dates as D
 from regfuse.functions import numbers as N
 from regfuse.functions.constants import CANONICAL_FIELDS, DATASET_PATTERNS
 from regfuse.operators import consolidate, headers as H, reports
+from regfuse.operators.joins import join_small
 from regfuse.operators.register import standardize
 from regfuse.operators.rowid import cell_order_key, dense_row_ids
 from regfuse.sources import sinks, workbook as W
@@ -72,8 +73,9 @@ def typed_values(cc: DataFrame, locale: str = "auto") -> DataFrame:
     m = F.col("c_monto_ui")
     out = out.withColumn("_m_text", F.when(m.getField("cell_type").isin("text", "bool"), m.getField("text")))
     if locale == "auto":
+        # one vote per sheet; joined back without a per-sheet shuffle key
         vote = N.locale_vote(out.where(F.col("_m_text").isNotNull()), H.SHEET_KEY, "_m_text")
-        out = out.join(vote.select(*H.SHEET_KEY, "locale"), H.SHEET_KEY, "left")
+        out = join_small(out, vote.select(*H.SHEET_KEY, "locale"), H.SHEET_KEY, "left", salt_cols=["row_idx"])
     else:
         out = out.withColumn("locale", F.lit(locale))
     parsed = N.parse_number_with_vote("_m_text", "locale")
@@ -100,8 +102,9 @@ def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame |
     ``files``: (source_path, dataset, file_rank).  The register's ``_order``
     is ``file_rank << 32 | row`` - file order then sheet order, one bigint."""
     inf = infer(rows, files, aliases)
-    cc = H.canonical_cells(rows, inf.mapping)
-    cc = cc.join(files.select("source_path", "dataset", "file_rank"), ["source_path", "dataset"])
+    # file order joins the (small) mapping, not the data rows
+    mapping = inf.mapping.join(files.select("source_path", "dataset", "file_rank"), ["source_path", "dataset"])
+    cc = H.canonical_cells(rows, mapping)
     v = typed_values(cc, locale)
     out = {}
     for name in DATASET_PATTERNS:
