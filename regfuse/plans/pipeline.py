@@ -104,6 +104,8 @@ def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame |
     inf = infer(rows, files, aliases)
     # file order joins the (small) mapping, not the data rows
     mapping = inf.mapping.join(files.select("source_path", "dataset", "file_rank"), ["source_path", "dataset"])
+    # one row per chosen sheet: computed once, read by every dataset branch
+    mapping = materialize(mapping)
     cc = H.canonical_cells(rows, mapping)
     v = typed_values(cc, locale)
     out = {}
