@@ -24,12 +24,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _is_ascii(x: Column) -> Column:
+    # characters == bytes only for pure ASCII (no scan through a Java String)
+    return F.length(x) == F.octet_length(x)
+
+
+def _fold_whitespace(x: Column) -> Column:
+    """Every Unicode whitespace character -> a space.  ``translate`` copies the
+    value through a Java String, so ASCII values without control whitespace
+    (the common case) skip it."""
+    plain = _is_ascii(x) & ~(x.contains("\t") | x.contains("\n") | x.contains("\r")
+                             | x.contains("\u000b") | x.contains("\f"))
+    return F.when(plain, x).otherwise(F.translate(x, WHITESPACE, " " * len(WHITESPACE)))
+
+
 @memo_column
 def normalize_name(c) -> Column:
     """ASCII-fold, lower-case, collapse runs of non ``[a-z0-9]`` into ``_``,
     strip one leading and one trailing ``_``.  NULL stays NULL."""
-    x = F.replace(_col(c), F.lit("ß"), F.lit("ss"))
-    x = F.lower(F.translate(x, TRANSLIT_FROM, TRANSLIT_TO))
+    x = _col(c)
+    folded = F.translate(F.replace(x, F.lit("ß"), F.lit("ss")), TRANSLIT_FROM, TRANSLIT_TO)
+    x = F.lower(F.when(_is_ascii(x), x).otherwise(folded))
     x = F.regexp_replace(x, "[^a-z0-9]+", "_")
     # runs are collapsed, so at most one '_' sits at each end
     return F.btrim(x, F.lit("_"))
@@ -39,9 +54,9 @@ def normalize_name(c) -> Column:
 def as_text(c) -> Column:
     """Trim and squish whitespace (Unicode aware, so NBSP counts).
 
-    Every whitespace character becomes a space (``translate``, a character
-    map); only values that then hold a double space pay for a regex."""
-    x = F.translate(_col(c), WHITESPACE, " " * len(WHITESPACE))
+    Whitespace characters become spaces; only values that then hold a double
+    space pay for a regex."""
+    x = _fold_whitespace(_col(c))
     squeezed = F.when(x.contains("  "), F.regexp_replace(x, " {2,}", " ")).otherwise(x)
     return F.trim(squeezed)
 
@@ -115,8 +130,7 @@ def normalize_ministerio(c, rules=MINISTRY_RULES) -> Column:
 @memo_column
 def has_text(c) -> Column:
     """True when ``as_text(c)`` would be non-blank (NULL -> False)."""
-    x = F.translate(_col(c), WHITESPACE, " " * len(WHITESPACE))
-    return F.coalesce(F.length(F.trim(x)) > 0, F.lit(False))
+    return F.coalesce(F.length(F.trim(_fold_whitespace(_col(c)))) > 0, F.lit(False))
 
 
 @memo_column

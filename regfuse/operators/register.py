@@ -88,7 +88,7 @@ def standardize(
         # them twice.
         rut_raw, cod_raw = F.col("_r_rut"), F.col("_r_codigo")
         has_digit = F.length(F.translate(rut_raw, "0123456789", "")) < F.length(rut_raw)
-        cod_trim = F.trim(F.translate(cod_raw, tx.WHITESPACE, " " * len(tx.WHITESPACE)))
+        cod_trim = F.trim(tx._fold_whitespace(cod_raw))
         present = (
             F.coalesce(has_digit, F.lit(False))
             | F.coalesce((F.length(cod_trim) > 0) & (cod_trim != ".0"), F.lit(False))

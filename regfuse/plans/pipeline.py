@@ -140,9 +140,10 @@ def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt:
     decoded = materialize(W.read_decoded(spark, input_dir, output_dir))
     rows = W.read_rows(decoded)
     regs, inf = registers_from_rows(rows, files, locale=locale)
-    pres = regs["presentados"].persist()
-    rec = regs["recomendados"].persist()
-    auth = consolidate.authoritative(pres, rec).persist()
+    # each register feeds the rollup, the link, the anti join and its own sink
+    pres = materialize(regs["presentados"])
+    rec = materialize(regs["recomendados"])
+    auth = materialize(consolidate.authoritative(pres, rec))
     outputs = {
         "macrobase_presentados_normalized": with_row_ids(pres, "presentado_row_id").drop("_order"),
         "macrobase_recomendados_normalized": with_row_ids(rec, "recomendado_row_id").drop("_order"),

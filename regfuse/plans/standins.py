@@ -93,5 +93,14 @@ def recommended_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def registers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return presented_register(spark, sf_dir), recommended_register(spark, sf_dir)
+def registers(spark: SparkSession, sf_dir: str, materialized: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Both registers.  The linkage reads each register several times (rollup,
+    link, anti join); ``materialized`` writes each once to the checkpoint
+    folder so ``lineitem JOIN orders`` and the normalisers run once, and the
+    lineage is cut (a lost executor re-reads, not recomputes)."""
+    p, r = presented_register(spark, sf_dir), recommended_register(spark, sf_dir)
+    if materialized:
+        from regfuse.plans.pipeline import materialize
+
+        p, r = materialize(p), materialize(r)
+    return p, r
