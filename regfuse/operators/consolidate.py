@@ -66,12 +66,16 @@ def authoritative(presented: DataFrame, recommended: DataFrame, order_col: str =
     else:
         a = a.withColumn("project_row_id", F.lit(None).cast("bigint"))
     a = a.select(*AUTHORITATIVE_COLUMNS)
-    if sort:
-        a = a.orderBy(
-            F.col("rut").asc_nulls_last(),
-            F.col("codigo_comap").asc_nulls_last(),
-            F.col("fecha_presentado").asc_nulls_last(),
-            F.col("tramo").asc_nulls_last(),
-            F.col("project_row_id").asc_nulls_last(),
-        )
-    return a
+    return sort_authoritative(a) if sort else a
+
+
+def sort_authoritative(a: DataFrame) -> DataFrame:
+    """Published order: rut, codigo, presentation date, tranche (NULLs last),
+    ties in row-id order (a distributed range sort)."""
+    return a.orderBy(
+        F.col("rut").asc_nulls_last(),
+        F.col("codigo_comap").asc_nulls_last(),
+        F.col("fecha_presentado").asc_nulls_last(),
+        F.col("tramo").asc_nulls_last(),
+        F.col("project_row_id").asc_nulls_last(),
+    )

@@ -8,8 +8,8 @@ through one task.  Instead:
    partition;
 2. tag every row with its partition and its position in the partition
    (``monotonically_increasing_id`` keeps the position in the low 33 bits);
-3. cut the lineage with a reliable checkpoint so the tags are fixed even if an
-   executor is lost and a task is recomputed;
+3. cut the lineage (a parquet table in the checkpoint folder) so the tags are
+   fixed even if an executor is lost and a task is recomputed;
 4. count rows per partition (one row per partition - bounded by the partition
    count), turn counts into running offsets and broadcast that tiny table;
 5. ``id = offset + position + 1``.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regfuse.functions.constants import ROW_BITS
-from regfuse.session import checkpoint_dir
+from regfuse.session import checkpoint_dir, materialize
 
 _POS_MASK = (1 << 33) - 1
 
@@ -40,8 +40,9 @@ def dense_row_ids(df: DataFrame, order_cols, id_col: str = "row_id", num_partiti
         .sortWithinPartitions(*ordered)
         .withColumn("_rid_part", F.spark_partition_id())
         .withColumn("_rid_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
-        .checkpoint(eager=True)
     )
+    # fix the tags: written once, read back (partition and position are columns)
+    tagged = materialize(tagged)
     counts = tagged.groupBy("_rid_part").agg(F.count(F.lit(1)).alias("_rid_n"))
     before = Window.orderBy("_rid_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -86,13 +86,12 @@ def typed_values(cc: DataFrame, locale: str = "auto") -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the session's checkpoint folder and read it back:
+    """Write ``df`` once (parquet under the checkpoint folder) and read it back:
     later branches (preview, header, data) reuse it instead of decoding the
     workbooks again, and a lost executor does not force a re-decode."""
-    from regfuse.session import checkpoint_dir
+    from regfuse.session import materialize as _m
 
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return _m(df)
 
 
 def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame | None = None,
@@ -143,18 +142,19 @@ def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt:
     # each register feeds the rollup, the link, the anti join and its own sink
     pres = materialize(regs["presentados"])
     rec = materialize(regs["recomendados"])
-    auth = materialize(consolidate.authoritative(pres, rec))
+    base = materialize(consolidate.authoritative(pres, rec, sort=False))
+    auth = consolidate.sort_authoritative(base)
     outputs = {
         "macrobase_presentados_normalized": with_row_ids(pres, "presentado_row_id").drop("_order"),
         "macrobase_recomendados_normalized": with_row_ids(rec, "recomendado_row_id").drop("_order"),
         "comap_projects_authoritative": auth,
-        "summary_by_ministerio": reports.summary_by_group(auth, money_scale=None),
-        "linkage_audit": reports.linkage_audit(auth),
+        "summary_by_ministerio": reports.summary_by_group(base, money_scale=None),
+        "linkage_audit": reports.linkage_audit(base),
     }
     n = sinks.write_all(outputs, output_dir, fmt)
     print(f"Wrote processed datasets to {output_dir}")
     print(f"Rows in authoritative set: {n.get('comap_projects_authoritative')}")
-    outputs["ledger"] = form_ledger_from(inv, decoded, inf, pres, rec, auth)
+    outputs["ledger"] = form_ledger_from(inv, decoded, inf, pres, rec, base)
     return outputs
 
 

@@ -65,3 +65,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def materialize(df):
+    """Write ``df`` once as a parquet table under the session's checkpoint
+    folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` (a lost executor re-reads the
+    table instead of recomputing it) but is columnar and compressed - the RDD
+    checkpoint path serialises row objects one by one.  Row order across
+    partitions is not kept: sort after reading when order matters."""
+    import uuid
+
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/regfuse-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
