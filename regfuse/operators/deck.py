@@ -58,13 +58,18 @@ def exact_quantiles(df: DataFrame, group_cols, value: str, probs) -> DataFrame:
 
 def approval_time(auth: DataFrame, by: str = "ministerio_evaluador") -> DataFrame:
     """n, mean, median and p90 of days to recommendation per group; negative
-    spans (recommended before presented) are counted apart and left out."""
+    spans (recommended before presented) are counted apart and left out.
+    Two passes: one aggregation for counts and mean, one histogram for the
+    quantiles."""
     d = approval_days(auth).withColumn(by, _g(by))
-    pos = d.where(F.col("dias") >= 0)
-    stats = pos.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("dias"), 4).alias("media_dias"))
-    q = exact_quantiles(pos, [by], "dias", {"mediana_dias": 0.5, "p90_dias": 0.9})
-    neg = d.groupBy(by).agg(F.count_if(F.col("dias") < 0).alias("negativos"))
-    return neg.join(stats, by, "left").join(q, by, "left")
+    ok = F.col("dias") >= 0
+    stats = d.groupBy(by).agg(
+        F.count_if(~ok).alias("negativos"),
+        F.count_if(ok).alias("n"),
+        F.round(F.avg(F.when(ok, F.col("dias"))), 4).alias("media_dias"),
+    )
+    q = exact_quantiles(d.where(ok), [by], "dias", {"mediana_dias": 0.5, "p90_dias": 0.9})
+    return stats.join(q, by, "left")
 
 
 # ---- D3 -------------------------------------------------------------------

@@ -40,21 +40,25 @@ def q_promoted_projects(spark, sf_dir):
 @register("approval_time", f"""WITH {O.linkage_cte()}, {_auth_g()},
 d AS (SELECT ministerio_evaluador, date_diff('day', fecha_presentado, fecha_recomendado) AS dias
       FROM ag WHERE fecha_presentado IS NOT NULL AND fecha_recomendado IS NOT NULL),
-pos AS (SELECT * FROM d WHERE dias >= 0),
 ranked AS (SELECT ministerio_evaluador, dias,
                   row_number() OVER (PARTITION BY ministerio_evaluador ORDER BY dias) - 1 AS rn,
                   count(*) OVER (PARTITION BY ministerio_evaluador) AS n
-           FROM pos),
+           FROM d WHERE dias >= 0),
 q AS (SELECT ministerio_evaluador,
              min(dias) FILTER (WHERE rn = floor((n - 1) * 0.5)) AS mediana_dias,
              min(dias) FILTER (WHERE rn = floor((n - 1) * 0.9)) AS p90_dias
       FROM ranked GROUP BY ministerio_evaluador),
-st AS (SELECT ministerio_evaluador, count(*) AS n, round(avg(dias), 4) AS media_dias FROM pos GROUP BY 1),
-neg AS (SELECT ministerio_evaluador, count(*) FILTER (WHERE dias < 0) AS negativos FROM d GROUP BY 1)
+st AS (SELECT ministerio_evaluador, count(*) FILTER (WHERE dias < 0) AS negativos,
+              count(*) FILTER (WHERE dias >= 0) AS n,
+              round(avg(CASE WHEN dias >= 0 THEN dias END), 4) AS media_dias
+       FROM d GROUP BY 1)
 SELECT ministerio_evaluador, negativos, n, media_dias, mediana_dias, p90_dias
-FROM neg LEFT JOIN st USING (ministerio_evaluador) LEFT JOIN q USING (ministerio_evaluador)""")
+FROM st LEFT JOIN q USING (ministerio_evaluador)""")
 def q_approval_time(spark, sf_dir):
-    return deck.approval_time(_auth(spark, sf_dir))
+    # two passes over the linked rows: write them once
+    from regfuse.session import materialize
+
+    return deck.approval_time(materialize(_auth(spark, sf_dir)))
 
 
 # ---- D3 -------------------------------------------------------------------
