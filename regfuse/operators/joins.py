@@ -4,8 +4,8 @@ Every row of a workbook carries the same (path, sheet) key, so an ordinary
 shuffle join on that key sends a whole workbook - possibly a third of all
 rows - to one task.  ``join_small``:
 
-1. measures the small side (it is an aggregate over headers or files, cheap
-   to count) and broadcasts it when it has at most ``max_rows`` rows;
+1. writes the small side once (an aggregate over headers or files), counts
+   it and broadcasts it when it has at most ``max_rows`` rows;
 2. otherwise spreads every key of the big side over ``salts`` shuffle
    partitions (a hash of ``salt_cols``) and replicates each small-side row
    once per salt with ``explode(sequence(...))`` - a bounded fan-out, not a
@@ -14,7 +14,6 @@ rows - to one task.  ``join_small``:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +24,13 @@ DEFAULT_SALTS = 64
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                salt_cols: list[str] | None = None, max_rows: int = BROADCAST_MAX_ROWS,
                salts: int = DEFAULT_SALTS) -> DataFrame:
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    from regfuse.session import materialize
+
+    # written once (nothing pinned in executor memory), then measured
+    small = materialize(small)
     n = small.count()
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)
-    small.unpersist()
     cols = salt_cols or [c for c in big.columns if c not in on][:3]
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -20,10 +20,10 @@ Plan shape (why it scales):
 * the recommended side is reduced once, at (key, tranche) grain, with map-side
   partial aggregation - a hot key collapses to one row per map task before
   any shuffle;
-* the key grain is a second aggregation over that reduced table, and it also
-  carries the per-tranche results as a small map (one entry per distinct
-  tranche of the key), so the presented side is joined **once**, on the key,
-  instead of once per grain;
+* the key grain is a second aggregation over that reduced table (no list or
+  map is gathered per key, whatever the number of tranches);
+* the presented side is left-joined to each grain; every right side has at
+  most one row per key, and a hot presented key is split by AQE;
 * "first non-missing in file order" is ``min(struct(order, value))`` filtered
   to valid values - deterministic after any shuffle, no collect of a group.
 """
@@ -80,8 +80,11 @@ def tranche_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFra
 
 def exact_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame:
     """Recommended rows aggregated by (key, tranche), blank tranche excluded."""
-    t = tranche_rollup(recommended, order_col)
-    return t.where(F.col("tramo_clean") != "").select(
+    return _exact_from(tranche_rollup(recommended, order_col))
+
+
+def _exact_from(tranches: DataFrame) -> DataFrame:
+    return tranches.where(F.col("tramo_clean") != "").select(
         "project_key",
         "tramo_clean",
         F.col("fecha_min").alias("fecha_recomendado_exact"),
@@ -92,58 +95,42 @@ def exact_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame
     )
 
 
-def _key_rollup(tranches: DataFrame, with_exact_map: bool) -> DataFrame:
+def _key_rollup(tranches: DataFrame) -> DataFrame:
     tc = F.col("tramo_clean")
-    aggs = [
+    return tranches.groupBy("project_key").agg(
         F.min("fecha_min").alias("fecha_recomendado_project"),
         F.min("regimen_first").getField("v").alias("regimen_recomendado_project"),
         F.min("monto_ui_first").getField("v").alias("monto_ui_recomendado_project"),
         F.min("ministerio_first").getField("v").alias("ministerio_recomendado_project"),
         F.sum("n_rows").alias("recommended_rows_project"),
         F.count_if(tc != "").alias("recommended_tramos"),
-    ]
-    if with_exact_map:
-        entry = F.struct(
-            tc.alias("k"),
-            F.struct(
-                F.col("fecha_min").alias("fecha"),
-                F.col("regimen_first.v").alias("regimen"),
-                F.col("monto_ui_first.v").alias("monto_ui"),
-                F.col("ministerio_first.v").alias("ministerio"),
-                F.col("n_rows").alias("n"),
-            ).alias("v"),
-        )
-        # one entry per distinct non-blank tranche of the key
-        aggs.append(F.map_from_entries(F.collect_list(F.when(tc != "", entry))).alias("_exact"))
-    return tranches.groupBy("project_key").agg(*aggs)
+    )
 
 
 def project_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame:
     """Recommended rows aggregated by key (all tranches)."""
-    return _key_rollup(tranche_rollup(recommended, order_col), with_exact_map=False)
+    return _key_rollup(tranche_rollup(recommended, order_col))
 
 
 def link_presented(presented: DataFrame, recommended: DataFrame, order_col: str = "_order") -> DataFrame:
     """Presented rows with exact / project attributes, the resolved
-    recommendation and ``match_method``.  Row count equals ``presented``."""
-    keys = _key_rollup(tranche_rollup(recommended, order_col), with_exact_map=True)
-    j = presented.join(keys, "project_key", "left")
-    e = F.try_element_at(F.col("_exact"), F.col("tramo_clean"))
-    j = j.withColumns(
-        {
-            "fecha_recomendado_exact": e.getField("fecha"),
-            "regimen_recomendado_exact": e.getField("regimen"),
-            "monto_ui_recomendado_exact": e.getField("monto_ui"),
-            "ministerio_recomendado_exact": e.getField("ministerio"),
-            "recommended_rows_exact": e.getField("n"),
-        }
-    ).drop("_exact")
+    recommendation and ``match_method``.  Row count equals ``presented``.
+
+    Both rollups come from one (key, tranche) aggregation; each right side
+    has at most one row per join key, so the joins never fan out.  A hot key
+    on the presented side is a skewed partition of a left outer join, which
+    AQE splits."""
+    tranches = tranche_rollup(recommended, order_col)
+    exact = _exact_from(tranches)
+    j = presented.join(exact, ["project_key", "tramo_clean"], "left").join(
+        _key_rollup(tranches), "project_key", "left"
+    )
     fallback = F.col("fecha_recomendado_exact").isNull() & (F.col("recommended_rows_project") == 1)
     j = j.withColumn("can_fallback_to_project", fallback)
     fb = F.col("can_fallback_to_project")
 
-    def pick(exact: str, project: str) -> Column:
-        return F.coalesce(F.col(exact), F.when(fb, F.col(project)))
+    def pick(exact_col: str, project: str) -> Column:
+        return F.coalesce(F.col(exact_col), F.when(fb, F.col(project)))
 
     return j.withColumns(
         {

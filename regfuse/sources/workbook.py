@@ -72,16 +72,17 @@ def inventory(spark: SparkSession, input_dir: str, output_dir: str | None = None
 
 
 def selected_files(inv: DataFrame) -> DataFrame:
-    """(source_path, dataset, file_rank): files to load, ranked by path within
-    each dataset (the order rows are bound in)."""
-    from pyspark.sql import Window
+    """(source_path, dataset, file_rank): files to load; ``file_rank`` grows
+    with the path inside each dataset (the order rows are bound in).
+
+    Ranks come from the distributed dense-id operator (range partitioning on
+    (dataset, path)), not from a window holding every file of a dataset."""
+    from regfuse.operators.rowid import dense_row_ids
 
     sel = inv.where(F.col("status") == "selected").select(
         F.col("path").alias("source_path"), F.explode("datasets").alias("dataset")
     )
-    # the file table is metadata (one row per workbook), not data rows
-    w = Window.partitionBy("dataset").orderBy("source_path")
-    return sel.withColumn("file_rank", F.row_number().over(w))
+    return dense_row_ids(sel, ["dataset", "source_path"], "file_rank")
 
 
 def require_datasets(files: DataFrame, datasets=tuple(DATASET_PATTERNS)) -> None:

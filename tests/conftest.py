@@ -22,6 +22,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "6g")
     )
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
