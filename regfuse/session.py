@@ -80,5 +80,6 @@ def materialize(df):
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/regfuse-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    # short-lived table: dictionary encoding only costs time here
+    df.write.mode("error").option("parquet.enable.dictionary", "false").parquet(path)
     return spark.read.parquet(path)
