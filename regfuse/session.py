@@ -34,19 +34,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when none is configured (tests, the local bench) a scratch folder is
     created and registered; on a cluster ``spark.checkpoint.dir`` is set by the
-    platform and used as is.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    platform and used as is."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: only the configuration is visible
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="regfuse-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
+    return conf_dir
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "regfuse") -> SparkSession:

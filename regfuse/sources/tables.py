@@ -17,8 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the scan as planned
+        return df
+    if current < target:
         return df.repartition(target, *[df[c] for c in df.columns])
     return df
 
