@@ -37,7 +37,7 @@ def _listing(spark: SparkSession, input_dir: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
 
 
-def _classify(df: DataFrame, output_dir: str | None, patterns=DATASET_PATTERNS) -> DataFrame:
+def classify_files(df: DataFrame, output_dir: str | None, patterns=DATASET_PATTERNS) -> DataFrame:
     name = base_name("path")
     norm = tx.normalize_name(name)
     in_output = F.lit(False) if not output_dir else F.col("path").contains(output_dir)
@@ -67,7 +67,7 @@ def _classify(df: DataFrame, output_dir: str | None, patterns=DATASET_PATTERNS)
 def inventory(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> DataFrame:
     """One row per file under ``input_dir``: path parts, size, mtime, datasets, status."""
     files = _listing(spark, input_dir).select("path", "modificationTime", "length")
-    out = _classify(files, output_dir)
+    out = classify_files(files, output_dir)
     return out.withColumn("dir_parts", F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1))
 
 
@@ -115,7 +115,7 @@ def _arrow_schema() -> pa.Schema:
     )
 
 
-def _decode_batches(batches, max_rows: int = 4096):
+def decode_batches(batches, max_rows: int = 4096):
     """mapInArrow body: (path, content) batches -> decoded row batches."""
     from regfuse.sources.xlsx import WorkbookError, decode_workbook
 
@@ -156,8 +156,8 @@ def _decode_batches(batches, max_rows: int = 4096):
 def read_decoded(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> DataFrame:
     """Decoded rows of every selected workbook plus one error row per file
     that could not be decoded (``decode_error`` set, no cells)."""
-    raw = _classify(_listing(spark, input_dir), output_dir).where(F.col("status") == "selected")
-    return raw.select("path", "content").mapInArrow(_decode_batches, DECODED_SCHEMA)
+    raw = classify_files(_listing(spark, input_dir), output_dir).where(F.col("status") == "selected")
+    return raw.select("path", "content").mapInArrow(decode_batches, DECODED_SCHEMA)
 
 
 def read_rows(decoded: DataFrame) -> DataFrame:

@@ -35,8 +35,8 @@ def decoded_stream(spark: SparkSession, input_dir: str, output_dir: str | None =
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = W._classify(reader.load(input_dir), output_dir).where(F.col("status") == "selected")
-    return files.select("path", "content").mapInArrow(W._decode_batches, W.DECODED_SCHEMA)
+    files = W.classify_files(reader.load(input_dir), output_dir).where(F.col("status") == "selected")
+    return files.select("path", "content").mapInArrow(W.decode_batches, W.DECODED_SCHEMA)
 
 
 def start_ingest(spark: SparkSession, input_dir: str, table_dir: str, checkpoint_location: str,
