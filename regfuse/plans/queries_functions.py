@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from regfuse.functions import dates as D
 from regfuse.functions import numbers as N
 from regfuse.functions import text as tx
+from regfuse.operators.joins import join_small
 from regfuse.operators.register import standardize
 from regfuse.plans import oracle as O
 from regfuse.plans.registry import register
@@ -139,8 +140,9 @@ def q_amount_locale_vote(spark, sf_dir):
     o = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_totalprice"])
     t = o.select("o_orderkey", F.col("o_orderpriority").alias("source_file"), _amount_text_spark().alias("amount_text"))
     vote = N.locale_vote(t, ["source_file"], "amount_text").select("source_file", "locale")
-    # one row per workbook: AQE turns this into a broadcast at run time
-    return t.join(vote, "source_file").select(
+    # one row per workbook, joined back to every row of it: a size-checked
+    # broadcast (salted shuffle beyond the bound), never a per-file shuffle key
+    return join_small(t, vote, ["source_file"], salt_cols=["o_orderkey"]).select(
         "o_orderkey", "source_file", "amount_text", "locale",
         N.parse_number_with_vote("amount_text", "locale").alias("monto_ui"),
     )
