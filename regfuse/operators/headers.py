@@ -190,7 +190,8 @@ def column_mapping(resolved: DataFrame, chosen: DataFrame) -> DataFrame:
     return chosen.join(m, SHEET_KEY, "left")
 
 
-def canonical_cells(rows: DataFrame, mapping: DataFrame, fields=CANONICAL_FIELDS) -> DataFrame:
+def canonical_cells(rows: DataFrame, mapping: DataFrame, fields=CANONICAL_FIELDS,
+                    mapping_is_written: bool = False) -> DataFrame:
     """Data rows (below the header) of the chosen sheets, one cell per field.
 
     ``mapping`` has one row per chosen (file, dataset); it is broadcast when
@@ -200,7 +201,9 @@ def canonical_cells(rows: DataFrame, mapping: DataFrame, fields=CANONICAL_FIELDS
 
     carried = [c for c in mapping.columns if c in ("dataset", "file_rank")]
     m = mapping.select(*SHEET_KEY, *carried, "header_row", "mapping")
-    d = join_small(rows, m, SHEET_KEY, salt_cols=["row_idx"]).where(F.col("row_idx") > F.col("header_row"))
+    d = join_small(rows, m, SHEET_KEY, salt_cols=["row_idx"], small_is_written=mapping_is_written).where(
+        F.col("row_idx") > F.col("header_row")
+    )
     cols = [F.col(c) for c in ("source_path", "source_sheet", "sheet_idx", *carried, "header_row", "row_idx")]
     for f in fields:
         pos = F.try_element_at(F.col("mapping"), F.lit(f))

@@ -23,11 +23,12 @@ DEFAULT_SALTS = 64
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                salt_cols: list[str] | None = None, max_rows: int = BROADCAST_MAX_ROWS,
-               salts: int = DEFAULT_SALTS) -> DataFrame:
+               salts: int = DEFAULT_SALTS, small_is_written: bool = False) -> DataFrame:
     from regfuse.session import materialize
 
     # written once (nothing pinned in executor memory), then measured
-    small = materialize(small)
+    if not small_is_written:
+        small = materialize(small)
     n = small.count()
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)

@@ -105,7 +105,7 @@ def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame |
     mapping = inf.mapping.join(files.select("source_path", "dataset", "file_rank"), ["source_path", "dataset"])
     # one row per chosen sheet: computed once, read by every dataset branch
     mapping = materialize(mapping)
-    cc = H.canonical_cells(rows, mapping)
+    cc = H.canonical_cells(rows, mapping, mapping_is_written=True)
     v = typed_values(cc, locale)
     out = {}
     for name in DATASET_PATTERNS:
