@@ -33,8 +33,8 @@ LAYOUTS = {
         ],
     },
     "2-HIGH": {
-        "path": "grid/sub/Macrobase PRESENTADOS alta.xlsm", "dataset": "presentados", "sheet": "Datos",
-        "sheet_idx": 2, "header_row": 4, "titles": {1: ["Macrobase COMAP"], 2: ["Proyectos presentados"]},
+        "path": "grid/sub/Registro PRESENTADOS alta.xlsm", "dataset": "presentados", "sheet": "Datos",
+        "sheet_idx": 2, "header_row": 4, "titles": {1: ["Registro de proyectos"], 2: ["Proyectos presentados"]},
         "extra_sheets": [("Resumen", 1, {1: ["Resumen anual"], 2: ["Empresa", "Total"]})],
         "columns": [
             ("Monto en UI", "monto_ui", "amount_comma"), ("Expediente", "codigo_comap", "code_text"),
@@ -45,7 +45,7 @@ LAYOUTS = {
     },
     "3-MEDIUM": {
         "path": "grid/presentados_media.xlsx", "dataset": "presentados", "sheet": "Hoja1",
-        "sheet_idx": 1, "header_row": 9, "titles": {1: ["Listado"], 3: ["Nota: cifras en UI"], 5: ["Fuente", "COMAP"]},
+        "sheet_idx": 1, "header_row": 9, "titles": {1: ["Listado"], 3: ["Nota: cifras en UI"], 5: ["Fuente", "Comisión"]},
         "extra_sheets": [],
         "columns": [
             ("Documento", "rut", "rut_text"), ("Carpeta", "codigo_comap", "code_num"),

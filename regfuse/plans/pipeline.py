@@ -145,15 +145,15 @@ def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt:
     base = materialize(consolidate.authoritative(pres, rec, sort=False))
     auth = consolidate.sort_authoritative(base)
     outputs = {
-        "macrobase_presentados_normalized": with_row_ids(pres, "presentado_row_id").drop("_order"),
-        "macrobase_recomendados_normalized": with_row_ids(rec, "recomendado_row_id").drop("_order"),
-        "comap_projects_authoritative": auth,
+        "presentados_normalized": with_row_ids(pres, "presentado_row_id").drop("_order"),
+        "recomendados_normalized": with_row_ids(rec, "recomendado_row_id").drop("_order"),
+        "projects_authoritative": auth,
         "summary_by_ministerio": reports.summary_by_group(base, money_scale=None),
         "linkage_audit": reports.linkage_audit(base),
     }
     n = sinks.write_all(outputs, output_dir, fmt)
     print(f"Wrote processed datasets to {output_dir}")
-    print(f"Rows in authoritative set: {n.get('comap_projects_authoritative')}")
+    print(f"Rows in authoritative set: {n.get('projects_authoritative')}")
     outputs["ledger"] = form_ledger_from(inv, decoded, inf, pres, rec, base)
     return outputs
 

@@ -48,7 +48,7 @@ def test_normalize_codigo(spark):
 
 
 def test_normalize_ministerio(spark):
-    got = one_col(spark, ["M.E.F.", "MEF - COMAP", "Min. de Ganadería", "Ministerio de Turismo", "otro ñ", "", None],
+    got = one_col(spark, ["M.E.F.", "MEF - Comisión", "Min. de Ganadería", "Ministerio de Turismo", "otro ñ", "", None],
                   tx.normalize_ministerio)
     assert got == ["M.E.F.", "MEF", "MGAP", "MINTUR", "OTRO Ñ", "", None]
 

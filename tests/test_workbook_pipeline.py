@@ -38,9 +38,9 @@ def folder():
     hdr = ["RUT", "Código", "Razón Social", "Ministerio", "Fecha de Presentación", "Régimen", "Tramo", "Monto UI"]
     write_xlsx(os.path.join(root, "Presentados 2020.xlsx"),
                {"Hoja1": {1: hdr, **{i + 2: _pres_row(t, as_number_rut=True) for i, t in enumerate(PRES[:5])}}})
-    write_xlsx(os.path.join(root, "sub", "Macrobase PRESENTADOS.xlsm"), {
+    write_xlsx(os.path.join(root, "sub", "Registro PRESENTADOS.xlsm"), {
         "Notas": {1: ["Empresa", "Comentario"], 2: ["x", "y"]},
-        "Datos": {1: ["Macrobase COMAP"], 2: ["Proyectos presentados"], 3: ["corte 2020"],
+        "Datos": {1: ["Registro de proyectos"], 2: ["Proyectos presentados"], 3: ["corte 2020"],
                   6: ["Nro RUT", "Expediente", "Empresa", "Organismo", "Fecha", "Decreto", "Etapa", "Inversión UI"],
                   **{7 + i: _pres_row(t) for i, t in enumerate(PRES[5:])}},
     })
@@ -64,7 +64,7 @@ def test_inventory(spark, folder):
     inv = W.inventory(spark, folder, os.path.join(folder, "processed"))
     st = {r.file_name: (r.status, sorted(r.datasets)) for r in inv.collect()}
     assert st["Presentados 2020.xlsx"] == ("selected", ["presentados"])
-    assert st["Macrobase PRESENTADOS.xlsm"] == ("selected", ["presentados"])
+    assert st["Registro PRESENTADOS.xlsm"] == ("selected", ["presentados"])
     assert st["Recomendados.xlsx"] == ("selected", ["recomendados"])
     assert st["otros.xlsx"][0] == "unclassified"
     assert st["~$Recomendados.xlsx"][0] == "lock_file"
@@ -81,7 +81,7 @@ def test_decode_and_headers(spark, folder):
     inf = pipeline.infer(rows, files)
     chosen = {(os.path.basename(r.source_path), r.dataset): (r.source_sheet, r.header_row)
               for r in inf.chosen.collect()}
-    assert chosen[("Macrobase PRESENTADOS.xlsm", "presentados")] == ("Datos", 6)
+    assert chosen[("Registro PRESENTADOS.xlsm", "presentados")] == ("Datos", 6)
     assert chosen[("Presentados 2020.xlsx", "presentados")] == ("Hoja1", 1)
     assert chosen[("Recomendados.xlsx", "recomendados")] == ("Recomendados", 2)
     res = {(os.path.basename(r.source_path), r.field): (r.col_idx, r.column_name) for r in inf.resolved.collect()}
@@ -100,18 +100,18 @@ def test_full_run(spark, folder):
         ("rut_codigo_ambiguous", "presentado"): 3, ("rut_codigo_tramo", "presentado"): 2,
         ("rut_codigo_unique", "presentado"): 2,
     }
-    auth = {r.project_row_id: r for r in outs["comap_projects_authoritative"].collect()}
+    auth = {r.project_row_id: r for r in outs["projects_authoritative"].collect()}
     assert auth[1].fecha_recomendado == D(2020, 5, 15) and auth[1].monto_ui_recomendado == 900.0
     assert auth[3].ministerio_evaluador == "MIEM" and auth[3].match_method == "rut_codigo_unique"
-    assert auth[6].source_file == "Macrobase PRESENTADOS.xlsm" and auth[6].source_row == 7
+    assert auth[6].source_file == "Registro PRESENTADOS.xlsm" and auth[6].source_row == 7
     summary = [tuple(r) for r in outs["summary_by_ministerio"].collect()]
     assert summary[0] == ("MEF", 3, 2, 1, 1, 2, 1100.0, 1260.0)
-    for name in ("macrobase_presentados_normalized", "macrobase_recomendados_normalized",
-                 "comap_projects_authoritative", "summary_by_ministerio", "linkage_audit"):
+    for name in ("presentados_normalized", "recomendados_normalized",
+                 "projects_authoritative", "summary_by_ministerio", "linkage_audit"):
         assert os.path.isdir(os.path.join(out_dir, name))
     csv = spark.read.option("header", True).csv(os.path.join(out_dir, "linkage_audit"))
     assert csv.agg(F.sum(F.col("rows").cast("int"))).first()[0] == 11
-    ids = spark.read.option("header", True).csv(os.path.join(out_dir, "macrobase_presentados_normalized"))
+    ids = spark.read.option("header", True).csv(os.path.join(out_dir, "presentados_normalized"))
     assert sorted(int(r.presentado_row_id) for r in ids.collect()) == list(range(1, 10))
     ledger = {r.file_name: r for r in outs["ledger"].collect()}
     assert ledger["roto_recomendados.xlsx"].decode_error is not None
