@@ -3,8 +3,8 @@
 1. Texts that are the same word sequence form one class (a 128-bit digest of the words): copies are never paired.
 2. Each class gets a SetSketch: per register the minimum of an exponential variate over the shingles, truncated to
    the grid ``b**-k`` (integer ``k``).  Sketches merge by the larger register.
-3. Bands of registers are bucket keys.  In each bucket every member is paired with the bucket's smallest member (a
-   star, linear in its size).  For sets with similarity s two members share some bucket with probability
+3. Bands of registers are bucket keys.  In each bucket every member is paired with the bucket's centre, the member that
+   shares buckets with the most others (a star, linear in its size).  For sets with similarity s two members share some bucket with probability
    ``1 - (1 - s**rows) ** bands``: at 0.75 with 32 bands of 4 rows all but about 5 in a million.
 4. A pair goes on if its joint likelihood (counts of larger, smaller and equal registers given both known set sizes)
    does not exclude the threshold by more than five standard deviations; then both full shingle sets are compared.
@@ -204,10 +204,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("node", F.concat(_ordered_bytes(F.col("rep")), "digest"))
     )
     banded = nodes.select("node", "size", F.explode("bands").alias("key"))
-    buckets = written(
-        banded.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    )
+    buckets = written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = written(banded.join(buckets, "key"))
+    # the member that shares buckets with the most others is nearest to all of them: an original among its edited copies
+    shared = written(members.groupBy("node").agg(F.sum("n").alias("shared")))
+    centres = written(
+        members.select("key", "node").join(shared, "node").groupBy("key").agg(F.max(F.struct("shared", "node")).alias("top"))
+        .select("key", F.col("top.node").alias("centre"))
+    )
 
     def fits(a, b):
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -230,14 +234,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         a, b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in ("a", "b"))
         return written(likely.select("a", "b").join(b, "b").join(a, "a").mapInArrow(_verified(percent), "a binary, b binary"))
 
-    stars = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    found = components(linked(stars))
+    stars = members.select("key", "node").join(centres, "key").where("node <> centre")
+    found = components(linked(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()))
 
     # buckets of three or more that still hold several components: every member outside the bucket's largest component
     # is compared with the members of all other components (pairs with the centre are known)
     placed = written(
         members.where("n > 2").join(found, "node", "left").select(
-            "key", "node", "size", "centre", F.coalesce("component", "node").alias("component")
+            "key", "node", "size", F.coalesce("component", "node").alias("component")
         )
     )
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -245,7 +249,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
         .where("parts > 1").select("key", "main")
     )
-    open_ = written(placed.join(mixed, "key"))
+    open_ = written(placed.join(mixed, "key").join(centres, "key"))
     o, m = open_.where("component <> main").alias("o"), open_.alias("m")
     rest = o.join(m, "key").where(
         (F.col("o.component") != F.col("m.component"))
