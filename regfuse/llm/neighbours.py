@@ -188,6 +188,7 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 5, relax: float = 1.0
     blocks = written(q.select("dim", "block", "id", "v").groupBy("dim", "block").applyInPandas(pack, "dim int, block int, ids binary, vectors binary"))
     pairs = index.select("dim", "shard").join(blocks.select("dim", "block"), "dim")  # a row for each shard and block
     left, right = index.join(pairs, ["dim", "shard"]), blocks.join(pairs, ["dim", "block"])
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)  # their columns come from the same tables
     by = ("dim", "shard", "block")
     found = written(
         left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(_search(k, relax), "query_id bigint, vec_id bigint, score double")

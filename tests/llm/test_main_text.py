@@ -20,7 +20,7 @@ NOISE = """<header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li><
         (f"<p>{P1}</p><p>a &lt;b&gt; &amp;amp; &#233;&nbsp;c\n\t d</p>", f"{P1}\na <b> &amp; é c d"),
         (f"<article><p>{P1}</p><script>var t = '</p><p>no</p>';</script><style>p{{}}</style><!-- <p>no</p> --><p>{P2}</p><form><p>no</p></form></article>", f"{P1}\n{P2}"),
         (f"<article><p>{P1}<div class='cookie-notice'>no, no, no</div><p>x<i>y</i>z <a href='#'>link</a></p></article>", f"{P1}\nxyz link"),
-        (f"<body><div>{P1}</div><div>{P2}</div><div><a href=1>one</a> <a href=2>two</a></div></body>", f"{P1}\n{P2}\none two"),
+        (f"<body><div>{P1}</div><div>{P2}</div><div><a href=1>one</a> <a href=2>two</a></div></body>", f"{P1}\n{P2}"),
         ("just < text, no tags", "just < text, no tags"),
         (f"<article><p>{P1}</p><img alt='a > b'><p>{P2}</p>", f"{P1}\n{P2}"),
         (f"<article><p>{P1}</p><div id='comments'><p>{P2}</p></div><blockquote><p>{P2}</p></blockquote></article>", f"{P1}\n{P2}"),
