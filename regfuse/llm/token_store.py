@@ -14,7 +14,9 @@ with the smallest hashes) reaches the driver.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import os
 import sys
 import uuid
@@ -31,32 +33,84 @@ from regfuse.session import checkpoint_dir
 
 END_ID = 0
 BLOCK_BYTES = 1 << 20
-SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 1024, 32 << 10
-BATCH_CHARS = 1 << 21
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_IDS, DICTIONARY_BYTES = 1000, 8192, 1024, 32 << 10
+BATCH_TEXTS = 64  # texts or words given to the library at once
+ROWS = 256  # texts encoded, and written to Arrow, at once
 
 
+class _Pieces(dict):
+    """Ids (little-endian unsigned 32-bit) of words after a space, remembered; bounded, and filled a batch at a time."""
+
+    limit = 500_000
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.stops = dict(zip(".,;:!?", encode(list(".,;:!?")), strict=True))
+
+    def learn(self, words: set[str]) -> None:
+        new = {w for w in words if w not in self}
+        if len(self) + 2 * len(new) > self.limit:
+            self.clear()
+            new = set(words)
+        # letters and one stop after them are separate pieces: such a word's ids are the letters' and the stop's
+        stopped = {w for w in new if w[-1:] in self.stops and w[:-1].isalpha()}
+        plain = [w for w in (new - stopped) | {w[:-1] for w in stopped} if w not in self]
+        self.update(zip(plain, self.encode([" " + w for w in plain]), strict=True))
+        self.update((w, self[w[:-1]] + self.stops[w[-1]]) for w in stopped)
+
+
+def _splits_at_spaces(tokenizer_json: str) -> bool:
+    """Byte-level BPE whose words carry their leading space: a text's ids are those of its first word and of each later
+    word after its space, one after the other, provided that no two spaces meet."""
+    kind = json.loads(tokenizer_json)
+    before = kind.get("pre_tokenizer") or {}
+    return (
+        kind.get("normalizer") is None and not kind.get("truncation") and before.get("type") == "ByteLevel"
+        and not before.get("add_prefix_space") and before.get("use_regex", True) and kind["model"].get("type") == "BPE"
+    )
+
+
+@functools.lru_cache(maxsize=1)
 def _encoder(tokenizer_json: str):
+    """texts -> for each the bytes of its ids and the end id.  A worker keeps its words from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
     tokenizer.encode_special_tokens = True
+    end = END_ID.to_bytes(4, "little")
 
-    def encode(texts: list[str]) -> list[bytes]:
-        """Ids of each text and the end id, little-endian unsigned 32-bit."""
-        out, i = [], 0
-        while i < len(texts):
-            j, chars = i, 0
-            while j < len(texts) and (j == i or chars + len(texts[j]) <= BATCH_CHARS):
-                chars += len(texts[j])
-                j += 1
-            for e in tokenizer.encode_batch_fast(texts[i:j], add_special_tokens=False):
+    def library(texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), BATCH_TEXTS):
+            for e in tokenizer.encode_batch_fast(texts[i : i + BATCH_TEXTS], add_special_tokens=False):
                 ids = array("I", e.ids)  # four bytes an id
-                ids.append(END_ID)
                 if sys.byteorder == "big":
                     ids.byteswap()
                 out.append(ids.tobytes())
-            i = j
+        return out
+
+    if not _splits_at_spaces(tokenizer_json):
+        return lambda texts: [x + end for t in texts for x in library([t])]
+    pieces, starts = _Pieces(library), {}
+
+    def encode(texts: list[str]) -> list[bytes]:
+        out = []
+        for text in texts:
+            if "  " in text:
+                out.append(library([text])[0] + end)
+                continue
+            first, *rest = text.split(" ")
+            words = set(rest)
+            if len(words) > pieces.limit // 4:  # an exceptional text is encoded whole, so that memory stays bounded
+                out.append(library([text])[0] + end)
+                continue
+            pieces.learn(words)
+            if first not in starts:
+                if len(starts) >= pieces.limit // 4:
+                    starts.clear()
+                starts[first] = library([first])[0] if first else b""
+            out.append(b"".join([starts[first], *map(pieces.__getitem__, rest), end]))
         return out
 
     return encode
@@ -67,9 +121,12 @@ def _decoded(column) -> list[str]:
 
 
 def train_dictionary(docs: DataFrame, tokenizer_json: str) -> bytes:
-    """A dictionary from the first ``SAMPLE_IDS`` ids of the ``SAMPLE_DOCS`` documents with the smallest text hashes
-    (the bound of what reaches the driver); empty where there is too little to train on."""
-    picked = docs.select("text", F.xxhash64("text").alias("h")).where("text is not null").orderBy("h").limit(SAMPLE_DOCS)
+    """A dictionary from the first ids of the ``SAMPLE_DOCS`` documents with the smallest text hashes (at most
+    ``SAMPLE_IDS`` ids of ``SAMPLE_CHARS`` characters each, the bound of what reaches the driver); empty where there is
+    too little to train on."""
+    begun = F.substring("text", 1, SAMPLE_CHARS)
+    picked = docs.select(begun.alias("text"), F.xxhash64("text").alias("h")).where("text is not null")
+    picked = picked.orderBy("h", "text").limit(SAMPLE_DOCS)
 
     def sample(batches):
         encode = _encoder(tokenizer_json)
@@ -90,7 +147,7 @@ def _frames(tokenizer_json: str, dictionary: bytes):
         encode = _encoder(tokenizer_json)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         pack = zstandard.ZstdCompressor(level=3, dict_data=shared, write_dict_id=False)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             ids = encode(_decoded(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(pack.compress, ids), pa.binary())],
