@@ -9,9 +9,8 @@ rule tables; the defaults below are the reference behaviour.
 # --- fixed values: canonical fields and their header aliases, priority order ---
 COLUMN_ALIASES = {
     "rut": ["rut", "r_u_t", "nro_rut", "numero_rut", "documento"],
-    "codigo_comap": [
-        "codigo_comap", "cod_comap", "codigo", "nro_comap", "numero_comap",
-        "expediente", "nro_expediente", "numero_expediente", "archivo", "carpeta",
+    "codigo": [
+        "codigo", "expediente", "nro_expediente", "numero_expediente", "archivo", "carpeta",
     ],
     "empresa": ["empresa", "razon_social", "nombre_empresa", "denominacion", "titular"],
     "ministerio_evaluador": [
@@ -24,7 +23,7 @@ COLUMN_ALIASES = {
     ],
     "fecha_recomendado": [
         "fecha_recomendado", "fecha_recomendacion", "fecha_de_recomendacion",
-        "recomendado", "fecha_aprobacion", "fecha_resolucion", "fecha_comap",
+        "recomendado", "fecha_aprobacion", "fecha_resolucion",
     ],
     "regimen": ["regimen", "decreto", "normativa", "marco_normativo"],
     "tramo": ["tramo", "ampliacion", "tipo_tramo", "etapa"],
@@ -59,9 +58,16 @@ DATASET_EXCLUDED_FIELD = {
 EXCEL_EPOCH_1900 = "1899-12-30"
 EXCEL_EPOCH_1904 = "1904-01-01"
 
+# --- fixed values: Spanish month names and abbreviations, January first ---
+MONTH_NAMES = [
+    ["enero", "ene"], ["febrero", "feb"], ["marzo", "mar"], ["abril", "abr"], ["mayo", "may"], ["junio", "jun"],
+    ["julio", "jul"], ["agosto", "ago"], ["septiembre", "setiembre", "sept", "sep", "set"], ["octubre", "oct"],
+    ["noviembre", "nov"], ["diciembre", "dic"],
+]
+
 # Key fields: a row with all of these missing is dropped (regimen and tramo do not count).
 KEY_FIELDS = [
-    "rut", "codigo_comap", "empresa", "ministerio_evaluador",
+    "rut", "codigo", "empresa", "ministerio_evaluador",
     "fecha_presentado", "fecha_recomendado", "monto_ui",
 ]
 

@@ -2,8 +2,10 @@
 
 Typed cells dispatch on their type: a date cell is its date, a numeric cell is
 an Excel serial day (floored), a text cell is tried in day-month-year,
-year-month-day, then month-day-year order.  Two-digit years pivot at 69
-(69..99 -> 19xx, 00..68 -> 20xx).  A bare 5-digit text is read as a serial.
+year-month-day, then month-day-year order, with the month as a number or a
+Spanish name.  Two-digit years pivot at 69 (69..99 -> 19xx, 00..68 -> 20xx).
+A bare 5-digit text is read as a serial.  Serials count from the workbook's
+epoch (the 1900 or the 1904 system).
 """
 
 from __future__ import annotations
@@ -11,20 +13,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regfuse.functions._memo import memo_column
-
-from regfuse.functions.constants import EXCEL_EPOCH_1900
+from regfuse.functions.constants import EXCEL_EPOCH_1900, EXCEL_EPOCH_1904, MONTH_NAMES
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@memo_column
-def serial_to_date(n, epoch: str = EXCEL_EPOCH_1900) -> Column:
+def epoch_of(date1904) -> Column:
+    """Day zero of a workbook's serials; NULL counts as the 1900 system."""
+    first, second = (F.lit(e).cast("date") for e in (EXCEL_EPOCH_1900, EXCEL_EPOCH_1904))
+    return F.when(_col(date1904), second).otherwise(first)
+
+
+def serial_to_date(n, epoch=None) -> Column:
     """Excel serial day -> date (fractional part = time of day, dropped)."""
     days = F.floor(_col(n)).cast("int")
-    return F.date_add(F.lit(epoch).cast("date"), days)
+    return F.date_add(F.lit(EXCEL_EPOCH_1900).cast("date") if epoch is None else epoch, days)
 
 
 def _days_in_month(y: Column, m: Column) -> Column:
@@ -43,18 +48,30 @@ def _pivot(yy: Column) -> Column:
     return F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
 
 
-@memo_column
+def _months_as_numbers(t: Column) -> Column:
+    """A Spanish month name or abbreviation becomes its number, after the day
+    if it stood before it; texts without letters are left as they are."""
+    any_name = "|".join(n for names in MONTH_NAMES for n in names)
+    low = F.regexp_replace(F.lower(t), rf"^({any_name})[. ]+([0-9]{{1,2}})\b", "$2 $1")
+    found = F.regexp_extract(low, rf"\b({any_name})\b", 1)
+    number = F.lit(None).cast("string")
+    for i, names in enumerate(MONTH_NAMES, start=1):
+        number = F.when(found.isin(*names), F.lit(f"/{i}/")).otherwise(number)
+    named = F.coalesce(F.regexp_replace(low, rf"\b({any_name})\b", number), low)
+    return F.when(t.rlike("[A-Za-z]{3}"), named).otherwise(t)
+
+
 def date_text_shape(c) -> Column:
     """Digits-and-slashes form of a date text: runs of non-digits become one
     ``/``, ends trimmed, a trailing time of day dropped."""
-    t = F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
+    t = _months_as_numbers(F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " ")))
     v = F.regexp_replace(F.regexp_replace(t, "[^0-9]+", "/"), "^/+|/+$", "")
     return F.regexp_replace(v, r"^([0-9]+/[0-9]+/[0-9]+)(/[0-9]{1,2}){2,3}$", "$1")
 
 
 # Parts of a shape, as plain columns: three slash-separated numbers with their
-# digit counts, or the three ways an 8-digit run splits.
-_PART_COLS = ["_a", "_b", "_c", "_la", "_lb", "_lc", "_e8", "_dd", "_mm", "_yyyy"]
+# digit counts, or the ways a run of 8 or 6 digits splits.
+_PART_COLS = ["_a", "_b", "_c", "_la", "_lb", "_lc", "_e8", "_dd", "_mm", "_yyyy", "_six", "_p", "_q", "_r"]
 
 
 def _shape_parts(shape: Column) -> dict[str, Column]:
@@ -70,12 +87,17 @@ def _shape_parts(shape: Column) -> dict[str, Column]:
     out["_dd"] = F.when(eight, F.substring(shape, 1, 4).try_cast("int"))   # ddMM (or yyyy)
     out["_mm"] = F.when(eight, F.substring(shape, 5, 2).try_cast("int"))   # yy.. (or MM)
     out["_yyyy"] = F.when(eight, F.substring(shape, 5, 4).try_cast("int"))
+    six = shape.rlike("^[0-9]{6}$")
+    out["_six"] = six
+    for name, at in (("p", 1), ("q", 3), ("r", 5)):
+        out[f"_{name}"] = F.when(six, F.substring(shape, at, 2).try_cast("int"))
     return out
 
 
-def _date_from_parts(a, b, c, la, lb, lc, e8, h4, m2, t4, squished=None) -> Column:
-    """First valid reading, in order: d/m/yyyy, d/m/yy, ddmmyyyy, yyyy/m/d,
-    yyyymmdd, m/d/yyyy, yy/m/d, m/d/yy (each only for texts of its shape)."""
+def _date_from_parts(a, b, c, la, lb, lc, e8, h4, m2, t4, six, p, q, r, squished, epoch=None) -> Column:
+    """First valid reading, in order: d/m/yyyy, d/m/yy, ddmmyyyy, ddmmyy,
+    yyyy/m/d, yyyymmdd, m/d/yyyy, yy/m/d, yymmdd, m/d/yy, mmddyy (each only for
+    texts of its shape)."""
     short_ab = la.between(1, 2) & lb.between(1, 2)
     # 8 digits: h4 = first four digits, t4 = last four, m2 = digits 5-6
     dd8, mm8, yy8 = (h4 / 100).cast("int"), h4 % 100, t4
@@ -84,71 +106,35 @@ def _date_from_parts(a, b, c, la, lb, lc, e8, h4, m2, t4, squished=None) -> Colu
         (short_ab & (lc == 4), c, b, a),
         (short_ab & (lc == 2), _pivot(c), b, a),
         (e8, yy8, mm8, dd8),
+        (six, _pivot(r), q, p),
         ((la == 4) & lb.between(1, 2) & lc.between(1, 2), a, b, c),
         (e8, y8, mo8, d8),
         (short_ab & (lc == 4), c, a, b),
         ((la == 2) & lb.between(1, 2) & lc.between(1, 2), _pivot(a), b, c),
+        (six, _pivot(p), q, r),
         (short_ab & (lc == 2), _pivot(c), a, b),
+        (six, _pivot(r), p, q),
     ]
-    out = None
-    if squished is not None:
-        sq = squished
-        out = F.when(sq.rlike("^[0-9]{5}(\\.[0-9]+)?$"), serial_to_date(sq.try_cast("double")))
+    out = F.when(squished.rlike("^[0-9]{5}(\\.[0-9]+)?$"), serial_to_date(squished.try_cast("double"), epoch))
     for cond, y, m, d in cands:
         ok = F.coalesce(cond & _valid(y, m, d), F.lit(False))
-        out = F.when(ok, F.make_date(y, m, d)) if out is None else out.when(ok, F.make_date(y, m, d))
+        out = out.when(ok, F.make_date(y, m, d))
     return out
 
 
-def parse_date_text(c) -> Column:
+def parse_date_text(c, epoch=None) -> Column:
     """Free-text date -> date, or NULL when no order yields a valid date.
 
     The shape parts are bound once through a lambda so the expression stays
     small wherever it is used.  Pipelines should prefer ``with_parsed_date``,
     which materialises them in projections and stays in generated code."""
     squished = F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
-    shape = date_text_shape(c)
-    p = _shape_parts(shape)
+    p = _shape_parts(date_text_shape(c))
     bound = F.array(F.struct(*[v.alias(k) for k, v in p.items()], squished.alias("_sq")))
-    return F.transform(
-        bound,
-        lambda r: _date_from_parts(r["_a"], r["_b"], r["_c"], r["_la"], r["_lb"], r["_lc"], r["_e8"],
-                                   r["_dd"], r["_mm"], r["_yyyy"], r["_sq"]),
-    )[0]
-
-
-def _valid_sql(y: str, m: str, d: str) -> str:
-    leap = f"(({y}) % 4 = 0 AND ({y}) % 100 <> 0 OR ({y}) % 400 = 0)"
-    dim = f"CASE WHEN ({m}) = 2 THEN CASE WHEN {leap} THEN 29 ELSE 28 END WHEN ({m}) IN (4, 6, 9, 11) THEN 30 ELSE 31 END"
-    return (f"({y}) BETWEEN 1 AND 9999 AND ({m}) BETWEEN 1 AND 12 AND ({d}) BETWEEN 1 AND 31 "
-            f"AND ({d}) <= {dim}")
-
-
-def _date_from_parts_sql(a, b, c, la, lb, lc, e8, h4, m2, t4, sq) -> str:
-    """SQL text of ``_date_from_parts`` over column names (one expression,
-    parsed on the JVM side: building it costs one call, not hundreds)."""
-    def piv(x):
-        return f"(CASE WHEN {x} >= 69 THEN {x} + 1900 ELSE {x} + 2000 END)"
-
-    short_ab = f"{la} BETWEEN 1 AND 2 AND {lb} BETWEEN 1 AND 2"
-    cands = [
-        (f"{short_ab} AND {lc} = 4", c, b, a),
-        (f"{short_ab} AND {lc} = 2", piv(c), b, a),
-        (e8, t4, f"{h4} % 100", f"{h4} div 100"),
-        (f"{la} = 4 AND {lb} BETWEEN 1 AND 2 AND {lc} BETWEEN 1 AND 2", a, b, c),
-        (e8, h4, m2, f"{t4} % 100"),
-        (f"{short_ab} AND {lc} = 4", c, a, b),
-        (f"{la} = 2 AND {lb} BETWEEN 1 AND 2 AND {lc} BETWEEN 1 AND 2", piv(a), b, c),
-        (f"{short_ab} AND {lc} = 2", piv(c), a, b),
-    ]
-    arms = [f"WHEN {sq} RLIKE '^[0-9]{{5}}([.][0-9]+)?$' "
-            f"THEN date_add(DATE'1899-12-30', CAST(floor(try_cast({sq} AS DOUBLE)) AS INT))"]
-    for cond, y, m, d in cands:
-        arms.append(f"WHEN coalesce(({cond}) AND {_valid_sql(y, m, d)}, false) THEN make_date({y}, {m}, {d})")
-    return "CASE " + " ".join(arms) + " END"
+    return F.transform(bound, lambda r: _date_from_parts(*[r[k] for k in _PART_COLS], r["_sq"], epoch))[0]
 
 
-def with_parsed_date(df, text_col: str, out_col: str):
+def with_parsed_date(df, text_col: str, out_col: str, epoch=None):
     """``df`` plus ``out_col`` = date parsed from ``text_col``, in three small
     projections (shape -> parts -> date), all in generated code."""
     pre = f"_{out_col}"
@@ -160,16 +146,16 @@ def with_parsed_date(df, text_col: str, out_col: str):
     )
     parts = _shape_parts(F.col(f"{pre}_shape"))
     staged = staged.withColumns({f"{pre}{k}": v for k, v in parts.items()})
-    names = [f"`{pre}{k}`" for k in _PART_COLS] + [f"`{pre}_sq`"]
-    staged = staged.withColumn(out_col, F.expr(_date_from_parts_sql(*names)))
+    names = [F.col(f"{pre}{k}") for k in _PART_COLS]
+    staged = staged.withColumn(out_col, _date_from_parts(*names, F.col(f"{pre}_sq"), epoch))
     return staged.drop(f"{pre}_shape", f"{pre}_sq", *[f"{pre}{k}" for k in _PART_COLS])
 
 
-def cell_date(cell_type, text, num, ts, epoch: str = EXCEL_EPOCH_1900) -> Column:
+def cell_date(cell_type, text, num, ts, epoch=None) -> Column:
     """Typed cell -> date."""
     ct = _col(cell_type)
     return (
         F.when(ct == "date", F.to_date(_col(ts)))
         .when(ct == "number", serial_to_date(num, epoch))
-        .when(ct == "text", parse_date_text(text))
+        .when(ct == "text", parse_date_text(text, epoch))
     )

@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regfuse.functions._memo import memo_column
-
 _PATTERNS = {
     # decimal mark ',', grouping '.'
     "comma": r"^[^-0-9,]*(-?[0-9.]*(?:[,][0-9.]*)?(?:[eE][+-]?[0-9]+)?)",
@@ -29,7 +27,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@memo_column
 def parse_number(c, locale: str = "comma") -> Column:
     """First number in ``c`` as double under ``locale`` ('comma' or 'dot')."""
     raw = F.nullif(F.regexp_extract(_col(c), _PATTERNS[locale], 1), F.lit(""))
@@ -59,7 +56,6 @@ def locale_vote(df: DataFrame, group_cols, text_col: str) -> DataFrame:
     )
 
 
-@memo_column
 def parse_number_with_vote(text_col, locale_col) -> Column:
     """Parse with the locale named in ``locale_col`` ('dot' or anything else -> comma)."""
     return F.when(F.col(locale_col) == "dot", parse_number(text_col, "dot")).otherwise(

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regfuse.functions._memo import memo_column
-
 from regfuse.functions.constants import MINISTRY_RULES, TRANSLIT_FROM, TRANSLIT_TO
 
 
@@ -38,7 +36,6 @@ def _fold_whitespace(x: Column) -> Column:
     return F.when(plain, x).otherwise(F.translate(x, WHITESPACE, " " * len(WHITESPACE)))
 
 
-@memo_column
 def normalize_name(c) -> Column:
     """ASCII-fold, lower-case, collapse runs of non ``[a-z0-9]`` into ``_``,
     strip one leading and one trailing ``_``.  NULL stays NULL."""
@@ -50,7 +47,6 @@ def normalize_name(c) -> Column:
     return F.btrim(x, F.lit("_"))
 
 
-@memo_column
 def as_text(c) -> Column:
     """Trim and squish whitespace (Unicode aware, so NBSP counts).
 
@@ -61,28 +57,35 @@ def as_text(c) -> Column:
     return F.trim(squeezed)
 
 
-@memo_column
 def blank_to_null(c) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
-@memo_column
 def num_to_text(c) -> Column:
-    """Exact text of a numeric cell: integral values without a fraction,
-    no scientific notation (``2.1e11`` -> ``210000000000``)."""
-    x = _col(c).cast("double")
-    integral = x.try_cast("decimal(38,0)").cast("string")
-    frac = F.regexp_replace(x.try_cast("decimal(38,10)").cast("string"), "0+$", "")
-    return F.when(x == F.floor(x), integral).otherwise(frac)
+    """Shortest text that reads back as the same number, in plain notation at
+    any magnitude (``2.1e11`` -> ``210000000000``, ``1e-12`` -> ``0.000000000001``).
+
+    Spark prints a double as ``d.ddd`` or ``d.dddE<exp>``; the latter's digits
+    are moved to their places."""
+    t = _col(c).cast("double").cast("string")
+    sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    mantissa, power = F.substring_index(F.ltrim(t, F.lit("-")), "E", 1), F.substring_index(t, "E", -1).try_cast("int")
+    fraction = F.nullif(F.substring_index(mantissa, ".", -1), F.lit("0"))
+    digits = F.concat(F.substring_index(mantissa, ".", 1), F.coalesce(fraction, F.lit("")))
+    places = F.coalesce(F.length(fraction), F.lit(0))  # the first digit stands before the point
+    large = F.when(places <= power, F.concat(digits, F.repeat(F.lit("0"), power - places))).otherwise(
+        F.concat(F.left(digits, power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits)))
+    )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    plain = F.when(t.endswith(".0"), F.left(t, F.length(t) - 2)).otherwise(t)
+    return F.when(t.contains("E"), F.concat(sign, F.when(power >= 0, large).otherwise(small))).otherwise(plain)
 
 
-@memo_column
 def normalize_rut(c) -> Column:
     """Keep digits only; empty -> NULL."""
     return F.nullif(F.regexp_replace(_col(c), "[^0-9]", ""), F.lit(""))
 
 
-@memo_column
 def normalize_codigo(c) -> Column:
     """Squish, strip one trailing ``.0``; empty -> NULL."""
     x = as_text(c)
@@ -102,7 +105,6 @@ def _pattern_test(n: Column, pattern: str) -> Column:
     return n.rlike(pattern)
 
 
-@memo_column
 def classify_ministerio(normalized, squished, rules=MINISTRY_RULES) -> Column:
     """Rule classification over a precomputed ``normalize_name(as_text(x))``
     (``normalized``) and ``as_text(x)`` (``squished``).
@@ -127,25 +129,21 @@ def normalize_ministerio(c, rules=MINISTRY_RULES) -> Column:
     return classify_ministerio(normalize_name(as_text(c)), as_text(c), rules)
 
 
-@memo_column
 def has_text(c) -> Column:
     """True when ``as_text(c)`` would be non-blank (NULL -> False)."""
     return F.coalesce(F.length(F.trim(_fold_whitespace(_col(c)))) > 0, F.lit(False))
 
 
-@memo_column
 def tramo_clean(c) -> Column:
     """Normalised tranche; the one column where NULL folds to ``''``."""
     return normalize_name(F.coalesce(_col(c), F.lit("")))
 
 
-@memo_column
 def es_ampliacion(tramo_clean_col) -> Column:
     """A tranche is an extension when its clean text contains ``ampl``."""
     return _col(tramo_clean_col).contains("ampl")
 
 
-@memo_column
 def composite_key(a, b, sep: str = "::") -> Column:
     """``a || sep || b``; NULL when either part is NULL (``concat`` propagates)."""
     return F.concat(_col(a), F.lit(sep), _col(b))

@@ -9,7 +9,7 @@ from regfuse.operators.linkage import link_presented, recommended_only
 from regfuse.operators.rowid import dense_row_ids
 
 AUTHORITATIVE_COLUMNS = [
-    "project_row_id", "source", "match_method", "rut", "codigo_comap", "project_key",
+    "project_row_id", "source", "match_method", "rut", "codigo", "project_key",
     "empresa", "ministerio_evaluador", "fecha_presentado", "fecha_recomendado", "regimen",
     "tramo", "es_ampliacion", "monto_ui_presentado", "monto_ui_recomendado",
     "monto_ui_beneficios", "has_benefits", "recommended_rows_for_key",
@@ -31,12 +31,12 @@ def linked_union(presented: DataFrame, recommended: DataFrame, order_col: str =
     return p.unionByName(r, allowMissingColumns=True)
 
 
-def authoritative_columns(u: DataFrame) -> DataFrame:
-    """The published projection (without the row id)."""
+def authoritative_columns(u: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The published projection (without the row id) and the ``extra`` columns."""
     fr = F.col("fecha_recomendado")
     return u.select(
         "_branch", "_order_p", "_order_r",
-        "source", "match_method", "rut", "codigo_comap", "project_key", "empresa",
+        "source", "match_method", "rut", "codigo", "project_key", "empresa",
         F.coalesce("ministerio_evaluador", "ministerio_recomendado").alias("ministerio_evaluador"),
         "fecha_presentado",
         "fecha_recomendado",
@@ -48,24 +48,24 @@ def authoritative_columns(u: DataFrame) -> DataFrame:
         F.when(fr.isNotNull(), F.coalesce("monto_ui_recomendado", "monto_ui")).alias("monto_ui_beneficios"),
         fr.isNotNull().alias("has_benefits"),
         F.coalesce("recommended_rows_exact", "recommended_rows_project").alias("recommended_rows_for_key"),
-        "source_file", "source_sheet", "source_row",
+        "source_file", "source_sheet", "source_row", *extra,
     )
 
 
 def authoritative(presented: DataFrame, recommended: DataFrame, order_col: str = "_order",
-                  with_ids: bool = True, sort: bool = True) -> DataFrame:
-    """The 21-column authoritative table.
+                  with_ids: bool = True, sort: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The 21-column authoritative table, and the registers' columns ``extra``.
 
     ``with_ids``: dense ``project_row_id`` in bind order (presented rows in
     file order, then recommended-only rows in file order) - assigned before
     the final sort, as in the source pipeline.  Reports that do not publish
     the id can pass ``with_ids=False`` and skip that pass."""
-    a = authoritative_columns(linked_union(presented, recommended, order_col))
+    a = authoritative_columns(linked_union(presented, recommended, order_col), extra)
     if with_ids:
         a = dense_row_ids(a, ["_branch", "_order_p", "_order_r"], "project_row_id")
     else:
         a = a.withColumn("project_row_id", F.lit(None).cast("bigint"))
-    a = a.select(*AUTHORITATIVE_COLUMNS)
+    a = a.select(*AUTHORITATIVE_COLUMNS, *extra)
     return sort_authoritative(a) if sort else a
 
 
@@ -74,7 +74,7 @@ def sort_authoritative(a: DataFrame) -> DataFrame:
     ties in row-id order (a distributed range sort)."""
     return a.orderBy(
         F.col("rut").asc_nulls_last(),
-        F.col("codigo_comap").asc_nulls_last(),
+        F.col("codigo").asc_nulls_last(),
         F.col("fecha_presentado").asc_nulls_last(),
         F.col("tramo").asc_nulls_last(),
         F.col("project_row_id").asc_nulls_last(),

@@ -14,22 +14,41 @@ def _g(col: str, missing: str = "SIN_DATO") -> Column:
     return F.coalesce(F.col(col), F.lit(missing))
 
 
+def by_level(df: DataFrame, dims: list[str], levels: list[list[str]], sums: dict[str, Column]) -> DataFrame:
+    """Projects and summed measures for every combination of ``levels`` (each a
+    subset of ``dims``), with the level's place in the list as ``_level``.
+
+    Rows are first reduced to (dimensions, project) grain; only those are
+    repeated per level, and reduced again, so that distinct projects are plain
+    counts.  ``proyectos``: distinct keys; ``proyectos_promovidos``: those with
+    a row that has benefits; the ``sums`` are added up."""
+    reduced = df.groupBy(*dims, "project_key").agg(
+        F.max("has_benefits").alias("_promoted"), *[F.sum(c).alias(k) for k, c in sums.items()]
+    )
+    none = {d: F.lit(None).cast(df.schema[d].dataType) for d in dims}
+    marks = [
+        F.struct(F.lit(i).alias("_level"), *[(F.col(d) if d in level else none[d]).alias(d) for d in dims])
+        for i, level in enumerate(levels)
+    ]
+    spread = reduced.select("project_key", "_promoted", *sums, F.explode(F.array(*marks)).alias("_m"))
+    spread = spread.select("project_key", "_promoted", *sums, "_m.*")
+    keyed = spread.groupBy("_level", *dims, "project_key").agg(
+        F.max("_promoted").alias("_promoted"), *[F.sum(k).alias(k) for k in sums]
+    )
+    return keyed.groupBy("_level", *dims).agg(
+        F.count("project_key").alias("proyectos"),
+        F.count_if(F.col("_promoted") & F.col("project_key").isNotNull()).alias("proyectos_promovidos"),
+        *[F.sum(k).alias(k) for k in sums],
+    )
+
+
 # ---- D1 -------------------------------------------------------------------
 def promoted_projects(auth: DataFrame, by: str = "ministerio_evaluador") -> DataFrame:
     """Distinct projects with benefits, per ``by`` value and overall
     (``is_total`` marks the overall row)."""
-    hb = F.col("has_benefits")
-    return (
-        auth.withColumn(by, _g(by))
-        .rollup(by)
-        .agg(
-            F.count_distinct(F.when(hb, F.col("project_key"))).alias("proyectos_promovidos"),
-            F.count_if(hb).alias("filas_con_beneficios"),
-            F.count_distinct("project_key").alias("proyectos"),
-            F.grouping_id().alias("is_total"),
-        )
-        .withColumn("is_total", F.col("is_total") == 1)
-    )
+    rows = auth.withColumn(by, _g(by))
+    out = by_level(rows, [by], [[by], []], {"filas_con_beneficios": F.col("has_benefits").cast("bigint")})
+    return out.select(by, "proyectos_promovidos", "filas_con_beneficios", "proyectos", (F.col("_level") == 1).alias("is_total"))
 
 
 # ---- D2 -------------------------------------------------------------------
@@ -59,71 +78,81 @@ def exact_quantiles(df: DataFrame, group_cols, value: str, probs) -> DataFrame:
 def approval_time(auth: DataFrame, by: str = "ministerio_evaluador") -> DataFrame:
     """n, mean, median and p90 of days to recommendation per group; negative
     spans (recommended before presented) are counted apart and left out.
-    Two passes: one aggregation for counts and mean, one histogram for the
-    quantiles."""
-    d = approval_days(auth).withColumn(by, _g(by))
+
+    One pass: a histogram of (group, days), from which all figures follow.  It
+    has a row per distinct number of days, so its running counts are short."""
+    rows = approval_days(auth.select(by, "fecha_presentado", "fecha_recomendado")).withColumn(by, _g(by))
+    hist = rows.groupBy(by, "dias").agg(F.count(F.lit(1)).alias("_c"))
     ok = F.col("dias") >= 0
-    stats = d.groupBy(by).agg(
-        F.count_if(~ok).alias("negativos"),
-        F.count_if(ok).alias("n"),
-        F.round(F.avg(F.when(ok, F.col("dias"))), 4).alias("media_dias"),
+    c = F.when(ok, F.col("_c")).otherwise(0)
+    upto = Window.partitionBy(by).orderBy("dias").rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumns({"_cum": F.sum(c).over(upto), "_n": F.sum(c).over(Window.partitionBy(by))})
+
+    def quantile(p):
+        return F.min(F.when(ok & (F.col("_cum") > F.floor((F.col("_n") - 1) * F.lit(p))), F.col("dias")))
+
+    return hist.groupBy(by).agg(
+        F.sum(F.when(~ok, F.col("_c")).otherwise(0)).alias("negativos"),
+        F.sum(c).alias("n"),
+        F.round(F.sum(F.when(ok, F.col("dias") * F.col("_c"))) / F.sum(F.when(ok, F.col("_c"))), 4).alias("media_dias"),
+        quantile(0.5).alias("mediana_dias"),
+        quantile(0.9).alias("p90_dias"),
     )
-    q = exact_quantiles(d.where(ok), [by], "dias", {"mediana_dias": 0.5, "p90_dias": 0.9})
-    return stats.join(q, by, "left")
 
 
 # ---- D3 -------------------------------------------------------------------
 def approval_time_rollup(auth: DataFrame, date_col: str = "fecha_presentado") -> DataFrame:
     """Projects, promoted projects, amounts and mean days by year / quarter /
-    month of ``date_col``, with subtotals (``ROLLUP``)."""
-    d = auth.where(F.col(date_col).isNotNull()).withColumns(
-        {
-            "anio": F.year(date_col),
-            "trimestre": F.quarter(date_col),
-            "mes": F.month(date_col),
-            "_dias": F.datediff("fecha_recomendado", "fecha_presentado"),
-        }
+    month of ``date_col``, with subtotals; rows without the date are a group of
+    their own (year, quarter and month NULL), so the total counts every row.
+    ``nivel``: 0 month, 1 quarter, 3 year, 7 total."""
+    days = F.datediff("fecha_recomendado", "fecha_presentado")
+    rows = auth.select(
+        F.year(date_col).alias("anio"), F.quarter(date_col).alias("trimestre"), F.month(date_col).alias("mes"),
+        "project_key", "has_benefits", "monto_ui_beneficios", F.when(days >= 0, days).alias("_dias"),
     )
-    hb = F.col("has_benefits")
-    return d.rollup("anio", "trimestre", "mes").agg(
-        F.count(F.lit(1)).alias("filas"),
-        F.count_distinct("project_key").alias("proyectos"),
-        F.count_distinct(F.when(hb, F.col("project_key"))).alias("proyectos_promovidos"),
-        F.round(F.coalesce(F.sum("monto_ui_beneficios"), F.lit(0.0)), 2).alias("monto_ui_beneficios"),
-        F.round(F.avg(F.when(F.col("_dias") >= 0, F.col("_dias"))), 4).alias("media_dias"),
-        F.grouping_id().alias("nivel"),
+    dims = ["anio", "trimestre", "mes"]
+    sums = {"filas": F.lit(1).cast("bigint"), "monto": F.col("monto_ui_beneficios"), "dias": F.col("_dias"),
+            "con_dias": F.col("_dias").isNotNull().cast("bigint")}
+    out = by_level(rows, dims, [dims, dims[:2], dims[:1], []], sums)
+    return out.select(
+        *dims, "filas", "proyectos", "proyectos_promovidos",
+        F.round(F.coalesce("monto", F.lit(0.0)), 2).alias("monto_ui_beneficios"),
+        F.round(F.col("dias") / F.nullif("con_dias", F.lit(0)), 4).alias("media_dias"),
+        F.element_at(F.array(F.lit(0), F.lit(1), F.lit(3), F.lit(7)), F.col("_level") + 1).cast("bigint").alias("nivel"),
     )
 
 
 # ---- D4 -------------------------------------------------------------------
-def register_ledger(register: DataFrame, auth: DataFrame | None = None) -> DataFrame:
-    """Per source file: rows kept, rows with a key, duplicated (key, tranche)
+def register_ledger(register: DataFrame, auth: DataFrame | None = None, by: str = "source_file") -> DataFrame:
+    """Per source file (named by the column ``by``): rows kept, rows with a key, duplicated (key, tranche)
     rows (they repeat the same recommendation, see the summary caveat) and,
     when ``auth`` is given, output rows per match method."""
     dup = (
         register.where(F.col("project_key").isNotNull())
-        .groupBy("source_file", "project_key", "tramo_clean")
+        .groupBy(by, "project_key", "tramo_clean")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("source_file")
+        .groupBy(by)
         .agg(F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("filas_clave_duplicada"))
     )
-    base = register.groupBy("source_file").agg(
+    base = register.groupBy(by).agg(
         F.count(F.lit(1)).alias("filas"),
         F.count("project_key").alias("filas_con_clave"),
         F.count_distinct("project_key").alias("claves"),
     )
-    out = base.join(dup, "source_file", "left").fillna(0, ["filas_clave_duplicada"])
+    out = base.join(dup, by, "left").fillna(0, ["filas_clave_duplicada"])
     if auth is not None:
         methods = ["rut_codigo_tramo", "rut_codigo_unique", "rut_codigo_ambiguous", "presentado_only", "recomendado_only"]
-        m = auth.groupBy("source_file").pivot("match_method", methods).agg(F.count(F.lit(1)))
-        out = out.join(m, "source_file", "left").fillna(0, methods)
+        m = auth.groupBy(by).pivot("match_method", methods).agg(F.count(F.lit(1)))
+        out = out.join(m, by, "left").fillna(0, methods)
     return out
 
 
 def form_ledger(inv: DataFrame, errors: DataFrame, chosen: DataFrame, pres: DataFrame, rec: DataFrame,
                 auth: DataFrame) -> DataFrame:
     """Per discovered file: status, datasets, decode error, chosen sheet,
-    header row and scores, rows kept per dataset, output rows per method."""
+    header row and scores, rows kept per dataset, output rows per method.
+    Files are told apart by their path (``auth`` carries ``source_path``)."""
     files = inv.select(F.col("path").alias("source_path"), "file_name", "status", "datasets", "length",
                        "modificationTime")
     files = files.join(errors, "source_path", "left")
@@ -134,13 +163,10 @@ def form_ledger(inv: DataFrame, errors: DataFrame, chosen: DataFrame, pres: Data
         rec.select("source_path").withColumn("ds", F.lit("recomendados"))
     )
     kept = kept.groupBy("source_path").pivot("ds", ["presentados", "recomendados"]).agg(F.count(F.lit(1)))
-    per_method = register_ledger(
-        pres.select("source_file", "project_key", "tramo_clean").unionByName(
-            rec.select("source_file", "project_key", "tramo_clean")), auth
-    )
+    columns = ["source_path", "project_key", "tramo_clean"]
+    per_method = register_ledger(pres.select(*columns).unionByName(rec.select(*columns)), auth, by="source_path")
     out = files.join(sheets, "source_path", "left").join(kept, "source_path", "left")
-    per_method = per_method.drop("filas").withColumnRenamed("source_file", "file_name")
-    return out.join(per_method, "file_name", "left")
+    return out.join(per_method.drop("filas"), "source_path", "left")
 
 
 # ---- D5 -------------------------------------------------------------------
@@ -169,10 +195,11 @@ def schema_versions(resolved: DataFrame, chosen: DataFrame) -> DataFrame:
 # ---- D9 -------------------------------------------------------------------
 def key_sample(df: DataFrame, buckets: int, bucket: int = 0, key: str = "project_key") -> DataFrame:
     """Deterministic sample that keeps every row of a key together: rows whose
-    key hashes to ``bucket`` of ``buckets``; rows without a key are sampled by
-    their own provenance so they are not all in or all out."""
+    key falls into ``bucket`` of ``buckets`` by the first 32 bits of its md5;
+    rows without a key are sampled by their own provenance so they are not all
+    in or all out."""
     k = F.coalesce(F.col(key), F.concat_ws("#", "source_file", "source_sheet", F.col("source_row").cast("string")))
-    return df.where(F.pmod(F.xxhash64(k), F.lit(buckets)) == bucket)
+    return df.where(F.conv(F.left(F.md5(k), F.lit(8)), 16, 10).cast("bigint") % buckets == bucket)
 
 
 # ---- D10 ------------------------------------------------------------------
@@ -213,34 +240,32 @@ def company_profile(auth: DataFrame) -> DataFrame:
 
 
 # ---- D12 ------------------------------------------------------------------
-# --- fixed values: default indicator matrix (name -> SQL aggregate) ---
+# --- fixed values: default indicator matrix (name -> row expression that is summed) ---
 DEFAULT_METRICS = {
-    "filas": "count(1)",
-    "proyectos": "count(DISTINCT project_key)",
-    "proyectos_promovidos": "count(DISTINCT CASE WHEN has_benefits THEN project_key END)",
-    "ampliaciones": "count_if(es_ampliacion)",
-    "monto_ui_beneficios": "round(coalesce(sum(monto_ui_beneficios), CAST(0 AS DOUBLE)), 2)",
-    "monto_ui_presentado": "round(coalesce(sum(monto_ui_presentado), CAST(0 AS DOUBLE)), 2)",
+    "filas": "1L",
+    "ampliaciones": "cast(es_ampliacion AS bigint)",
+    "monto_ui_beneficios": "monto_ui_beneficios",
+    "monto_ui_presentado": "monto_ui_presentado",
 }
 
 
 def metric_registry(auth: DataFrame, metrics: dict[str, str] | None = None,
                     dimensions=("ministerio_evaluador", "match_method", "regimen")) -> DataFrame:
-    """Evaluate every registered metric for each dimension alone and overall,
-    in one aggregation (``GROUPING SETS``); long output: one row per
-    (dimension, value) with one column per metric."""
+    """Every registered metric for each dimension alone and overall; long
+    output: one row per (dimension, value) with one column per metric, besides
+    the distinct projects and promoted projects (see ``by_level``).  Sums of
+    fractions are rounded to cents, missing ones are 0."""
     metrics = metrics or DEFAULT_METRICS
     dims = list(dimensions)
-    a = auth.withColumns({d: _g(d) for d in dims})
-    g = a.groupingSets([[d] for d in dims] + [[]], *dims).agg(
-        *[F.expr(e).alias(n) for n, e in metrics.items()],
-        *[F.grouping(d).alias(f"_g_{d}") for d in dims],
-    )
-    # ``grouping()`` is only legal inside the aggregation: rebuild the labels from its results
-    name = F.lit("total")
-    value = F.lit("total")
-    for d in reversed(dims):
-        alone = F.col(f"_g_{d}") == 0
-        name = F.when(alone, F.lit(d)).otherwise(name)
-        value = F.when(alone, F.col(d)).otherwise(value)
-    return g.select(name.alias("dimension"), value.alias("valor"), *metrics)
+    rows = auth.withColumns({d: _g(d) for d in dims})
+    out = by_level(rows, dims, [[d] for d in dims] + [[]], {k: F.expr(e) for k, e in metrics.items()})
+    names = F.array(*[F.lit(d) for d in dims], F.lit("total"))
+    kinds = dict(out.dtypes)
+
+    def shown(k):
+        return F.round(F.coalesce(k, F.lit(0.0)), 2) if kinds[k] == "double" else F.coalesce(k, F.lit(0).cast("bigint"))
+
+    return out.select(
+        F.element_at(names, F.col("_level") + 1).alias("dimension"), F.coalesce(*dims, F.lit("total")).alias("valor"),
+        "proyectos", "proyectos_promovidos", *[shown(k).alias(k) for k in metrics],
+    )

@@ -53,6 +53,7 @@ ROWS_SCHEMA = T.StructType(
         T.StructField("sheet_idx", T.IntegerType()),
         T.StructField("row_idx", T.IntegerType()),
         T.StructField("cells", T.MapType(T.IntegerType(), CELL_TYPE)),
+        T.StructField("date1904", T.BooleanType()),  # serials count from 1904
     ]
 )
 
@@ -70,7 +71,8 @@ def cell_text(cell) -> Column:
     c = F.col(cell) if isinstance(cell, str) else cell
     t = c.getField("cell_type")
     return (
-        F.when(t == "number", tx.num_to_text(c.getField("num")))
+        F.when(t == "error", F.lit(None).cast("string"))  # an error is a missing value
+        .when(t == "number", tx.num_to_text(c.getField("num")))
         .when(t == "date", F.date_format(c.getField("ts"), "yyyy-MM-dd"))
         .otherwise(c.getField("text"))
     )
@@ -190,21 +192,19 @@ def column_mapping(resolved: DataFrame, chosen: DataFrame) -> DataFrame:
     return chosen.join(m, SHEET_KEY, "left")
 
 
-def canonical_cells(rows: DataFrame, mapping: DataFrame, fields=CANONICAL_FIELDS,
-                    mapping_is_written: bool = False) -> DataFrame:
+def canonical_cells(rows: DataFrame, mapping: DataFrame, fields=CANONICAL_FIELDS) -> DataFrame:
     """Data rows (below the header) of the chosen sheets, one cell per field.
 
-    ``mapping`` has one row per chosen (file, dataset); it is broadcast when
-    its size allows, else joined with the data rows spread over salted
-    partitions (see ``joins.join_small``).  Cells never leave their row."""
+    ``mapping`` has one row per chosen (file, dataset), see
+    ``joins.join_small``.  Cells never leave their row."""
     from regfuse.operators.joins import join_small
 
     carried = [c for c in mapping.columns if c in ("dataset", "file_rank")]
     m = mapping.select(*SHEET_KEY, *carried, "header_row", "mapping")
-    d = join_small(rows, m, SHEET_KEY, salt_cols=["row_idx"], small_is_written=mapping_is_written).where(
+    d = join_small(rows, m, SHEET_KEY).where(
         F.col("row_idx") > F.col("header_row")
     )
-    cols = [F.col(c) for c in ("source_path", "source_sheet", "sheet_idx", *carried, "header_row", "row_idx")]
+    cols = [F.col(c) for c in ("source_path", "source_sheet", "sheet_idx", *carried, "header_row", "row_idx", "date1904")]
     for f in fields:
         pos = F.try_element_at(F.col("mapping"), F.lit(f))
         cols.append(F.when(pos.isNotNull(), F.try_element_at(F.col("cells"), pos)).alias(f"c_{f}"))

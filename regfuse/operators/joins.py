@@ -1,38 +1,17 @@
 """Joining data rows to small per-file / per-sheet tables.
 
-Every row of a workbook carries the same (path, sheet) key, so an ordinary
-shuffle join on that key sends a whole workbook - possibly a third of all
-rows - to one task.  ``join_small``:
-
-1. writes the small side once (an aggregate over headers or files), counts
-   it and broadcasts it when it has at most ``max_rows`` rows;
-2. otherwise spreads every key of the big side over ``salts`` shuffle
-   partitions (a hash of ``salt_cols``) and replicates each small-side row
-   once per salt with ``explode(sequence(...))`` - a bounded fan-out, not a
-   cross join - so no key lands in a single task.
+Every row of a workbook carries the same (path, sheet) key.  The join is a
+plain equi-join: adaptive execution measures the small side and broadcasts it
+while it is below the session's threshold; beyond it, both sides are shuffled
+and a workbook that holds a large part of all rows is split over many tasks
+(the small side has one row per key, so a split costs one more read of it).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_MAX_ROWS = 200_000
-DEFAULT_SALTS = 64
-
 
-def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-               salt_cols: list[str] | None = None, max_rows: int = BROADCAST_MAX_ROWS,
-               salts: int = DEFAULT_SALTS, small_is_written: bool = False) -> DataFrame:
-    from regfuse.session import materialize
 
-    # written once (nothing pinned in executor memory), then measured
-    if not small_is_written:
-        small = materialize(small)
-    n = small.count()
-    if n <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    cols = salt_cols or [c for c in big.columns if c not in on][:3]
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_big.join(salted_small, [*on, "_salt"], how).drop("_salt")
+def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``small`` has at most one row per key."""
+    return big.join(small, on, how)

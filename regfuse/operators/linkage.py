@@ -18,12 +18,16 @@ Recommended rows whose key was never presented become ``recomendado_only``.
 Plan shape (why it scales):
 
 * the recommended side is reduced once, at (key, tranche) grain, with map-side
-  partial aggregation - a hot key collapses to one row per map task before
-  any shuffle;
-* the key grain is a second aggregation over that reduced table (no list or
-  map is gathered per key, whatever the number of tranches);
-* the presented side is left-joined to each grain; every right side has at
-  most one row per key, and a hot presented key is split by AQE;
+  partial aggregation - a hot key collapses to one row per map task before any
+  shuffle; both joins and the key grain read that one reduced exchange;
+* the key grain is a second aggregation over the reduced rows (no list or map
+  is gathered per key, whatever the number of tranches);
+* presented rows without a key cannot link: they go past the joins and are
+  united with the result, so the NULL key is never shuffled;
+* presented rows are left-joined to each grain.  Every right side has at most
+  one row per key and arrives through its own exchange (its key comes out of a
+  grouped struct, so it is not taken as already placed), which lets adaptive
+  execution split a hot presented key over many tasks;
 * "first non-missing in file order" is ``min(struct(order, value))`` filtered
   to valid values - deterministic after any shuffle, no collect of a group.
 """
@@ -36,7 +40,7 @@ from pyspark.sql import types as T
 
 REGISTER_COLUMNS = [
     "source_file", "source_path", "source_sheet", "source_header_row", "source_row",
-    "rut", "codigo_comap", "empresa", "ministerio_evaluador",
+    "rut", "codigo", "empresa", "ministerio_evaluador",
     "fecha_presentado", "fecha_recomendado", "regimen", "tramo", "monto_ui",
     "tramo_clean", "es_ampliacion", "project_key",
 ]
@@ -60,33 +64,29 @@ def first_non_missing(df: DataFrame, col: str, order_col: str) -> Column:
 
 def tranche_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame:
     """(project_key, tramo_clean) grain over rows with a key; tranche may be ''."""
-    # The NULL-key group is dropped after the aggregation, through an
-    # aggregate output: a plain ``project_key IS NOT NULL`` filter would be
-    # pushed below the normalisers (into the scan/join stage) and re-run them.
-    # Map-side partial aggregation folds NULL-key rows to one row per task.
-    rec = recommended
-    return (
-        rec.groupBy("project_key", "tramo_clean")
+    # ``k`` stays a struct in the aggregation, see the module's notes on exchanges
+    grouped = (
+        recommended.where(F.col("project_key").isNotNull())
+        .groupBy(F.struct("project_key", "tramo_clean").alias("k"))
         .agg(
             F.min("fecha_recomendado").alias("fecha_min"),
-            *[first_non_missing(rec, c, order_col).alias(f"{k}_first") for k, c in _FIRST_ATTRS.items()],
+            *[first_non_missing(recommended, c, order_col).alias(f"{k}_first") for k, c in _FIRST_ATTRS.items()],
             F.count(F.lit(1)).alias("n_rows"),
-            F.count("project_key").alias("_keyed"),
         )
-        .where(F.col("_keyed") > 0)
-        .drop("_keyed")
     )
+    return grouped.select(F.col("k.project_key").alias("project_key"), F.col("k.tramo_clean").alias("tramo_clean"),
+                          *[c for c in grouped.columns if c != "k"])
 
 
 def exact_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame:
     """Recommended rows aggregated by (key, tranche), blank tranche excluded."""
-    return _exact_from(tranche_rollup(recommended, order_col))
+    return _exact_columns(tranche_rollup(recommended, order_col).where(F.col("tramo_clean") != ""), F.col("tramo_clean"))
 
 
-def _exact_from(tranches: DataFrame) -> DataFrame:
-    return tranches.where(F.col("tramo_clean") != "").select(
+def _exact_columns(tranches: DataFrame, tramo: Column) -> DataFrame:
+    return tranches.select(
         "project_key",
-        "tramo_clean",
+        tramo,
         F.col("fecha_min").alias("fecha_recomendado_exact"),
         F.col("regimen_first.v").alias("regimen_recomendado_exact"),
         F.col("monto_ui_first.v").alias("monto_ui_recomendado_exact"),
@@ -97,7 +97,7 @@ def _exact_from(tranches: DataFrame) -> DataFrame:
 
 def _key_rollup(tranches: DataFrame) -> DataFrame:
     tc = F.col("tramo_clean")
-    return tranches.groupBy("project_key").agg(
+    grouped = tranches.groupBy(F.struct("project_key").alias("k")).agg(
         F.min("fecha_min").alias("fecha_recomendado_project"),
         F.min("regimen_first").getField("v").alias("regimen_recomendado_project"),
         F.min("monto_ui_first").getField("v").alias("monto_ui_recomendado_project"),
@@ -105,6 +105,7 @@ def _key_rollup(tranches: DataFrame) -> DataFrame:
         F.sum("n_rows").alias("recommended_rows_project"),
         F.count_if(tc != "").alias("recommended_tramos"),
     )
+    return grouped.select(F.col("k.project_key").alias("project_key"), *[c for c in grouped.columns if c != "k"])
 
 
 def project_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame:
@@ -116,15 +117,14 @@ def link_presented(presented: DataFrame, recommended: DataFrame, order_col: str
     """Presented rows with exact / project attributes, the resolved
     recommendation and ``match_method``.  Row count equals ``presented``.
 
-    Both rollups come from one (key, tranche) aggregation; each right side
-    has at most one row per join key, so the joins never fan out.  A hot key
-    on the presented side is a skewed partition of a left outer join, which
-    AQE splits."""
+    A blank tranche is no tranche: it is NULL in the exact join, on both sides'
+    copies of one reduced table (no filter, so the two copies stay the same)."""
     tranches = tranche_rollup(recommended, order_col)
-    exact = _exact_from(tranches)
-    j = presented.join(exact, ["project_key", "tramo_clean"], "left").join(
-        _key_rollup(tranches), "project_key", "left"
-    )
+    exact = _exact_columns(tranches, F.nullif(F.col("tramo_clean"), F.lit("")).alias("_tramo"))
+    keyed = presented.where(F.col("project_key").isNotNull())
+    j = keyed.withColumn("_tramo", F.col("tramo_clean"))
+    j = j.join(exact, ["project_key", "_tramo"], "left").drop("_tramo").join(_key_rollup(tranches), "project_key", "left")
+    j = j.unionByName(presented.where(F.col("project_key").isNull()), allowMissingColumns=True)
     fallback = F.col("fecha_recomendado_exact").isNull() & (F.col("recommended_rows_project") == 1)
     j = j.withColumn("can_fallback_to_project", fallback)
     fb = F.col("can_fallback_to_project")
@@ -148,32 +148,23 @@ def link_presented(presented: DataFrame, recommended: DataFrame, order_col: str
 
 
 def recommended_only(presented: DataFrame, recommended: DataFrame) -> DataFrame:
-    """Recommended rows whose key no presented row has; NULL keys always stay.
-
-    Every exact/project attribute is the row's own value, counts are 1."""
-    keys = presented.where(F.col("project_key").isNotNull()).select("project_key").distinct()
-    r = recommended.join(keys, "project_key", "left_anti")
-    own = {
-        "fecha_recomendado_exact": "fecha_recomendado",
-        "regimen_recomendado_exact": "regimen",
-        "monto_ui_recomendado_exact": "monto_ui",
-        "ministerio_recomendado_exact": "ministerio_evaluador",
-        "fecha_recomendado_project": "fecha_recomendado",
-        "regimen_recomendado_project": "regimen",
-        "monto_ui_recomendado_project": "monto_ui",
-        "ministerio_recomendado_project": "ministerio_evaluador",
-        "regimen_recomendado": "regimen",
-        "monto_ui_recomendado": "monto_ui",
-        "ministerio_recomendado": "ministerio_evaluador",
-    }
-    return r.withColumns(
+    """Recommended rows whose key no presented row has; rows without a key
+    always stay (they go past the join).
+
+    Such a row is its own recommendation: its values are the resolved ones and
+    it counts as the one recommended row of its key."""
+    keys = presented.where(F.col("project_key").isNotNull()).select("project_key")
+    keyed = recommended.where(F.col("project_key").isNotNull()).join(keys, "project_key", "left_anti")
+    rows = keyed.unionByName(recommended.where(F.col("project_key").isNull()))
+    return rows.withColumns(
         {
-            **{k: F.col(v) for k, v in own.items()},
             "fecha_presentado": F.lit(None).cast("date"),
+            "regimen_recomendado": F.col("regimen"),
+            "monto_ui_recomendado": F.col("monto_ui"),
+            "ministerio_recomendado": F.col("ministerio_evaluador"),
             "recommended_rows_exact": F.lit(1).cast("bigint"),
             "recommended_rows_project": F.lit(1).cast("bigint"),
             "recommended_tramos": (F.col("tramo_clean") != "").cast("bigint"),
-            "can_fallback_to_project": F.lit(True),
             "match_method": F.lit("recomendado_only"),
             "source": F.lit("recomendado_only"),
         }
@@ -187,11 +178,10 @@ def unlinked_recommended(presented: DataFrame, recommended: DataFrame) -> DataFr
     rec = recommended.where(F.col("project_key").isNotNull())
     pres = presented.where(F.col("project_key").isNotNull())
     # a blank tranche never links exactly, even against a blank presented tranche
-    pairs = pres.where(F.col("tramo_clean") != "").select("project_key", "tramo_clean").distinct()
-    keys = pres.select("project_key").distinct()
-    per_key = rec.groupBy("project_key").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = pres.where(F.col("tramo_clean") != "").select("project_key", "tramo_clean")
+    per_key = rec.groupBy(F.struct("project_key").alias("k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return (
-        rec.join(keys, "project_key", "left_semi")
+        rec.join(pres.select("project_key"), "project_key", "left_semi")
         .join(pairs, ["project_key", "tramo_clean"], "left_anti")
-        .join(per_key.where(F.col("_n") > 1), "project_key", "left_semi")
+        .join(per_key.select(F.col("k.project_key").alias("project_key")), "project_key", "left_semi")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regfuse.functions import text as tx
-from regfuse.functions.constants import KEY_FIELDS, MINISTRY_RULES
+from regfuse.functions.constants import MINISTRY_RULES
 from regfuse.operators.linkage import REGISTER_COLUMNS
 
 
@@ -26,7 +26,7 @@ def standardize(
     df: DataFrame,
     *,
     rut: Column | None = None,
-    codigo_comap: Column | None = None,
+    codigo: Column | None = None,
     empresa: Column | None = None,
     ministerio_evaluador: Column | None = None,
     fecha_presentado: Column | None = None,
@@ -47,7 +47,7 @@ def standardize(
 ) -> DataFrame:
     """Raw text / typed values -> canonical register columns (+ ``order_col``).
 
-    Missing fields are typed NULL columns.  ``rut`` / ``codigo_comap`` /
+    Missing fields are typed NULL columns.  ``rut`` / ``codigo`` /
     ``empresa`` / ``ministerio_evaluador`` / ``regimen`` / ``tramo`` are text,
     the two dates are ``date``, ``monto_ui`` is ``double``."""
 
@@ -65,7 +65,7 @@ def standardize(
         "source_header_row": typed(source_header_row, "int"),
         "source_row": typed(source_row, "bigint"),
         "_r_rut": text(rut),
-        "_r_codigo": text(codigo_comap),
+        "_r_codigo": text(codigo),
         "_r_empresa": text(empresa),
         "_r_min": text(ministerio_evaluador),
         "fecha_presentado": typed(fecha_presentado, "date"),
@@ -104,7 +104,7 @@ def standardize(
     out = out.select(
         *carried,
         tx.normalize_rut("_r_rut").alias("rut"),
-        tx.normalize_codigo("_r_codigo").alias("codigo_comap"),
+        tx.normalize_codigo("_r_codigo").alias("codigo"),
         tx.blank_to_null(tx.as_text("_r_empresa")).alias("empresa"),
         tx.as_text("_r_min").alias("_t_min"),
         tx.blank_to_null(tx.as_text("_r_regimen")).alias("regimen"),
@@ -115,7 +115,7 @@ def standardize(
         {
             "_n_min": tx.normalize_name("_t_min"),
             "tramo_clean": tx.tramo_clean("tramo"),
-            "project_key": tx.composite_key("rut", "codigo_comap"),
+            "project_key": tx.composite_key("rut", "codigo"),
         }
     )
     # stage 4: classification and flags
@@ -128,7 +128,3 @@ def standardize(
     keep = REGISTER_COLUMNS + ([order_col] if order is not None else []) + list(extra or {})
     return out.select(*keep)
 
-
-def drop_blank_rows(df: DataFrame, fields=KEY_FIELDS) -> DataFrame:
-    """Keep rows where at least one key field is present."""
-    return df.na.drop(how="all", subset=list(fields))

@@ -8,8 +8,8 @@ through one task.  Instead:
    partition;
 2. tag every row with its partition and its position in the partition
    (``monotonically_increasing_id`` keeps the position in the low 33 bits);
-3. cut the lineage (a parquet table in the checkpoint folder) so the tags are
-   fixed even if an executor is lost and a task is recomputed;
+3. keep the tagged rows (``persist``, lazily): both uses below read the same
+   tags, and a lost part is recomputed within the same ranges and order;
 4. count rows per partition (one row per partition - bounded by the partition
    count), turn counts into running offsets and broadcast that tiny table;
 5. ``id = offset + position + 1``.
@@ -24,14 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regfuse.functions.constants import ROW_BITS
-from regfuse.session import checkpoint_dir, materialize
 
 _POS_MASK = (1 << 33) - 1
 
 
 def dense_row_ids(df: DataFrame, order_cols, id_col: str = "row_id", num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     ordered = [c.asc_nulls_last() for c in order_cols]
@@ -41,8 +39,7 @@ def dense_row_ids(df: DataFrame, order_cols, id_col: str = "row_id", num_partiti
         .withColumn("_rid_part", F.spark_partition_id())
         .withColumn("_rid_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
     )
-    # fix the tags: written once, read back (partition and position are columns)
-    tagged = materialize(tagged)
+    tagged = tagged.persist()
     counts = tagged.groupBy("_rid_part").agg(F.count(F.lit(1)).alias("_rid_n"))
     before = Window.orderBy("_rid_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -9,7 +9,6 @@ table; the few title and header rows are layout configuration.
 
 from __future__ import annotations
 
-import functools
 import unicodedata
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +25,7 @@ LAYOUTS = {
         "path": "grid/presentados_urgentes.xlsx", "dataset": "presentados", "sheet": "Datos",
         "sheet_idx": 1, "header_row": 1, "titles": {}, "extra_sheets": [],
         "columns": [
-            ("RUT", "rut", "rut_text"), ("Código", "codigo_comap", "code_num"),
+            ("RUT", "rut", "rut_text"), ("Código", "codigo", "code_num"),
             ("Razón Social", "empresa", "company"), ("Ministerio", "ministerio_evaluador", "priority"),
             ("Fecha de Presentación", "fecha_presentado", "date_cell"), ("Régimen", "regimen", "status"),
             ("Tramo", "tramo", "tramo"), ("Monto UI", "monto_ui", "amount_num"),
@@ -37,7 +36,7 @@ LAYOUTS = {
         "sheet_idx": 2, "header_row": 4, "titles": {1: ["Registro de proyectos"], 2: ["Proyectos presentados"]},
         "extra_sheets": [("Resumen", 1, {1: ["Resumen anual"], 2: ["Empresa", "Total"]})],
         "columns": [
-            ("Monto en UI", "monto_ui", "amount_comma"), ("Expediente", "codigo_comap", "code_text"),
+            ("Monto en UI", "monto_ui", "amount_comma"), ("Expediente", "codigo", "code_text"),
             ("Nro RUT", "rut", "rut_text"), ("Organismo", "ministerio_evaluador", "priority"),
             ("Fecha", "fecha_presentado", "date_serial"), ("Fecha", None, "decoy_date"),
             ("Decreto", "regimen", "status"), ("Etapa", "tramo", "tramo"), ("Empresa", "empresa", "company"),
@@ -48,7 +47,7 @@ LAYOUTS = {
         "sheet_idx": 1, "header_row": 9, "titles": {1: ["Listado"], 3: ["Nota: cifras en UI"], 5: ["Fuente", "Comisión"]},
         "extra_sheets": [],
         "columns": [
-            ("Documento", "rut", "rut_text"), ("Carpeta", "codigo_comap", "code_num"),
+            ("Documento", "rut", "rut_text"), ("Carpeta", "codigo", "code_num"),
             ("Denominación", "empresa", "company"), ("Inciso", "ministerio_evaluador", "priority"),
             ("Fecha Ingreso", "fecha_presentado", "date_text"), ("Normativa", "regimen", "status"),
             ("Tipo Tramo", "tramo", "tramo"), ("Inversión UI", "monto_ui", "amount_num"),
@@ -59,7 +58,7 @@ LAYOUTS = {
         "path": "grid/recomendados_sin_prioridad.xlsx", "dataset": "recomendados", "sheet": "Recomendados",
         "sheet_idx": 1, "header_row": 4, "titles": {2: ["Proyectos recomendados"]}, "extra_sheets": [],
         "columns": [
-            ("R.U.T.", "rut", "rut_text"), ("Cód. COMAP", "codigo_comap", "code_num"),
+            ("R.U.T.", "rut", "rut_text"), ("Cód. Expediente", "codigo", "code_num"),
             ("Titular", "empresa", "company"), ("Ministerio Evaluador", "ministerio_evaluador", "priority"),
             ("Fecha Resolución", "fecha_recomendado", "date_cell"), ("Marco Normativo", "regimen", "status"),
             ("Ampliación", "tramo", "tramo"), ("Monto Inversión UI", "monto_ui", "amount_num"),
@@ -71,7 +70,7 @@ LAYOUTS = {
         "extra_sheets": [("Notas", 1, {1: ["Empresa", "Monto"], 2: ["ver hoja Datos"]})],
         "columns": [
             ("Fecha Presentado", "fecha_presentado", "date_text"), ("Empresa", "empresa", "company"),
-            ("RUT", "rut", "rut_text"), ("Codigo", "codigo_comap", "code_num"),
+            ("RUT", "rut", "rut_text"), ("Codigo", "codigo", "code_num"),
             ("Ministerio", "ministerio_evaluador", "priority"), ("Regimen", "regimen", "status"),
             ("Tramo", "tramo", "tramo"), ("UI", "monto_ui", "amount_num"),
         ],
@@ -94,7 +93,6 @@ def _date(c: Column) -> Column:
                     F.lit(None).cast("double").alias("num"), c.cast("timestamp_ntz").alias("ts"))
 
 
-@functools.lru_cache(maxsize=None)
 def cell_of(kind: str) -> Column:
     """Cell struct for one kind of synthetic value (NULL -> no cell)."""
     ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -149,6 +147,7 @@ def data_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(lay["sheet_idx"]).cast("int").alias("sheet_idx"),
             (F.lit(lay["header_row"] + 1) + F.col("o_orderkey")).cast("int").alias("row_idx"),
             _data_cells(lay).alias("cells"),
+            F.lit(False).alias("date1904"),
         )
         out = part if out is None else out.unionByName(part)
     return out
@@ -162,10 +161,10 @@ def layout_rows(spark: SparkSession) -> DataFrame:
         rows[lay["header_row"]] = [c[0] for c in lay["columns"]]
         for r, labels in rows.items():
             cells = {i: ("text", s, None, None) for i, s in enumerate(labels, 1)}
-            out.append((lay["path"], lay["sheet"], lay["sheet_idx"], r, cells))
+            out.append((lay["path"], lay["sheet"], lay["sheet_idx"], r, cells, False))
         for name, idx, extra in lay["extra_sheets"]:
             for r, labels in extra.items():
-                out.append((lay["path"], name, idx, r, {i: ("text", s, None, None) for i, s in enumerate(labels, 1)}))
+                out.append((lay["path"], name, idx, r, {i: ("text", s, None, None) for i, s in enumerate(labels, 1)}, False))
     return spark.createDataFrame(out, ROWS_SCHEMA)
 
 

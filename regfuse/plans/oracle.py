@@ -7,7 +7,7 @@ expressions, and the stand-in registers as CTEs.  They are used only by
 
 from __future__ import annotations
 
-from regfuse.functions.constants import MINISTRY_RULES, TRANSLIT_FROM, TRANSLIT_TO
+from regfuse.functions.constants import MINISTRY_RULES, MONTH_NAMES, TRANSLIT_FROM, TRANSLIT_TO
 
 
 def q(s: str) -> str:
@@ -57,9 +57,9 @@ def _finish(raw_cte: str) -> str:
     return f"""
     SELECT *, {tc} AS tramo_clean,
            contains({tc}, 'ampl') AS es_ampliacion,
-           rut || '::' || codigo_comap AS project_key
+           rut || '::' || codigo AS project_key
     FROM {raw_cte}
-    WHERE NOT (rut IS NULL AND codigo_comap IS NULL AND empresa IS NULL
+    WHERE NOT (rut IS NULL AND codigo IS NULL AND empresa IS NULL
                AND ministerio_evaluador IS NULL AND fecha_presentado IS NULL
                AND fecha_recomendado IS NULL AND monto_ui IS NULL)"""
 
@@ -74,8 +74,8 @@ def registers_cte() -> str:
 pres_raw AS (
     SELECT 'orders' AS source_file, '' AS source_path, CAST(NULL AS VARCHAR) AS source_sheet,
            1 AS source_header_row, o_orderkey AS source_row,
-           {norm_rut('CAST(o_custkey AS VARCHAR)')} AS rut,
-           {norm_codigo('CAST(o_orderkey AS VARCHAR)')} AS codigo_comap,
+           CASE WHEN o_orderstatus <> 'P' THEN {norm_rut('CAST(o_custkey AS VARCHAR)')} END AS rut,
+           {norm_codigo('CAST(o_orderkey AS VARCHAR)')} AS codigo,
            nullif({as_text(company_label('o_custkey'))}, '') AS empresa,
            nullif({norm_ministerio('o_orderpriority')}, '') AS ministerio_evaluador,
            CAST(o_orderdate AS DATE) AS fecha_presentado,
@@ -84,14 +84,14 @@ pres_raw AS (
            nullif({as_text('lower(o_orderstatus)')}, '') AS tramo,
            o_totalprice AS monto_ui,
            o_orderkey AS ord
-    FROM orders WHERE o_orderstatus <> 'P'
+    FROM orders
 ),
 pres AS ({_finish('pres_raw')}),
 rec_raw AS (
     SELECT 'lineitem' AS source_file, '' AS source_path, CAST(l_orderkey AS VARCHAR) AS source_sheet,
            1 AS source_header_row, l_linenumber AS source_row,
            {norm_rut('CAST(o_custkey AS VARCHAR)')} AS rut,
-           {norm_codigo('CAST(l_orderkey AS VARCHAR)')} AS codigo_comap,
+           {norm_codigo('CAST(l_orderkey AS VARCHAR)')} AS codigo,
            nullif({as_text(company_label('o_custkey'))}, '') AS empresa,
            nullif({norm_ministerio('o_orderpriority')}, '') AS ministerio_evaluador,
            CAST(NULL AS DATE) AS fecha_presentado,
@@ -114,8 +114,7 @@ def _first(col: str, is_text: bool) -> str:
 
 
 def linkage_cte() -> str:
-    """CTEs ``exact``, ``proj``, ``linked``, ``ronly``, ``u`` (union) and ``auth``
-    following the source pipeline statement by statement."""
+    """CTEs ``exact``, ``proj``, ``linked``, ``ronly``, ``u`` (union) and ``auth``: the tiers J4 and J5 as joins."""
     return f"""{registers_cte()},
 exact AS (
     SELECT project_key, tramo_clean,
@@ -178,14 +177,14 @@ ronly AS (
 ),
 u AS (
     SELECT 0 AS branch, ord, NULL AS o1, NULL AS o2, NULL AS o3, NULL AS o4, NULL AS o5,
-           source, match_method, rut, codigo_comap, project_key, empresa, ministerio_evaluador,
+           source, match_method, rut, codigo, project_key, empresa, ministerio_evaluador,
            ministerio_recomendado, fecha_presentado, fecha_recomendado, regimen, regimen_recomendado,
            tramo, es_ampliacion, monto_ui, monto_ui_recomendado, recommended_rows_exact,
            recommended_rows_project, source_file, source_sheet, source_row
     FROM linked
     UNION ALL
     SELECT 1 AS branch, NULL AS ord, o1, o2, o3, o4, o5,
-           source, match_method, rut, codigo_comap, project_key, empresa, ministerio_evaluador,
+           source, match_method, rut, codigo, project_key, empresa, ministerio_evaluador,
            ministerio_recomendado, CAST(NULL AS DATE) AS fecha_presentado, fecha_recomendado, regimen,
            regimen_recomendado, tramo, es_ampliacion, monto_ui, monto_ui_recomendado,
            recommended_rows_exact, recommended_rows_project, source_file, source_sheet, source_row
@@ -193,7 +192,7 @@ u AS (
 ),
 auth AS (
     SELECT row_number() OVER (ORDER BY branch, ord, {REC_ORDER}) AS project_row_id,
-           source, match_method, rut, codigo_comap, project_key, empresa,
+           source, match_method, rut, codigo, project_key, empresa,
            coalesce(ministerio_evaluador, ministerio_recomendado) AS ministerio_evaluador,
            fecha_presentado, fecha_recomendado,
            coalesce(regimen_recomendado, regimen) AS regimen,
@@ -209,8 +208,7 @@ auth AS (
 
 
 def num_to_text(e: str) -> str:
-    return (f"(CASE WHEN {e} = floor({e}) THEN CAST(CAST({e} AS DECIMAL(38,0)) AS VARCHAR) "
-            f"ELSE rtrim(CAST(CAST({e} AS DECIMAL(38,10)) AS VARCHAR), '0') END)")
+    return f"regexp_replace(CAST({e} AS VARCHAR), '[.]0$', '')"
 
 
 _NUM_PAT = {
@@ -232,17 +230,23 @@ _DATE_ORDERS = [
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%d/%m/%Y"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$", "%d/%m/%y"),
     (r"^[0-9]{8}$", "%d%m%Y"),
+    (r"^[0-9]{6}$", "%d%m%y"),
     (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "%Y/%m/%d"),
     (r"^[0-9]{8}$", "%Y%m%d"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%m/%d/%Y"),
     (r"^[0-9]{2}/[0-9]{1,2}/[0-9]{1,2}$", "%y/%m/%d"),
+    (r"^[0-9]{6}$", "%y%m%d"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$", "%m/%d/%y"),
+    (r"^[0-9]{6}$", "%m%d%y"),
 ]
 
 
 def parse_date_text(e: str) -> str:
     t = as_text(e)
-    v = f"regexp_replace(regexp_replace({t}, '[^0-9]+', '/', 'g'), '^/+|/+$', '', 'g')"
+    month = f"regexp_extract(lower({t}), '\\b(" + "|".join(n for names in MONTH_NAMES for n in names) + ")\\b', 1)"
+    arms = " ".join(f"WHEN {month} IN ({', '.join(map(q, names))}) THEN '/{i}/'" for i, names in enumerate(MONTH_NAMES, 1))
+    named = f"(CASE WHEN {month} <> '' THEN replace(lower({t}), {month}, CASE {arms} END) ELSE {t} END)"
+    v = f"regexp_replace(regexp_replace({named}, '[^0-9]+', '/', 'g'), '^/+|/+$', '', 'g')"
     v = f"regexp_replace({v}, '^([0-9]+/[0-9]+/[0-9]+)(/[0-9]{{1,2}}){{2,3}}$', '\\1')"
     arms = [f"CASE WHEN regexp_matches({t}, '^[0-9]{{5}}([.][0-9]+)?$') "
             f"THEN DATE '1899-12-30' + CAST(floor(CAST({t} AS DOUBLE)) AS INTEGER) END"]

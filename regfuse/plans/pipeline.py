@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 
 from regfuse.functions import dates as D
 from regfuse.functions import numbers as N
-from regfuse.functions.constants import CANONICAL_FIELDS, DATASET_PATTERNS
-from regfuse.operators import consolidate, headers as H, reports
+from regfuse.functions.constants import CANONICAL_FIELDS, DATASET_PATTERNS, MINISTRY_RULES
+from regfuse.operators import consolidate, deck, headers as H, reports
 from regfuse.operators.joins import join_small
+from regfuse.operators.linkage import unlinked_recommended
 from regfuse.operators.register import standardize
 from regfuse.operators.rowid import cell_order_key, dense_row_ids
+from regfuse.session import materialize, remove
 from regfuse.sources import sinks, workbook as W
 
-TEXT_FIELDS = ["rut", "codigo_comap", "empresa", "ministerio_evaluador", "regimen", "tramo"]
+TEXT_FIELDS = ["rut", "codigo", "empresa", "ministerio_evaluador", "regimen", "tramo"]
 DATE_FIELDS = ["fecha_presentado", "fecha_recomendado"]
 
 
@@ -61,21 +63,22 @@ def typed_values(cc: DataFrame, locale: str = "auto") -> DataFrame:
         cols[f"_dt_{f}"] = F.when(c.getField("cell_type") == "text", c.getField("text"))
     out = out.withColumns(cols)
     for f in DATE_FIELDS:
-        out = D.with_parsed_date(out, f"_dt_{f}", f"_dp_{f}")
+        epoch = D.epoch_of("date1904")
+        out = D.with_parsed_date(out, f"_dt_{f}", f"_dp_{f}", epoch)
         c = F.col(f"c_{f}")
         t = c.getField("cell_type")
         out = out.withColumn(
             f"v_{f}",
             F.when(t == "date", F.to_date(c.getField("ts")))
-            .when(t == "number", D.serial_to_date(c.getField("num")))
+            .when(t == "number", D.serial_to_date(c.getField("num"), epoch))
             .otherwise(F.col(f"_dp_{f}")),
         ).drop(f"_dt_{f}", f"_dp_{f}")
     m = F.col("c_monto_ui")
     out = out.withColumn("_m_text", F.when(m.getField("cell_type").isin("text", "bool"), m.getField("text")))
     if locale == "auto":
-        # one vote per sheet; joined back without a per-sheet shuffle key
+        # one vote per sheet
         vote = N.locale_vote(out.where(F.col("_m_text").isNotNull()), H.SHEET_KEY, "_m_text")
-        out = join_small(out, vote.select(*H.SHEET_KEY, "locale"), H.SHEET_KEY, "left", salt_cols=["row_idx"])
+        out = join_small(out, vote.select(*H.SHEET_KEY, "locale"), H.SHEET_KEY, "left")
     else:
         out = out.withColumn("locale", F.lit(locale))
     parsed = N.parse_number_with_vote("_m_text", "locale")
@@ -85,17 +88,8 @@ def typed_values(cc: DataFrame, locale: str = "auto") -> DataFrame:
     return out.drop("_m_text", "locale")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once (parquet under the checkpoint folder) and read it back:
-    later branches (preview, header, data) reuse it instead of decoding the
-    workbooks again, and a lost executor does not force a re-decode."""
-    from regfuse.session import materialize as _m
-
-    return _m(df)
-
-
 def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame | None = None,
-                        locale: str = "auto") -> tuple[dict[str, DataFrame], Inference]:
+                        locale: str = "auto", ministry_rules=MINISTRY_RULES) -> tuple[dict[str, DataFrame], Inference]:
     """Rows of all workbooks -> {dataset: canonical register} (+ inference tables).
 
     ``files``: (source_path, dataset, file_rank).  The register's ``_order``
@@ -103,12 +97,10 @@ def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame |
     inf = infer(rows, files, aliases)
     # file order joins the (small) mapping, not the data rows
     mapping = inf.mapping.join(files.select("source_path", "dataset", "file_rank"), ["source_path", "dataset"])
-    # one row per chosen sheet: computed once, read by every dataset branch
-    mapping = materialize(mapping)
-    cc = H.canonical_cells(rows, mapping, mapping_is_written=True)
+    cc = H.canonical_cells(rows, mapping)
     v = typed_values(cc, locale)
     out = {}
-    for name in DATASET_PATTERNS:
+    for name in ("presentados", "recomendados"):
         part = v.where(F.col("dataset") == name)
         out[name] = standardize(
             part,
@@ -119,46 +111,53 @@ def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame |
             source_header_row=F.col("header_row"),
             source_row=F.col("row_idx"),
             order=cell_order_key("file_rank", "row_idx"),
+            ministry_rules=ministry_rules,
         )
     return out, inf
 
 
 def with_row_ids(register: DataFrame, id_col: str) -> DataFrame:
-    """Dense 1..n ids in file order (published with the normalised tables)."""
-    return dense_row_ids(register, ["_order"], id_col)
+    """Rows in file order with dense 1..n ids (published with the normalised tables)."""
+    return dense_row_ids(register, ["_order"], id_col).orderBy(id_col)
 
 
 def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt: str = "csv",
-        locale: str = "auto") -> dict[str, DataFrame]:
+        locale: str = "auto", aliases: dict[str, list[str]] | None = None, ministry_rules=MINISTRY_RULES,
+        patterns: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """The batch job: discover, decode, infer, normalise, link, consolidate,
-    report, write.  Returns the published DataFrames."""
+    report, write.  Returns the published tables, read back from ``output_dir``.
+
+    ``aliases`` ({field: header words}) replaces the default catalogue,
+    ``ministry_rules`` and ``patterns`` (file name -> dataset) theirs.
+    Intermediate tables are removed at the end."""
     output_dir = output_dir or input_dir.rstrip("/") + "/processed"
-    inv = W.inventory(spark, input_dir, output_dir)
+    patterns = patterns or DATASET_PATTERNS
+    inv = W.inventory(spark, input_dir, output_dir, patterns)
     files = W.selected_files(inv)
-    W.require_datasets(files)
-    decoded = materialize(W.read_decoded(spark, input_dir, output_dir))
+    W.require_datasets(files, patterns)
+    kept = [decoded := materialize(W.read_decoded(spark, input_dir, output_dir, patterns))]
     rows = W.read_rows(decoded)
-    regs, inf = registers_from_rows(rows, files, locale=locale)
+    catalogue = H.alias_table(spark, aliases) if aliases else None
+    regs, inf = registers_from_rows(rows, files, catalogue, locale, ministry_rules)
     # each register feeds the rollup, the link, the anti join and its own sink
-    pres = materialize(regs["presentados"])
-    rec = materialize(regs["recomendados"])
-    base = materialize(consolidate.authoritative(pres, rec, sort=False))
-    auth = consolidate.sort_authoritative(base)
+    kept += [pres := materialize(regs["presentados"]), rec := materialize(regs["recomendados"])]
+    kept += [base := materialize(consolidate.authoritative(pres, rec, sort=False, extra=("source_path",)))]
+    auth = base.drop("source_path")
     outputs = {
         "presentados_normalized": with_row_ids(pres, "presentado_row_id").drop("_order"),
         "recomendados_normalized": with_row_ids(rec, "recomendado_row_id").drop("_order"),
-        "projects_authoritative": auth,
-        "summary_by_ministerio": reports.summary_by_group(base, money_scale=None),
-        "linkage_audit": reports.linkage_audit(base),
+        "projects_authoritative": consolidate.sort_authoritative(auth),
+        "summary_by_ministerio": reports.summary_by_group(auth, money_scale=None),
+        "linkage_audit": reports.linkage_audit(auth),
+        "unlinked_recommended": unlinked_recommended(pres, rec).drop("_order"),
     }
     n = sinks.write_all(outputs, output_dir, fmt)
+    ledger = deck.form_ledger(inv, W.decode_errors(decoded), inf.chosen, pres, rec, base)
+    sinks.write(ledger, f"{output_dir.rstrip('/')}/ledger", "parquet")  # it has nested columns
+    published = {name: sinks.read(spark, f"{output_dir.rstrip('/')}/{name}", df.schema, fmt) for name, df in outputs.items()}
+    published["ledger"] = spark.read.parquet(f"{output_dir.rstrip('/')}/ledger")
+    for table in kept:
+        remove(table)
     print(f"Wrote processed datasets to {output_dir}")
     print(f"Rows in authoritative set: {n.get('projects_authoritative')}")
-    outputs["ledger"] = form_ledger_from(inv, decoded, inf, pres, rec, base)
-    return outputs
-
-
-def form_ledger_from(inv, decoded, inf, pres, rec, auth) -> DataFrame:
-    from regfuse.operators.deck import form_ledger
-
-    return form_ledger(inv, W.decode_errors(decoded), inf.chosen, pres, rec, auth)
+    return published

@@ -55,17 +55,14 @@ st AS (SELECT ministerio_evaluador, count(*) FILTER (WHERE dias < 0) AS negativo
 SELECT ministerio_evaluador, negativos, n, media_dias, mediana_dias, p90_dias
 FROM st LEFT JOIN q USING (ministerio_evaluador)""")
 def q_approval_time(spark, sf_dir):
-    # two passes over the linked rows: write them once
-    from regfuse.session import materialize
-
-    return deck.approval_time(materialize(_auth(spark, sf_dir)))
+    return deck.approval_time(_auth(spark, sf_dir))
 
 
 # ---- D3 -------------------------------------------------------------------
 @register("approval_time_rollup", f"""WITH {O.linkage_cte()},
 d AS (SELECT *, year(fecha_presentado) AS anio, quarter(fecha_presentado) AS trimestre,
              month(fecha_presentado) AS mes, date_diff('day', fecha_presentado, fecha_recomendado) AS dias
-      FROM auth WHERE fecha_presentado IS NOT NULL)
+      FROM auth)
 SELECT anio, trimestre, mes, count(*) AS filas, count(DISTINCT project_key) AS proyectos,
        count(DISTINCT CASE WHEN has_benefits THEN project_key END) AS proyectos_promovidos,
        round(coalesce(sum(monto_ui_beneficios), 0.0), 2) AS monto_ui_beneficios,
@@ -111,8 +108,11 @@ def q_drill_through(spark, sf_dir):
     return deck.drill_through(_auth(spark, sf_dir, with_ids=True))
 
 
-# ---- D9 (sampling is the feature; the hash is engine-specific: rows-only) --
-@register("key_sample")
+# ---- D9 (sampling is the feature) -------------------------------------------
+@register("key_sample", f"""WITH {O.linkage_cte()},
+k AS (SELECT *, coalesce(project_key, concat_ws('#', source_file, source_sheet, CAST(source_row AS VARCHAR))) AS k FROM auth)
+SELECT project_key, match_method, source_file, source_row FROM k
+WHERE CAST('0x' || md5(k)[1:8] AS BIGINT) % 10 = 0""")
 def q_key_sample(spark, sf_dir):
     return deck.key_sample(_auth(spark, sf_dir), buckets=10).select(
         "project_key", "match_method", "source_file", "source_row")
@@ -189,7 +189,45 @@ def q_union_by_name(spark, sf_dir):
     return c.unionByName(s, allowMissingColumns=True)
 
 
-# ---- S1 S2 S3 S11 D6 D7 (the folder itself; no SQL equivalent) --------------
+# ---- S1 S2 S3 S11 D6 D7 -----------------------------------------------------
+# Paths built from the page addresses: the address's folders, then a file name of one kind per remainder of the id.
+_NAMES = ["Presentados_{}.xlsx", "sub/RECOMENDADOS {}.XLSM", "~$Presentados_{}.xlsx", "otros-{}.xls", "presentados {}.xls",
+          "Lista recomendados y presentados {}.xlsx", "presentados_{}.csv", "processed/recomendados_{}.xlsx"]
+_OUTPUT = "/processed/"
+
+
+def _path_spark():
+    name = F.replace(F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("page_id") % len(_NAMES) + 1).cast("int")),
+                     F.lit("{}"), F.col("page_id").cast("string"))
+    return F.concat(F.regexp_replace("url", "[?#].*", ""), F.lit("/"), name)
+
+
+def _path_sql() -> str:
+    names = ", ".join(map(O.q, _NAMES))
+    return (f"regexp_replace(url, '[?#].*', '') || '/' || replace([{names}][page_id % {len(_NAMES)} + 1], '{{}}', "
+            "CAST(page_id AS VARCHAR))")
+
+
+_norm = O.norm_name("file_name")
+
+
+@register("file_classification", f"""WITH p AS (SELECT {_path_sql()} AS path FROM pages),
+f AS (SELECT path, string_split(path, '/')[-1] AS file_name, len(string_split(path, '/')) - 1 AS depth FROM p),
+d AS (SELECT *, regexp_matches(file_name, '(?i)[.]xls[xm]?$') AS is_workbook, starts_with(file_name, '~$') AS is_lock_file,
+             contains(path, '{_OUTPUT}') AS in_output_dir,
+             contains({_norm}, 'presentad')::INT + contains({_norm}, 'recomend')::INT AS n_datasets FROM f)
+SELECT path, file_name, depth, is_workbook, is_lock_file, in_output_dir, n_datasets,
+       CASE WHEN NOT is_workbook THEN 'not_a_workbook' WHEN is_lock_file THEN 'lock_file' WHEN in_output_dir THEN 'output_dir'
+            WHEN n_datasets = 0 THEN 'unclassified' WHEN regexp_matches(file_name, '(?i)[.]xls$') THEN 'unsupported_format'
+            ELSE 'selected' END AS status
+FROM d""")
+def q_file_classification(spark, sf_dir):
+    paths = table(spark, sf_dir, "pages", ["page_id", "url"]).select(_path_spark().alias("path"))
+    c = W.classify_files(paths, _OUTPUT)
+    return c.select("path", "file_name", (F.size(F.split("path", "/")) - 1).cast("bigint").alias("depth"), "is_workbook",
+                    "is_lock_file", "in_output_dir", F.size("datasets").alias("n_datasets"), "status")
+
+
 @register("file_inventory")
 def q_file_inventory(spark, sf_dir):
     inv = W.inventory(spark, sf_dir, output_dir=sf_dir.rstrip("/") + "/processed")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from regfuse.functions import dates as D
 from regfuse.functions import numbers as N
 from regfuse.functions import text as tx
+from regfuse.functions.constants import MONTH_NAMES
 from regfuse.operators.joins import join_small
 from regfuse.operators.register import standardize
 from regfuse.plans import oracle as O
@@ -73,14 +74,14 @@ def _decorated_code_sql() -> str:
 
 
 @register("code_cleanup", f"""
-SELECT o_orderkey, {O.norm_codigo(_decorated_code_sql())} AS codigo_comap FROM orders""")
+SELECT o_orderkey, {O.norm_codigo(_decorated_code_sql())} AS codigo FROM orders""")
 def q_code_cleanup(spark, sf_dir):
     o = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
     decorated = F.concat(
         F.lit("  "), "o_orderpriority", F.lit("   "), F.col("o_orderkey").cast("string"),
         F.when(F.col("o_orderstatus") == "F", F.lit(".0")).otherwise(F.lit("")), F.lit(" "),
     )
-    return o.select("o_orderkey", tx.normalize_codigo(decorated).alias("codigo_comap"))
+    return o.select("o_orderkey", tx.normalize_codigo(decorated).alias("codigo"))
 
 
 # ---- F11 ------------------------------------------------------------------
@@ -140,16 +141,16 @@ def q_amount_locale_vote(spark, sf_dir):
     o = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_totalprice"])
     t = o.select("o_orderkey", F.col("o_orderpriority").alias("source_file"), _amount_text_spark().alias("amount_text"))
     vote = N.locale_vote(t, ["source_file"], "amount_text").select("source_file", "locale")
-    # one row per workbook, joined back to every row of it: a size-checked
-    # broadcast (salted shuffle beyond the bound), never a per-file shuffle key
-    return join_small(t, vote, ["source_file"], salt_cols=["o_orderkey"]).select(
+    # one row per workbook, joined back to every row of it
+    return join_small(t, vote, ["source_file"]).select(
         "o_orderkey", "source_file", "amount_text", "locale",
         N.parse_number_with_vote("amount_text", "locale").alias("monto_ui"),
     )
 
 
 # ---- F4 (text) ------------------------------------------------------------
-# Ship dates written in one text style per (return flag, line status).
+# Ship dates written in one text style per (return flag, line status), some
+# lines with the month's name and some as six digits.
 _DATE_STYLES = {
     ("A", "F"): ("d/M/yyyy", "%-d/%-m/%Y"),
     ("A", "O"): ("dd.MM.yy", "%d.%m.%y"),
@@ -167,7 +168,10 @@ def _date_text_spark():
         cond = (F.col("l_returnflag") == rf) & (F.col("l_linestatus") == ls)
         txt = F.date_format(F.col("l_shipdate"), spark_fmt) if "HH" in spark_fmt else F.date_format(d, spark_fmt)
         out = F.when(cond, txt) if out is None else out.when(cond, txt)
-    return out
+    month = F.element_at(F.array(*[F.lit(names[0]) for names in MONTH_NAMES]), F.month(d))
+    named = F.concat_ws(" de ", F.day(d), month, F.year(d))
+    six = F.date_format(d, "ddMMyy")
+    return F.when(F.col("l_linenumber") == 3, named).when(F.col("l_linenumber") == 5, six).otherwise(out)
 
 
 def _date_text_sql() -> str:
@@ -175,7 +179,10 @@ def _date_text_sql() -> str:
         f"WHEN l_returnflag = '{rf}' AND l_linestatus = '{ls}' THEN strftime(l_shipdate, '{fmt}')"
         for (rf, ls), (_, fmt) in _DATE_STYLES.items()
     )
-    return f"(CASE {arms} END)"
+    months = ", ".join(O.q(names[0]) for names in MONTH_NAMES)
+    named = f"concat_ws(' de ', day(l_shipdate), [{months}][month(l_shipdate)], year(l_shipdate))"
+    return (f"(CASE WHEN l_linenumber = 3 THEN {named} WHEN l_linenumber = 5 THEN strftime(l_shipdate, '%d%m%y') "
+            f"ELSE CASE {arms} END END)")
 
 
 @register("date_text_roundtrip", f"""
@@ -219,7 +226,7 @@ def q_excel_serial_dates(spark, sf_dir):
 WITH raw AS (
   SELECT event_id,
          {O.norm_rut("CASE WHEN event_type = 'signup' THEN CAST(user_id AS VARCHAR) END")} AS rut,
-         {O.norm_codigo("CASE WHEN event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END")} AS codigo_comap,
+         {O.norm_codigo("CASE WHEN event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END")} AS codigo,
          nullif({O.norm_ministerio("CASE WHEN event_type = 'error' THEN props END")}, '') AS ministerio_evaluador,
          CASE WHEN event_type = 'click' THEN CAST(ts AS DATE) END AS fecha_presentado,
          CASE WHEN event_type = 'purchase' THEN value END AS monto_ui,
@@ -227,7 +234,7 @@ WITH raw AS (
          nullif({O.as_text('props')}, '') AS tramo
   FROM events)
 SELECT * FROM raw
-WHERE NOT (rut IS NULL AND codigo_comap IS NULL AND ministerio_evaluador IS NULL
+WHERE NOT (rut IS NULL AND codigo IS NULL AND ministerio_evaluador IS NULL
            AND fecha_presentado IS NULL AND monto_ui IS NULL)""")
 def q_drop_blank_rows(spark, sf_dir):
     e = table(spark, sf_dir, "events")
@@ -235,7 +242,7 @@ def q_drop_blank_rows(spark, sf_dir):
     reg = standardize(
         e,
         rut=F.when(et == "signup", F.col("user_id")),
-        codigo_comap=F.when(et == "purchase", F.col("event_id")),
+        codigo=F.when(et == "purchase", F.col("event_id")),
         ministerio_evaluador=F.when(et == "error", F.col("props")),
         fecha_presentado=F.when(et == "click", F.to_date("ts")),
         monto_ui=F.when(et == "purchase", F.col("value")),
@@ -243,5 +250,5 @@ def q_drop_blank_rows(spark, sf_dir):
         tramo=F.col("props"),
         extra={"event_id": F.col("event_id")},
     )
-    return reg.select("event_id", "rut", "codigo_comap", "ministerio_evaluador", "fecha_presentado",
+    return reg.select("event_id", "rut", "codigo", "ministerio_evaluador", "fecha_presentado",
                       "monto_ui", "regimen", "tramo")

@@ -9,7 +9,7 @@ from regfuse.functions.constants import CANONICAL_FIELDS
 from regfuse.operators import deck
 from regfuse.plans import grid
 from regfuse.plans import oracle as O
-from regfuse.plans.pipeline import infer, materialize, registers_from_rows
+from regfuse.plans.pipeline import infer, registers_from_rows
 from regfuse.plans.registry import register
 
 
@@ -29,7 +29,7 @@ def _sheet_rows():
 
 
 def _rows(spark, sf_dir):
-    return materialize(grid.grid_rows(spark, sf_dir))
+    return grid.grid_rows(spark, sf_dir).persist()
 
 
 def _inference(spark, sf_dir):
@@ -133,7 +133,7 @@ def _canonical_sql() -> str:
     tc = O.tramo_clean("tramo")
     return f"""WITH c AS ({body})
 SELECT *, {tc} AS tramo_clean, contains({tc}, 'ampl') AS es_ampliacion,
-       rut || '::' || codigo_comap AS project_key
+       rut || '::' || codigo AS project_key
 FROM c"""
 
 

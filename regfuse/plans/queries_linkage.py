@@ -24,7 +24,7 @@ def q_linkage_audit(spark, sf_dir):
 
 
 @register("authoritative", f"""WITH {O.linkage_cte()}
-SELECT * FROM auth ORDER BY rut NULLS LAST, codigo_comap NULLS LAST, fecha_presentado NULLS LAST,
+SELECT * FROM auth ORDER BY rut NULLS LAST, codigo NULLS LAST, fecha_presentado NULLS LAST,
          tramo NULLS LAST, project_row_id""")
 def q_authoritative(spark, sf_dir):
     return _auth(spark, sf_dir, with_ids=True, sort=True)
@@ -72,12 +72,12 @@ def q_project_rollup(spark, sf_dir):
 
 
 @register("recommended_only", f"""WITH {O.linkage_cte()}
-SELECT project_key, rut, codigo_comap, tramo_clean, fecha_recomendado, regimen, monto_ui,
+SELECT project_key, rut, codigo, tramo_clean, fecha_recomendado, regimen, monto_ui,
        recommended_tramos, match_method FROM ronly""")
 def q_recommended_only(spark, sf_dir):
     p, r = standins.registers(spark, sf_dir)
     return linkage.recommended_only(p, r).select(
-        "project_key", "rut", "codigo_comap", "tramo_clean", "fecha_recomendado", "regimen",
+        "project_key", "rut", "codigo", "tramo_clean", "fecha_recomendado", "regimen",
         "monto_ui", "recommended_tramos", "match_method",
     )
 

@@ -2,9 +2,9 @@
 
 The test tables stand in for the two workbooks:
 
-* presented register = ``orders`` that are not pending (``o_orderstatus <> 'P'``):
-  pending orders have not been presented yet, so their lines are the
-  recommendation-only population;
+* presented register = ``orders``; a pending order (``o_orderstatus = 'P'``) has
+  no company id yet, so it is a presented row without a key, and its lines are
+  the recommendation-only population;
 * recommended register = ``lineitem`` joined to its order for the customer.
 
 Field mapping (both registers go through the same normalisers as workbook
@@ -13,8 +13,8 @@ rows):
 =====================  ==========================  =============================
 canonical field        presented (orders)          recommended (lineitem)
 =====================  ==========================  =============================
-rut                    o_custkey                   o_custkey of the line's order
-codigo_comap           o_orderkey                  l_orderkey
+rut                    o_custkey, none if pending  o_custkey of the line's order
+codigo           o_orderkey                  l_orderkey
 empresa                customer label of custkey   same
 ministerio_evaluador   o_orderpriority             o_orderpriority
 fecha_presentado       o_orderdate                 -
@@ -46,14 +46,11 @@ def _company_label(custkey) -> F.Column:
 
 
 def presented_register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").where(F.col("o_orderstatus") != "P")
-    from regfuse.sources.tables import widen
-
-    o = widen(o)
+    o = table(spark, sf_dir, "orders")
     return standardize(
         o,
-        rut=F.col("o_custkey"),
-        codigo_comap=F.col("o_orderkey"),
+        rut=F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")),
+        codigo=F.col("o_orderkey"),
         empresa=_company_label("o_custkey"),
         ministerio_evaluador=F.col("o_orderpriority"),
         fecha_presentado=F.to_date("o_orderdate"),
@@ -77,7 +74,7 @@ def recommended_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize(
         j,
         rut=F.col("o_custkey"),
-        codigo_comap=F.col("l_orderkey"),
+        codigo=F.col("l_orderkey"),
         empresa=_company_label("o_custkey"),
         ministerio_evaluador=F.col("o_orderpriority"),
         fecha_recomendado=F.when(F.col("l_returnflag") != "R", F.to_date("l_shipdate")),
@@ -94,13 +91,10 @@ def recommended_register(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registers(spark: SparkSession, sf_dir: str, materialized: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Both registers.  The linkage reads each register several times (rollup,
-    link, anti join); ``materialized`` writes each once to the checkpoint
-    folder so ``lineitem JOIN orders`` and the normalisers run once, and the
-    lineage is cut (a lost executor re-reads, not recomputes)."""
-    p, r = presented_register(spark, sf_dir), recommended_register(spark, sf_dir)
-    if materialized:
-        from regfuse.plans.pipeline import materialize
+    """Both registers, lazily: no job runs before an action on the result.
 
-        p, r = materialize(p), materialize(r)
-    return p, r
+    The linkage reads each register several times (rollup, link, anti join);
+    ``materialized`` marks them to be kept after the first read, so ``lineitem
+    JOIN orders`` and the normalisers run once (lost parts are recomputed)."""
+    p, r = presented_register(spark, sf_dir), recommended_register(spark, sf_dir)
+    return (p.persist(), r.persist()) if materialized else (p, r)

@@ -32,9 +32,9 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
-    Only when none is configured (tests, the local bench) a scratch folder is
-    created and registered; on a cluster ``spark.checkpoint.dir`` is set by the
-    platform and used as is."""
+    Only a local session (tests, the bench) may leave it unset: a scratch
+    folder is then created and registered.  On a cluster a machine-local folder
+    would lose what other executors wrote, so there an unset folder is an error."""
     try:
         sc = spark.sparkContext
     except Exception:  # remote session: only the configuration is visible
@@ -45,6 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc is None or not (sc.master or "").startswith("local") or "cluster" in sc.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="regfuse-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(conf_dir)
@@ -86,3 +88,14 @@ def materialize(df):
     # short-lived table: dictionary encoding only costs time here
     df.write.mode("error").option("parquet.enable.dictionary", "false").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove(df) -> None:
+    """Remove the table of a ``materialize`` once nothing reads it any more."""
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.rsplit("/", 1)[-1].startswith("regfuse-") and base.split(":", 1)[-1].lstrip("/") in folder:
+            path = hadoop.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

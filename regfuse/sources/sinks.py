@@ -6,7 +6,7 @@ itself - no second job over the output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,7 @@ def write(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -
             .option("header", True)
             .option("nullValue", "")
             .option("emptyValue", "")
+            .option("escape", '"')  # a quote inside a field is doubled
             .csv(path)
         )
     elif fmt == "parquet":
@@ -46,6 +47,13 @@ def write(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -
     return int(obs.get["rows"])
 
 
+def read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
+    """A table that ``write`` wrote, with its types."""
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+
+
 def write_all(outputs: dict[str, DataFrame], output_dir: str, fmt: str = "csv") -> dict[str, int]:
     base = output_dir.rstrip("/")
     return {name: write(df, f"{base}/{name}", fmt) for name, df in outputs.items()}

@@ -1,34 +1,11 @@
-"""Table scans with a parallelism floor.
-
-A parquet file with a single row group is one scan task, so every per-row
-expression after it runs on one core.  At cluster scale inputs are many files
-and row groups and the scan already has far more tasks than cores; the guard
-below then does nothing.  Only an under-split scan is spread round-robin over
-``defaultParallelism`` tasks (one extra, cheap shuffle of a small input).
-Rows are placed by a hash of all their columns: deterministic on retry
-without the local sort a round-robin repartition needs, and no hot value can
-pile up in one task unless whole rows repeat.
-"""
+"""Parquet scans: columns pruned, splits left to the session's file settings
+(``spark.sql.files.maxPartitionBytes``, ``openCostInBytes``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the scan as planned
-        return df
-    if current < target:
-        return df.repartition(target, *[df[c] for c in df.columns])
-    return df
-
-
-def read_table(spark: SparkSession, path: str, columns=None, min_partitions: int | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
     df = spark.read.parquet(path)
-    if columns:
-        df = df.select(*columns)
-    return widen(df, min_partitions)
+    return df.select(*columns) if columns else df

@@ -64,10 +64,10 @@ def classify_files(df: DataFrame, output_dir: str | None, patterns=DATASET_PATTE
     )
 
 
-def inventory(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> DataFrame:
+def inventory(spark: SparkSession, input_dir: str, output_dir: str | None = None, patterns=DATASET_PATTERNS) -> DataFrame:
     """One row per file under ``input_dir``: path parts, size, mtime, datasets, status."""
     files = _listing(spark, input_dir).select("path", "modificationTime", "length")
-    out = classify_files(files, output_dir)
+    out = classify_files(files, output_dir, patterns)
     return out.withColumn("dir_parts", F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1))
 
 
@@ -85,12 +85,12 @@ def selected_files(inv: DataFrame) -> DataFrame:
     return dense_row_ids(sel, ["dataset", "source_path"], "file_rank")
 
 
-def require_datasets(files: DataFrame, datasets=tuple(DATASET_PATTERNS)) -> None:
+def require_datasets(files: DataFrame, patterns=DATASET_PATTERNS) -> None:
     """Fail unless every dataset has at least one file."""
     counts = {r["dataset"]: r["n"] for r in files.groupBy("dataset").agg(F.count(F.lit(1)).alias("n")).collect()}
-    missing = [d for d in datasets if not counts.get(d)]
+    missing = [d for d in patterns if not counts.get(d)]
     if missing:
-        pats = ", ".join(f"'{DATASET_PATTERNS[d]}'" for d in datasets)
+        pats = ", ".join(f"'{p}'" for p in patterns.values())
         raise FileNotFoundError(
             f"no workbook found for {', '.join(missing)}; expected file names containing {pats}"
         )
@@ -110,53 +110,45 @@ def _arrow_schema() -> pa.Schema:
             ("sheet_idx", pa.int32()),
             ("row_idx", pa.int32()),
             ("cells", pa.map_(pa.int32(), _cell_type())),
+            ("date1904", pa.bool_()),
             ("decode_error", pa.string()),
         ]
     )
 
 
 def decode_batches(batches, max_rows: int = 4096):
-    """mapInArrow body: (path, content) batches -> decoded row batches."""
-    from regfuse.sources.xlsx import WorkbookError, decode_workbook
+    """mapInArrow body: (path, content) batches -> decoded row batches.
+
+    A file's batches go out once it is decoded to its end; a file that fails
+    anywhere gives one error row and no data."""
+    from regfuse.sources.xlsx import decode_workbook
 
     schema = _arrow_schema()
-    buf = {k: [] for k in schema.names}
 
-    def flush():
-        out = pa.record_batch([pa.array(buf[k], type=schema.field(k).type) for k in schema.names], schema=schema)
-        for v in buf.values():
-            v.clear()
-        return out
+    def batch_of(rows: list[dict]):
+        return pa.RecordBatch.from_pylist(rows, schema=schema)
 
     for batch in batches:
-        paths = batch.column("path").to_pylist()
-        contents = batch.column("content")
-        for i, path in enumerate(paths):
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            whole, rows = [], []
             try:
-                for sheet, sheet_idx, row_idx, cells in decode_workbook(contents[i].as_py()):
-                    buf["source_path"].append(path)
-                    buf["source_sheet"].append(sheet)
-                    buf["sheet_idx"].append(sheet_idx)
-                    buf["row_idx"].append(row_idx)
-                    buf["cells"].append(
-                        [(k, {"cell_type": t, "text": s, "num": n, "ts": ts}) for k, (t, s, n, ts) in cells.items()]
-                    )
-                    buf["decode_error"].append(None)
-                    if len(buf["row_idx"]) >= max_rows:
-                        yield flush()
-            except (WorkbookError, KeyError, ValueError, IndexError, OSError) as e:
-                for k in ("source_sheet", "sheet_idx", "row_idx", "cells"):
-                    buf[k].append(None)
-                buf["source_path"].append(path)
-                buf["decode_error"].append(f"{type(e).__name__}: {e}"[:500])
-    if buf["source_path"]:
-        yield flush()
-
-
-def read_decoded(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> DataFrame:
+                for sheet, sheet_idx, row_idx, cells, date1904 in decode_workbook(content.as_py()):
+                    typed = [(k, {"cell_type": t, "text": s, "num": n, "ts": ts}) for k, (t, s, n, ts) in cells.items()]
+                    rows.append({"source_path": path, "source_sheet": sheet, "sheet_idx": sheet_idx, "row_idx": row_idx,
+                                 "cells": typed, "date1904": date1904})
+                    if len(rows) >= max_rows:
+                        whole.append(batch_of(rows))
+                        rows = []
+                whole.append(batch_of(rows))
+            except Exception as e:  # whatever is wrong with one file is that file's entry in the ledger
+                whole = [batch_of([{"source_path": path, "decode_error": f"{type(e).__name__}: {e}"}])]
+            yield from (x for x in whole if x.num_rows)
+
+
+def read_decoded(spark: SparkSession, input_dir: str, output_dir: str | None = None, patterns=DATASET_PATTERNS) -> DataFrame:
     """Decoded rows of every selected workbook plus one error row per file
     that could not be decoded (``decode_error`` set, no cells)."""
-    raw = classify_files(_listing(spark, input_dir), output_dir).where(F.col("status") == "selected")
+    raw = classify_files(_listing(spark, input_dir), output_dir, patterns).where(F.col("status") == "selected")
     return raw.select("path", "content").mapInArrow(decode_batches, DECODED_SCHEMA)
 
 

@@ -2,7 +2,7 @@
 
 A per-file helper that runs inside a Spark task (see ``workbook.py``): stdlib
 ``zipfile`` plus streaming XML, no third-party package.  It yields one tuple
-per non-empty sheet row: ``(sheet_name, sheet_idx, row_idx, {col_idx: cell})``
+per non-empty sheet row: ``(sheet_name, sheet_idx, row_idx, {col_idx: cell}, date1904)``
 with ``cell = (cell_type, text, num, ts)``.
 
 * shared strings and inline strings -> ``text``
@@ -115,7 +115,7 @@ def _sheets(z: zipfile.ZipFile):
 
 
 def decode_workbook(data: bytes):
-    """Yield ``(sheet_name, sheet_idx, row_idx, cells)`` for every non-empty row."""
+    """Yield ``(sheet_name, sheet_idx, row_idx, cells, date1904)`` for every non-empty row."""
     try:
         z = zipfile.ZipFile(io.BytesIO(data))
     except zipfile.BadZipFile as e:
@@ -131,7 +131,8 @@ def decode_workbook(data: bytes):
             except KeyError:
                 continue
             with f:
-                yield from _decode_sheet(f, name, sheet_idx, strings, date_styles, epoch)
+                for row in _decode_sheet(f, name, sheet_idx, strings, date_styles, epoch):
+                    yield (*row, date1904)
 
 
 def _decode_sheet(f, name, sheet_idx, strings, date_styles, epoch):

@@ -147,6 +147,6 @@ def test_blank_row_filter_keeps_key_rows(spark):
 
     df = spark.createDataFrame([(1, None, "D143", "inicial"), (2, "21", None, None), (3, " .0 ", None, None)],
                                "i int, codigo string, regimen string, tramo string")
-    out = standardize(df, codigo_comap=F.col("codigo"), regimen=F.col("regimen"), tramo=F.col("tramo"),
+    out = standardize(df, codigo=F.col("codigo"), regimen=F.col("regimen"), tramo=F.col("tramo"),
                       extra={"i": F.col("i")})
     assert sorted(r["i"] for r in out.collect()) == [2]

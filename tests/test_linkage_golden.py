@@ -43,7 +43,7 @@ def _reg(spark, rows, date_field):
     df = spark.createDataFrame(rows, SCHEMA)
     kw = {date_field: F.col("fecha")}
     return standardize(
-        df, rut=F.col("rut"), codigo_comap=F.col("codigo"), empresa=F.col("emp"), ministerio_evaluador=F.col("min"),
+        df, rut=F.col("rut"), codigo=F.col("codigo"), empresa=F.col("emp"), ministerio_evaluador=F.col("min"),
         regimen=F.col("regimen"), tramo=F.col("tramo"), monto_ui=F.col("monto"),
         source_file=F.lit("golden.xlsx"), source_row=F.col("id") + 1, order=F.col("id"), **kw)
 
@@ -74,7 +74,7 @@ def test_authoritative_rows(regs):
     auth = consolidate.authoritative(p, r)
     rows = auth.collect()
     got = sorted(
-        (x.project_row_id, x.match_method, x.codigo_comap, x.ministerio_evaluador, x.fecha_recomendado, x.regimen,
+        (x.project_row_id, x.match_method, x.codigo, x.ministerio_evaluador, x.fecha_recomendado, x.regimen,
          x.monto_ui_presentado, x.monto_ui_recomendado, x.monto_ui_beneficios, x.has_benefits,
          x.recommended_rows_for_key)
         for x in rows

@@ -87,7 +87,7 @@ def test_decode_and_headers(spark, folder):
     res = {(os.path.basename(r.source_path), r.field): (r.col_idx, r.column_name) for r in inf.resolved.collect()}
     # duplicate-free 'Fecha' column: partial match of fecha_presentado goes to the first column containing it
     assert res[("Recomendados.xlsx", "fecha_recomendado")] == (5, "fecha_resolucion")
-    assert res[("Recomendados.xlsx", "codigo_comap")] == (2, "codigo")
+    assert res[("Recomendados.xlsx", "codigo")] == (2, "codigo")
     assert res[("Recomendados.xlsx", "empresa")] == (3, "razon_social")
 
 
