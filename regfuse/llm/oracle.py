@@ -9,11 +9,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 NEAR_DUPLICATES = rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE}'), x -> x <> '') AS w
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE}'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
   FROM words),
 shingles AS (SELECT doc_id, len(s) AS n, md5_number(unnest(s)) AS h FROM sets),
 pairs AS (
@@ -77,15 +77,15 @@ def _canonical(line: str) -> str:
     return f"trim(regexp_replace({kept}, {_quoted(licenses.OTHER)}, ' ', 'g'), ' ')"
 
 
-_JOINED = "array_to_string(list_filter(lines, x -> x <> ''), ' ')"
+_JOINED = "array_to_string(list_filter(lines, lambda x: x <> ''), ' ')"
 LICENSES = f"""
 WITH known_texts(license_id, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.KNOWN)}),
-known_lines AS (SELECT license_id, list_transform(string_split(text, chr(10)), l -> {_canonical("l")}) AS lines FROM known_texts),
+known_lines AS (SELECT license_id, list_transform(string_split(text, chr(10)), lambda l: {_canonical("l")}) AS lines FROM known_texts),
 known AS (SELECT DISTINCT license_id, {_JOINED} AS unit FROM known_lines),
-docs AS (SELECT doc_id, list_transform(string_split_regex(text, '\\r\\n|\\n|\\r'), l -> {_canonical("l")}) AS lines FROM documents),
+docs AS (SELECT doc_id, list_transform(string_split_regex(text, '\\r\\n|\\n|\\r'), lambda l: {_canonical("l")}) AS lines FROM documents),
 cut AS (
   SELECT doc_id, lines, list_filter(string_split_regex(
-    array_to_string(list_transform(lines, x -> CASE WHEN x = '' THEN chr(10) ELSE x END), ' '), ' ?\\n[\\n ]*'), p -> p <> '') AS paragraphs
+    array_to_string(list_transform(lines, lambda x: CASE WHEN x = '' THEN chr(10) ELSE x END), ' '), ' ?\\n[\\n ]*'), lambda p: p <> '') AS paragraphs
   FROM docs),
 units AS (
   SELECT doc_id, 'whole' AS kind, {_JOINED} AS unit FROM cut
@@ -102,7 +102,7 @@ FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN hits h ON d.doc_id = h.
 NEAREST = """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 scored AS (
   SELECT q.vec_id AS query_id, v.vec_id,
     list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))) AS score
