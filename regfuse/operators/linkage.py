@@ -66,7 +66,7 @@ def tranche_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFra
     """(project_key, tramo_clean) grain over rows with a key; tranche may be ''."""
     # ``k`` stays a struct in the aggregation, see the module's notes on exchanges
     grouped = (
-        recommended.where(F.col("project_key").isNotNull())
+        recommended.where(F.col("project_key").isNotNull() & F.col("tramo_clean").isNotNull())
         .groupBy(F.struct("project_key", "tramo_clean").alias("k"))
         .agg(
             F.min("fecha_recomendado").alias("fecha_min"),
@@ -117,12 +117,12 @@ def link_presented(presented: DataFrame, recommended: DataFrame, order_col: str
     """Presented rows with exact / project attributes, the resolved
     recommendation and ``match_method``.  Row count equals ``presented``.
 
-    A blank tranche is no tranche: it is NULL in the exact join, on both sides'
-    copies of one reduced table (no filter, so the two copies stay the same)."""
+    A blank tranche is no tranche: a presented one is NULL in the exact join and
+    matches nothing.  (No filter on the rollup, so that both joins share it.)"""
     tranches = tranche_rollup(recommended, order_col)
-    exact = _exact_columns(tranches, F.nullif(F.col("tramo_clean"), F.lit("")).alias("_tramo"))
+    exact = _exact_columns(tranches, F.col("tramo_clean").alias("_tramo"))
     keyed = presented.where(F.col("project_key").isNotNull())
-    j = keyed.withColumn("_tramo", F.col("tramo_clean"))
+    j = keyed.withColumn("_tramo", F.nullif(F.col("tramo_clean"), F.lit("")))
     j = j.join(exact, ["project_key", "_tramo"], "left").drop("_tramo").join(_key_rollup(tranches), "project_key", "left")
     j = j.unionByName(presented.where(F.col("project_key").isNull()), allowMissingColumns=True)
     fallback = F.col("fecha_recomendado_exact").isNull() & (F.col("recommended_rows_project") == 1)
