@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import regfuse
 from regfuse.session import checkpoint_dir, materialize
@@ -47,6 +48,14 @@ def written(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def sampled(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """All of ``df``, or about ``rows`` of its rows: those whose keys' hash falls below the share that gives as many.
+    The same rows on every run, and no sort or gathering to find them."""
+    n = df.count()
+    share = (F.xxhash64(*keys, F.lit("sample")).cast("double") + 2.0**63) / 2.0**64
+    return df if n <= rows else df.where(share < rows / n)
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes), remembered; emptied when it holds ``limit`` words, so memory is bounded."""
 

@@ -1,8 +1,8 @@
 """Quality classifier with hierarchical empirical Bayes over sites.
 
 Document evidence: a logistic regression on a dozen figures of the text (length, letter, case, digit and symbol shares,
-repetition).  It is fitted by Newton's method on a bounded sample of labelled documents (``FIT_ROWS``, those with the
-smallest hashes): the only rows that reach the driver.
+repetition).  It is fitted by Newton's method on a bounded sample of labelled documents (about ``FIT_ROWS``, chosen by the
+hash of their id): the only rows that reach the driver.
 
 Site evidence: every document adds its label, or else its own probability, to its path (section of a host) and host.  A
 path's mean is shrunk toward its host's and a host's toward the global mean, each with the prior strength that the spread
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regfuse.llm.common import ascii_words, texts_of, written
+from regfuse.llm.common import ascii_words, sampled, texts_of, written
 
 FIT_ROWS, RIDGE, THRESHOLD = 20_000, 1.0, 0.5
 _SYMBOLS, _STOPS, _MARKUP = list(b"#$%&*"), list(b",.:;?"), list(b"<=>/_{}")
@@ -120,7 +120,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labels = labels.where(labels[id_col].isNotNull() & label.isin(0, 1)).groupBy(labels[id_col].cast("bigint").alias("doc_id"))
     labels = labels.agg(F.avg(label).alias("y")).where("y <> 0.5").select("doc_id", F.round("y").alias("y"))
     known = written(measured.join(labels, "doc_id", "left"))
-    sample = known.where("y is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(fit_rows).select("x", "y").collect()
+    sample = sorted(sampled(known.where("y is not null"), fit_rows, "doc_id").select("x", "y").collect())
     w = fit(np.array([r.x for r in sample]).reshape(-1, N_FIGURES), np.array([r.y for r in sample]))
 
     logit = F.aggregate(

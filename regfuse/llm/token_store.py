@@ -8,8 +8,7 @@ A store is a folder with two parquet tables that Spark writes and any Spark read
 
 Documents are range-partitioned by doc_id, so ``(part, row)`` is ascending doc_id order.  A frame decompresses alone
 (ids as little-endian unsigned 32-bit integers), so one document is read from one slice of one block; a reader checks
-``dict_hash`` before it decompresses.  Only the dictionary's training sample (a documented bound of bytes, documents
-with the smallest hashes) reaches the driver.
+``dict_hash`` before it decompresses.  Only the dictionary's training sample (see ``train_dictionary``) reaches the driver.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regfuse.llm.common import texts_of, written
+from regfuse.llm.common import sampled, texts_of, written
 from regfuse.session import checkpoint_dir
 
 END_ID = 0
@@ -121,12 +120,11 @@ def _decoded(column) -> list[str]:
 
 
 def train_dictionary(docs: DataFrame, tokenizer_json: str) -> bytes:
-    """A dictionary from the first ids of the ``SAMPLE_DOCS`` documents with the smallest text hashes (at most
+    """A dictionary from the first ids of about ``SAMPLE_DOCS`` documents, chosen by the hash of their id (at most
     ``SAMPLE_IDS`` ids of ``SAMPLE_CHARS`` characters each, the bound of what reaches the driver); empty where there is
     too little to train on."""
-    begun = F.substring("text", 1, SAMPLE_CHARS)
-    picked = docs.select(begun.alias("text"), F.xxhash64("text").alias("h")).where("text is not null")
-    picked = picked.orderBy("h", "text").limit(SAMPLE_DOCS)
+    begun = F.substring("text", 1, SAMPLE_CHARS).alias("text")
+    picked = sampled(docs.where("text is not null"), SAMPLE_DOCS, "doc_id").select(begun)
 
     def sample(batches):
         encode = _encoder(tokenizer_json)
@@ -135,7 +133,7 @@ def train_dictionary(docs: DataFrame, tokenizer_json: str) -> bytes:
                 [pa.array([x[: 4 * SAMPLE_IDS] for x in encode(_decoded(batch.column("text")))], pa.binary())], names=["ids"]
             )
 
-    samples = [bytes(r.ids) for r in picked.select("text").mapInArrow(sample, "ids binary").collect()]
+    samples = [bytes(r.ids) for r in picked.mapInArrow(sample, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sorted(samples)).as_bytes()
     except zstandard.ZstdError:
