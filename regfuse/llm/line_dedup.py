@@ -30,8 +30,10 @@ FIELD = "<*>"
 
 def masked_line(line):
     """Tokens of a line, one space between them, variable fields masked; empty for a blank line."""
-    tokens = F.split(F.trim(F.regexp_replace(line, SPACE, " ")), " ")
-    return F.array_join(F.transform(tokens, lambda t: F.when(F.rlike(t, F.lit(VARIABLE)), FIELD).otherwise(t)), " ")
+    # most lines are squeezed already and hold no field: for them two searches are all
+    squeezed = F.trim(F.when(F.rlike(line, F.lit(r"[\x09-\x0D]|  ")), F.regexp_replace(line, SPACE, " ")).otherwise(line))
+    fields = F.transform(F.split(squeezed, " "), lambda t: F.when(F.rlike(t, F.lit(VARIABLE)), FIELD).otherwise(t))
+    return F.when(F.rlike(line, F.lit(VARIABLE)), F.array_join(fields, " ")).otherwise(squeezed)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
