@@ -1,11 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. Every test item is cut into ``n``-word grams (an item of fewer words: one gram of all its words).  A Bloom filter of
    fixed size over the grams is the only thing sent to all tasks.
-2. One pass over the documents keeps the grams that pass the filter; a join with the item grams makes them exact and
-   their document frequency is counted over the whole corpus.
-3. Seeds are, per item, its grams no more frequent than the item's median gram: rare relative to their own item, so an
-   item that has leaked into a million documents keeps its seeds.
+2. One pass over the documents keeps the grams that pass the filter; a join with the item grams makes them exact.
+3. Every gram of an item is a seed, however frequent: whether a document is found never depends on other documents.
 4. Seeds of one document and item fall into windows by diagonal (place in the document less place in the item); only the
    least and largest diagonal of a window are kept.
 5. The words of the document around a window are aligned with the item (local alignment, +1 match, -``penalty`` for a
@@ -181,13 +179,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     )
     bloom, sizes = _bloom(grams, BLOOM_BITS)
     passed = written(docs.mapInArrow(_passing(bloom, sizes, BLOOM_BITS), "doc bigint, gram bigint, place bigint"))
-    known = written(grams.select("gram").distinct())
-    frequency = passed.join(known, "gram", "left_semi").select("gram", "doc").distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    weighed = written(grams.join(frequency, "gram"))
-    # the lower median of each item's grams found at all; an item's grams are as many as its words
-    median = written(weighed.groupBy("item").agg(F.percentile("df", 0.5).alias("median")))
-    seeds = written(weighed.join(median, "item").where("df <= median").select("item", "gram", "place", "length"))
-    hits = passed.withColumnRenamed("place", "at").join(seeds, "gram")
+    hits = passed.withColumnRenamed("place", "at").join(grams, "gram")
     diagonal = F.col("at") - F.col("place")
     windows = written(
         hits.withColumn("window", F.floor(diagonal / F.col("length")))

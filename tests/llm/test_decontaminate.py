@@ -51,6 +51,27 @@ def test_copies_edits_and_clean(spark):
     assert (106, 1) not in got
 
 
+def found_and_wanted(spark, docs, items):
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id bigint, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in D.contaminated(d, b).collect()}
+    want = {(i, j): align(t, w) / len(t) for i, w in docs for j, t in items}
+    return got, {k: v for k, v in want.items() if v >= D.THRESHOLD}
+
+
+def test_edited_copies_beside_the_exact_text(spark):
+    rng = np.random.default_rng(8)
+    items = [(j, [f"w{x}" for x in rng.integers(0, 4000, 40)]) for j in range(8)]
+    docs = []
+    for j, text in items:  # five to eight edits, beside the exact text once or five times
+        places = np.linspace(3, 36, 5 + j % 4).astype(int)
+        docs.append((100 * j, [f"new{i}" if i in places else w for i, w in enumerate(text)]))
+        docs += [(100 * j + k, ["before", *text, "after"]) for k in range(1, 2 + j)]
+    got, want = found_and_wanted(spark, docs, items)
+    assert got.keys() == want.keys() and len(want) == len(docs)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c d e")], "doc_id bigint, text string")
     b = spark.createDataFrame([(1, "a b c d e")], "item_id bigint, text string")
