@@ -1,18 +1,28 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-1. Every test item is cut into ``n``-word grams (an item of fewer words: one gram of all its words).  A Bloom filter of
-   fixed size over the grams is the only thing sent to all tasks.
-2. One pass over the documents keeps the grams that pass the filter; a join with the item grams makes them exact.
-3. Every gram of an item is a seed, however frequent: whether a document is found never depends on other documents.
-4. Seeds of one document and item fall into windows by diagonal (place in the document less place in the item); only the
-   least and largest diagonal of a window are kept.
+"""Benchmark decontamination: gapped word seeds, then Smith-Waterman alignment.
+
+1. Every test item is cut into seeds: ``n`` of its words in order, up to ``slack`` words left out between them (three
+   words and two left out; for short items two and one, or single words).  Documents are cut in the same way, so a seed
+   outlives as many changed, missing or extra words.  A Bloom filter of fixed size over the seeds is the only thing sent
+   to all tasks.
+2. One pass over the documents keeps the seeds that pass the filter; a join with the item's seeds makes them exact.
+3. Every seed counts, however frequent: whether a document is found never depends on other documents.
+4. Seeds of one document and item fall into windows by diagonal (place in the document less place in the item), two
+   neighbouring windows are taken together, and only the number of seeds, the least and the largest diagonal are kept.
+   An alignment that reaches the threshold holds at least ``least_seeds`` seeds in such a pair of windows; pairs with
+   fewer are left out, which loses nothing.
 5. The words of the document around a window are aligned with the item (local alignment, +1 match, -``penalty`` for a
    substitution, a gap, or an extra word).  The score divided by the item's words is 1 for a verbatim copy; each edited
    word costs about 1 + penalty.
+
+Why that many seeds: an alignment of m words that match and e errors scores m - penalty * e >= threshold * length.  It
+holds m - n + 1 runs of n consecutive matches, and an error lies in n - 1 of them at most, so no more than
+(n - 1) * e / (slack + 1) runs have over ``slack`` errors; each other run is a seed at a place of its own.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
 
 import numpy as np
@@ -20,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regfuse.llm.common import WordHashes, gram_hashes, mix64, texts_of, written
+from regfuse.llm.common import WordHashes, mix64, texts_of, written
 
-GRAM = 4
+SEEDS = ((3, 2), (2, 1), (1, 0))  # words of a seed, words left out at most; the first that an item is long enough for
 BLOOM_BITS = 1 << 23  # one megabyte, whatever the size of the benchmark; more items mean more false passes, not fewer hits
 PROBES = 3
 THRESHOLD, PENALTY = 0.5, 0.5
 _WORD = re.compile(r"\w+")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -43,25 +54,69 @@ def _hashed(text: bytes | None, hashes: WordHashes) -> np.ndarray:
     return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
 
 
-def _item_grams(n: int):
+def least_seeds(length: int, n: int, slack: int, threshold: float, penalty: float) -> int:
+    """Seeds that an alignment with an item of ``length`` words holds at least if it scores ``threshold`` or more."""
+    if n == 1:
+        return max(1, math.ceil(threshold * length - 1e-9))
+    if penalty <= 0:
+        return 0
+    # matches - n + 1 - lost * (matches - threshold * length), linear in the matches: least at one end of their range
+    lost = (n - 1) / (penalty * (slack + 1))
+    return math.ceil(min(threshold * length, length - lost * (1 - threshold) * length) - n + 1 - 1e-9)
+
+
+def _seed_shape(length: int, threshold: float, penalty: float) -> tuple[int, int, int]:
+    """Words, words left out and least number of an item's seeds."""
+    for n, slack in SEEDS:
+        least = least_seeds(length, n, slack, threshold, penalty)
+        if least > 0:
+            break
+    return n, slack, least
+
+
+def _play(length: int, threshold: float, penalty: float) -> int:
+    """Words that an alignment reaching the threshold has more than the item, at most."""
+    return max(1, math.ceil((1 - threshold) * length / penalty)) if penalty > 0 else 1 << 40
+
+
+def seed_hashes(words: np.ndarray, n: int, slack: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all choices of ``n`` words in order with ``slack`` words left out at most, and the places of their first."""
+    found, places = [], []
+    for gaps in itertools.product(range(1, slack + 2), repeat=n - 1):
+        if sum(gaps) - len(gaps) > slack:
+            continue
+        offsets = [0, *itertools.accumulate(gaps)]
+        count = len(words) - offsets[-1]
+        if count > 0:
+            chosen = np.full(count, n, np.uint64)
+            for k in offsets:
+                chosen = (chosen ^ words[k : k + count]) * _ODD
+                chosen ^= chosen >> np.uint64(29)
+            found.append(chosen)
+            places.append(np.arange(count))
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(found), np.concatenate(places)
+
+
+def _item_grams(threshold: float, penalty: float):
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            keys, grams, places, sizes, lengths = [], [], [], [], []
+            rows = []
             for key, text in zip(batch.column("item").to_pylist(), texts_of(batch.column("text")), strict=True):
                 words = _hashed(text, hashes)
-                k = min(n, len(words))
-                if k:
-                    found = gram_hashes(words, k).view(np.int64).tolist()
-                    grams += found
-                    keys += [key] * len(found)
-                    places += range(len(found))
-                    sizes += [k] * len(found)
-                    lengths += [len(words)] * len(found)
+                if len(words):
+                    n, slack, least = _seed_shape(len(words), threshold, penalty)
+                    found, places = seed_hashes(words, n, slack)
+                    same = (n, len(words), _play(len(words), threshold, penalty), least)
+                    # a seed that two choices of words from one place give is one seed
+                    rows += [(key, *seed, *same) for seed in set(zip(found.view(np.int64).tolist(), places.tolist(), strict=True))]
+            cols = list(zip(*rows, strict=True)) or [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(grams, pa.int64()), pa.array(places, pa.int64()), pa.array(sizes, pa.int32()), pa.array(lengths, pa.int64())],
-                names=["item", "gram", "place", "size", "length"],
-            )
+                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["item", "gram", "place", "size", "length", "play", "least"]
+            )
 
     return run
 
@@ -96,9 +151,10 @@ def _passing(bloom: np.ndarray, sizes: list[int], bits: int):
             ids, grams, places = [], [], []
             for key, text in zip(batch.column("doc").to_pylist(), texts_of(batch.column("text")), strict=True):
                 words = _hashed(text, hashes)
-                for k in sizes:
-                    g = gram_hashes(words, k)
-                    at = np.arange(len(g))
+                for n, slack in SEEDS:
+                    if n not in sizes:
+                        continue
+                    g, at = seed_hashes(words, n, slack)
                     for probe in range(PROBES):
                         if len(g):
                             spot = _spots(g, probe, bits)
@@ -147,9 +203,9 @@ def _aligned(threshold: float, penalty: float):
                 if item not in items:
                     items[item] = _hashed(item_text, hashes)
                 needle = items[item]
-                reach = len(needle) // 2 + 1
+                reach = _play(len(needle), threshold, penalty)
                 start = max(0, low - reach)
-                score, end = align(needle, words[start : high + len(needle) + reach], penalty)
+                score, end = align(needle, words[start : max(0, high + len(needle) + reach)], penalty)
                 share = score / len(needle)
                 if share >= threshold:
                     out.append((doc, item, share, start + end))
@@ -163,7 +219,7 @@ def _aligned(threshold: float, penalty: float):
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", gram: int = GRAM, threshold: float = THRESHOLD, penalty: float = PENALTY) -> DataFrame:
+                 item_text_col: str = "text", threshold: float = THRESHOLD, penalty: float = PENALTY) -> DataFrame:
     """One row per document and test item whose best alignment scores ``threshold`` or more: doc_id, item_id, score (0 to
     1, share of the item's words), end_word (words of the document up to the end of the best match).
 
@@ -175,17 +231,26 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     items = items.select(items[item_col].cast("bigint").alias("item"), items[item_text_col].alias("text")).where("item is not null")
     items = items.distinct()
     grams = written(
-        items.mapInArrow(_item_grams(gram), "item bigint, gram bigint, place bigint, size int, length bigint")
+        items.mapInArrow(
+            _item_grams(threshold, penalty), "item bigint, gram bigint, place bigint, size int, length bigint, play bigint, least bigint"
+        )
     )
     bloom, sizes = _bloom(grams, BLOOM_BITS)
     passed = written(docs.mapInArrow(_passing(bloom, sizes, BLOOM_BITS), "doc bigint, gram bigint, place bigint"))
     hits = passed.withColumnRenamed("place", "at").join(grams, "gram")
     diagonal = F.col("at") - F.col("place")
+    # an alignment's diagonals differ by ``play`` at most: they lie in one window and the next
+    window = F.floor(diagonal / F.col("play"))
+    each = hits.groupBy("doc", "item", "length", "least", window.alias("window")).agg(
+        F.count(F.lit(1)).alias("seeds"), F.min(diagonal).alias("low"), F.max(diagonal).alias("high")
+    )
+    pairs = each.withColumn("window", F.explode(F.array(F.col("window") - 1, F.col("window"))))
     windows = written(
-        hits.withColumn("window", F.floor(diagonal / F.col("length")))
-        .groupBy("doc", "item", "window")
-        .agg(F.min(diagonal).alias("low"), F.max(diagonal).alias("high"))
+        pairs.groupBy("doc", "item", "length", "least", "window")
+        .agg(F.sum("seeds").alias("seeds"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .where("seeds >= least")
         .select("doc", "item", "low", "high")
+        .distinct()
     )
     found = (
         windows.join(items.withColumnRenamed("text", "item_text"), "item")

@@ -72,6 +72,44 @@ def test_edited_copies_beside_the_exact_text(spark):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_spread_edits_and_short_items(spark):
+    rng = np.random.default_rng(9)
+    lengths = [1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 14, 20, 33]
+    items = [(j, [f"w{x}" for x in rng.integers(0, 4000, n)]) for j, n in enumerate(lengths)]
+    docs = []
+    for j, text in items:
+        forms = [[f"new{i}" if i % every == every // 2 else w for i, w in enumerate(text)] for every in (3, 4, 5)]  # changed
+        forms += [[w for i, w in enumerate(text) if i % every != 1] for every in (3, 4)]  # left out
+        forms += [[x for i, w in enumerate(text) for x in ([w] if i % every else [f"more{i}", w])] for every in (1, 2, 3)]  # put in
+        forms += [text[: (len(text) + 1) // 2], ["new" if i == len(text) // 2 else w for i, w in enumerate(text)], text[:1]]
+        forms += [[*text[:1], *[f"far{i}" for i in range(len(text) - 1)], *text[1:]]]
+        for k, words in enumerate(forms):
+            docs.append((100 * j + k, [f"a{x}" for x in rng.integers(0, 99, 30)] + words + [f"z{x}" for x in rng.integers(0, 99, 30)]))
+    docs += [(9000 + k, [w for _, t in items for w in rng.permutation(t)]) for k in range(3)]  # the words without their order
+    got, want = found_and_wanted(spark, docs, items)
+    assert got.keys() == want.keys() and len(want) > 100
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_least_number_of_seeds():
+    rng = np.random.default_rng(10)
+    checked = 0
+    for _ in range(3000):
+        item = np.arange(1, rng.integers(2, 26)).astype(np.uint64) + np.uint64(1 << 40)
+        text = []
+        for w in item:  # edits of all kinds at random rates
+            kind = rng.random()
+            text += [w] if kind < 0.6 else [] if kind < 0.7 else [rng.integers(0, 1 << 30)] if kind < 0.8 else [rng.integers(0, 1 << 30), w]
+        text = np.array(text, np.uint64)
+        if D.align(item, text)[0] / len(item) < D.THRESHOLD:
+            continue
+        n, slack, least = D._seed_shape(len(item), D.THRESHOLD, D.PENALTY)
+        of_item, of_text = (dict(zip(*D.seed_hashes(x, n, slack), strict=True)) for x in (item, text))
+        assert len({of_item[g] for g in of_item.keys() & of_text.keys()}) >= least >= 1
+        checked += 1
+    assert checked > 500
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c d e")], "doc_id bigint, text string")
     b = spark.createDataFrame([(1, "a b c d e")], "item_id bigint, text string")
