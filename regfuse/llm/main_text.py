@@ -4,14 +4,17 @@ A page becomes a tree (tolerant of missing end tags).  Elements that are never a
 navigation, headers, footers, sidebars, and those whose class, id or role says advert, notice, menu, comments and so on.
 Every paragraph then gives points (one, one per comma, up to three for its length) to its parent, half as much to its
 grandparent, a third to the next, and so on.  A container's points are discounted by its link density, the share of its
-text inside links.  The best container is kept, with those of its siblings that score a fifth of it or are themselves
-plain text with few links.
+text inside links.  The best container may be a part of the article only: the outermost article element around it, or
+else the outermost main, is kept whole, with those of its siblings that score a fifth of the best container.  Without
+such an element (and from a main's only article up to that main) the container is kept with those siblings of it and of
+its wrappers that score a fifth of it or are themselves plain text with few links.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -116,12 +119,14 @@ def parse(page: str) -> _Node:
     return root
 
 
-def _nodes(root: _Node) -> list[_Node]:
-    """All kept elements, parents before children."""
+def _nodes(root: _Node, leaf: _Node | None = None) -> list[_Node]:
+    """All kept elements, parents before children; nothing inside ``leaf``."""
     out, todo = [], [root]
     while todo:
         node = todo.pop()
         out.append(node)
+        if node is leaf:
+            continue
         todo += [x for x in reversed(node.items) if isinstance(x, _Node) and not x.gone]
     return out
 
@@ -201,15 +206,38 @@ def main_text(page: str | None) -> str:
     best = max(_score(root), key=lambda n: (n.points, n.tag in _CONTENT), default=root)
     if best.points <= 0:
         return "\n".join(blocks([root]))
-    if best.parent is None or best.tag in ("body", "html"):
-        return "\n".join(blocks([best]))
-    family = [x for x in best.parent.items if isinstance(x, _Node) and not x.gone]
-    kept = [
-        x for x in family
-        if x is best or x.points >= best.points / 5
-        or (x.tag in _BLOCK and x.tag not in ("ul", "ol", "table") and x.chars > 0 and _links(x) < 0.25 and best.tag not in _CONTENT)
-    ]
-    return "\n".join(blocks(kept))
+    top, reach = _article(best)
+    before, after, node = deque(), [], top
+    while node.parent is not None and node.tag not in ("body", "html") and node is not reach:
+        strict = top.tag in _CONTENT and reach is None
+        family = [x for x in node.parent.items if isinstance(x, _Node) and (x is node or not x.gone and _belongs(x, best, strict))]
+        at = next(i for i, x in enumerate(family) if x is node)
+        before.extendleft(reversed(family[:at]))
+        after += family[at + 1 :]
+        if strict:
+            break
+        node = node.parent
+    return "\n".join(blocks([*before, top, *after]))
+
+
+def _article(best: _Node) -> tuple[_Node, _Node | None]:
+    """The element that holds the whole article of the best container, and the main whose only article it is, if any."""
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    article = next((x for x in reversed(around) if x.tag == "article"), None)
+    main = next((x for x in reversed(around) if x.tag == "main"), None)
+    if article is None or main is None:
+        return article or main or best, None
+    alone = not any(x.tag == "article" and x is not article for x in _nodes(main, article))
+    return article, main if alone and any(x is main for x in around[around.index(article) :]) else None
+
+
+def _belongs(x: _Node, best: _Node, strict: bool) -> bool:
+    """Whether an element beside the article, or beside a wrapper of it, is taken for a part of it."""
+    if x.points >= best.points / 5:
+        return True
+    return not strict and x.tag in _BLOCK and x.tag not in ("ul", "ol", "table") and x.chars > 0 and _links(x) < 0.25
 
 
 def _extract(batches):

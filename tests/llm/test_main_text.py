@@ -30,6 +30,24 @@ def test_pages(page, text):
     assert H.main_text(page) == text
 
 
+LINKS = "<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body>{NOISE}<article><h1>Title</h1><div class=body><div class=part><p>{P1}</p><p>{P1}</p><p>{P1}</p><p>{P1}</p></div></div><section><p>{P2}</p></section></article>{LINKS}", f"Title\n{P1}\n{P1}\n{P1}\n{P1}\n{P2}"),
+        (f"<article><h1>Title</h1><div><div><div><p>{P1}</p></div><div><p>{P2}</p></div></div></div><div><div><p>{P2}</p></div></div></article>", f"Title\n{P1}\n{P2}\n{P2}"),
+        (f"<main><h1>Title</h1><div><div><div><p>{P1}</p><p>{P1}</p></div></div></div><p>{P2}</p></main><div><p>x</p></div>", f"Title\n{P1}\n{P1}\n{P2}"),
+        (f"<main><h1>Title</h1><div><article><div><div><p>{P1}</p></div></div><p>{P2}</p></article></div>{LINKS}</main><div><p>x</p></div>", f"Title\n{P1}\n{P2}"),
+        (f"<main><article><div><div><p>{P1}{P1}{P1}</p></div></div></article><article><p>x</p></article></main>", f"{P1}{P1}{P1}"),
+        (f"<body><div id=page><h1>Title</h1><div class=body><div class=part><p>{P1}</p><p>{P1}</p></div></div><section><p>{P2}</p></section>{LINKS}</div></body>", f"Title\n{P1}\n{P1}\n{P2}"),
+    ],
+)
+def test_nested_wrappers_and_split_bodies(page, text):
+    assert H.main_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert H.main_text("<div>" * 50_000 + P1 + "</div>" * 50_000) == P1
     page = "<article>" + f"<p>{P1}</p>" * 20_000 + "</article>"
