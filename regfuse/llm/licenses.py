@@ -3,7 +3,8 @@
 A text is brought to canonical form line by line: lower case, copyright lines dropped, equivalent spellings unified,
 everything but letters and digits one space.  The digest of an entire canonical text is looked up by a hash join with
 the digests of known licence texts and notices, canonical by the same expression.  A document is looked up as a whole, by
-paragraphs (between blank lines), and by lines.  All of it is DataFrame expressions.
+paragraphs (between blank lines), by lines, and by runs of paragraphs: where a paragraph is the first of a known text,
+it and as many of the next as that text has are looked up together.  All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regfuse.llm.license_texts import TEXTS
+
 # Equivalent spellings, applied in this order to lower-case text.
 SPELLINGS = (
     ("licence", "license"), ("sub-license", "sublicense"), ("organisation", "organization"), ("recognise", "recognize"),
@@ -69,33 +72,60 @@ def _joined(lines):
     return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
-def known_digests(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
-    """(license_id, digest) of the known texts, a fixed table."""
+def _paragraphs(lines):
+    """Canonical lines joined, cut where a line is empty."""
+    marked = F.split(F.array_join(F.transform(lines, lambda x: F.when(x == "", F.lit("\n")).otherwise(x)), " "), " ?\n[\n ]*")
+    return F.filter(marked, lambda p: p != "")
+
+
+def _known_lines(spark: SparkSession, known: tuple) -> DataFrame:
     rows = F.array(*(F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in known))
-    texts = spark.range(1).select(F.inline(rows))
-    lines = F.transform(F.split("text", "\n"), canonical_line)
-    return texts.select("license_id", F.sha2(_joined(lines), 256).alias("digest")).distinct()
+    return spark.range(1).select(F.inline(rows)).select("license_id", F.transform(F.split("text", "\n"), canonical_line).alias("lines"))
+
 
+def known_digests(spark: SparkSession, known: tuple = KNOWN + TEXTS) -> DataFrame:
+    """(license_id, digest) of the known texts, a fixed table."""
+    return _known_lines(spark, known).select("license_id", F.sha2(_joined("lines"), 256).alias("digest")).distinct()
+
+
+def known_runs(spark: SparkSession, known: tuple = KNOWN + TEXTS) -> DataFrame:
+    """(first, size) of the known texts of several paragraphs: the digest of the first one, and their number."""
+    texts = _known_lines(spark, known).select(_paragraphs("lines").alias("p")).where("size(p) > 1")
+    return texts.select(F.sha2(texts.p[0], 256).alias("first"), F.size("p").alias("size")).distinct()
 
-def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+         runs: DataFrame | None = None) -> DataFrame:
     """One row per doc_id: doc_id, licenses (distinct identifiers in code point order, joined by commas; empty if none),
     n_notices (its distinct matching paragraphs and lines, other than the whole text), whole_text (the entire text is a licence).
 
+    A licence found as a run of paragraphs is among the identifiers, and no notice of its own.
+
     ``known``: (license_id, digest), by default the fixed table (a few dozen rows, broadcast; a larger table is joined as
-    Spark sees fit).  Null or empty text matches nothing.  Rows that share a doc_id, and rows with a null one, are taken
+    Spark sees fit).  ``runs``: (first, size) as ``known_runs`` gives them, one small table that every task gets; with a
+    ``known`` of the caller's and without ``runs``, runs of paragraphs are not looked up.  Null or empty text matches nothing.  Rows that share a doc_id, and rows with a null one, are taken
     together as one document.  Other columns are ignored; an empty table gives an empty result.
     """
-    known = F.broadcast(known_digests(docs.sparkSession)) if known is None else known
+    if known is None:
+        known = F.broadcast(known_digests(docs.sparkSession))
+        runs = known_runs(docs.sparkSession) if runs is None else runs
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     lines = docs.select("doc_id", F.transform(F.split("text", "\r\n|\n|\r"), canonical_line).alias("lines"))
-    # paragraphs: canonical lines joined, cut where a line is empty
-    marked = F.split(F.array_join(F.transform("lines", lambda x: F.when(x == "", F.lit("\n")).otherwise(x)), " "), " ?\n[\n ]*")
-    paragraphs = F.filter(marked, lambda p: p != "")
+    paragraphs = _paragraphs("lines")
     none = F.array().cast("array<string>")
     parts = F.when(F.size("lines") > 1, F.array_union(F.when(F.size(paragraphs) > 1, paragraphs).otherwise(none), "lines")).otherwise(none)
+    together = F.array().cast("array<struct<kind:string,unit:string>>")
+    if runs is not None:
+        # a fixed, small table: one row for all tasks
+        lines = lines.crossJoin(F.broadcast(runs.agg(F.collect_list(F.struct("first", "size")).alias("runs"))))
+        together = F.when(F.size(paragraphs) > 1, F.flatten(F.transform(F.transform(paragraphs, lambda p: F.sha2(p, 256)), lambda d, i: F.transform(
+            F.filter("runs", lambda r: r["first"] == d),
+            lambda r: F.struct(F.lit("run").alias("kind"), F.array_join(F.slice(paragraphs, i + 1, r["size"]), " ").alias("unit")),
+        )))).otherwise(together)
     units = lines.select("doc_id", F.explode(F.concat(
         F.array(F.struct(F.lit("whole").alias("kind"), _joined("lines").alias("unit"))),
         F.transform(parts, lambda p: F.struct(F.lit("part").alias("kind"), p.alias("unit"))),
+        together,
     )).alias("u")).select("doc_id", "u.kind", "u.unit")
     units = units.where("unit <> ''").select("doc_id", "kind", F.sha2("unit", 256).alias("digest"))
     hits = units.join(known, "digest").groupBy("doc_id").agg(

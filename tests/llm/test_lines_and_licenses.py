@@ -53,3 +53,17 @@ def test_licenses(spark):
     assert got[5] == got[6] == got[7] == got[10] == got[11] == ("", 0, False)
     assert got[8] == ("CC-BY-4.0", 0, True) and got[9] == ("CC-BY-4.0,MIT", 1, True) and got[None] == ("ISC", 0, True)
     assert found(spark, []) == []
+
+
+def test_complete_texts_and_runs_of_paragraphs(spark):
+    ids = sorted({i for i, _ in licenses.TEXTS})
+    assert ids == ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "MPL-2.0"]
+    rows, want = [], {}
+    for k, (i, text) in enumerate(licenses.TEXTS):
+        rows += [(2 * k, text), (2 * k + 1, f"# A readme\n\nSome words.\n\n{text}\n\nThe end.")]
+        want |= {2 * k: (i, True), 2 * k + 1: (i, False)}
+    mit = licenses.KNOWN[2][1]
+    rows += [(900, f"# A readme\n\nCopyright (c) 2020 Some Body\n\n{mit}"), (901, f"Words.\n\n{mit.rsplit(chr(10), 2)[0]}"), (902, f"Words.\n\n{mit}\n\n{rows[0][1]}")]
+    rows += [(903, mit.replace("\n\n", "\n\nOther words.\n\n"))]
+    want |= {900: ("MIT", False), 901: ("", False), 902: ("Apache-2.0,MIT", False), 903: ("", False)}
+    assert {r[0]: (r[1], r[3]) for r in found(spark, rows)} == want
