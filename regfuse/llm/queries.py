@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from regfuse.llm import (
     decontaminate,
+    hard_negatives,
     language,
+    lexical_search,
     licenses,
     line_dedup,
     main_text,
@@ -18,6 +20,7 @@ from regfuse.llm import (
     neighbours,
     quality,
     token_store,
+    web_archives,
 )
 from regfuse.llm.common import table
 from regfuse.llm.oracle import ORACLE  # noqa: F401
@@ -86,6 +89,25 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, table(spark, sf_dir, "labels"), host=F.col("source"), path=F.col("lang"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose vec_id is divisible by 100; labels of ids divisible by 7 are moved on by one first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.scaled(vectors.withColumn("label", moved))
+    return hard_negatives.mine(rows, rows.where("id % 100 = 0"))
+
+
+@query
+def op12_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archives.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 def tokenizer_json() -> str:
     """The public tokenizer's definition, read where the driver runs; tasks get the text."""
     import public_tokenizers

@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_language_id": ["doc_id", "held_out", "lang_pred", "score"],
     "op9_token_store": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op10_quality_classifier": ["doc_id", "host", "path", "doc_score", "site_score", "score", "kept"],
+    "op11_hard_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op12_web_archives": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
+    "op13_lexical_search": ["item_id", "rank", "doc_id", "score"],
 }
 
 
