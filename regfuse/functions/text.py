@@ -65,9 +65,15 @@ def num_to_text(c) -> Column:
     """Shortest text that reads back as the same number, in plain notation at
     any magnitude (``2.1e11`` -> ``210000000000``, ``1e-12`` -> ``0.000000000001``).
 
-    Spark prints a double as ``d.ddd`` or ``d.dddE<exp>``; the latter's digits
-    are moved to their places."""
-    t = _col(c).cast("double").cast("string")
+    Whole numbers below 10^15 (nearly all) are printed as integers; the rest
+    goes through a lambda, which keeps the generated code short."""
+    x = _col(c).cast("double")
+    whole = (F.abs(x) < 1e15) & (F.floor(x) == x)
+    return F.when(whole, x.cast("bigint").cast("string")).otherwise(F.transform(F.array(x.cast("string")), _plain_number)[0])
+
+
+def _plain_number(t: Column) -> Column:
+    """A double as Spark prints it, ``d.ddd`` or ``d.dddE<exp>``; the digits of the latter are moved to their places."""
     sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     mantissa, power = F.substring_index(F.ltrim(t, F.lit("-")), "E", 1), F.substring_index(t, "E", -1).try_cast("int")
     fraction = F.nullif(F.substring_index(mantissa, ".", -1), F.lit("0"))
@@ -77,8 +83,7 @@ def num_to_text(c) -> Column:
         F.concat(F.left(digits, power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits)))
     )
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    plain = F.when(t.endswith(".0"), F.left(t, F.length(t) - 2)).otherwise(t)
-    return F.when(t.contains("E"), F.concat(sign, F.when(power >= 0, large).otherwise(small))).otherwise(plain)
+    return F.when(t.contains("E"), F.concat(sign, F.when(power >= 0, large).otherwise(small))).otherwise(t)
 
 
 def normalize_rut(c) -> Column:

@@ -25,7 +25,7 @@ def linked_union(presented: DataFrame, recommended: DataFrame, order_col: str =
     p = link_presented(presented, recommended, order_col).withColumns(
         {"_branch": F.lit(0), "_order_p": F.col(order_col)}
     ).drop(order_col)
-    r = recommended_only(presented, recommended).withColumns(
+    r = recommended_only(presented, recommended, order_col).withColumns(
         {"_branch": F.lit(1), "_order_r": F.col(order_col)}
     ).drop(order_col)
     return p.unionByName(r, allowMissingColumns=True)

@@ -179,14 +179,12 @@ def drill_through(auth: DataFrame, by: str = "ministerio_evaluador", only_benefi
 
 
 # ---- D8 -------------------------------------------------------------------
-def schema_versions(resolved: DataFrame, chosen: DataFrame) -> DataFrame:
+def schema_versions(chosen: DataFrame) -> DataFrame:
     """Layout fingerprint per chosen sheet (hash of its sorted field ->
     column-name pairs) and how many workbooks share each layout."""
-    r = resolved.join(chosen.select("source_path", "source_sheet", "dataset"), ["source_path", "source_sheet"])
-    pairs = r.groupBy("source_path", "source_sheet", "dataset").agg(
-        F.array_sort(F.collect_list(F.concat_ws("=", "field", "column_name"))).alias("layout")
-    )
-    fp = pairs.withColumn("fingerprint", F.xxhash64(F.concat_ws("|", "layout")))
+    pairs = F.array_sort(F.transform("resolved", lambda r: F.concat_ws("=", r["field"], r["column_name"])))
+    fp = chosen.select("dataset", "source_path", pairs.alias("layout"))
+    fp = fp.withColumn("fingerprint", F.xxhash64(F.concat_ws("|", "layout")))
     return fp.groupBy("dataset", "fingerprint", "layout").agg(
         F.count(F.lit(1)).alias("libros"), F.min("source_path").alias("ejemplo")
     )

@@ -1,30 +1,28 @@
-"""Header inference over workbook rows, as joins and aggregations.
-
-Input is a *rows* DataFrame (``ROWS_SCHEMA``): one row per non-empty sheet
-row with its cells as ``map<col_idx, cell>``.  Only the first rows of every
-sheet (the preview) are exploded into single cells; data rows are never
-exploded or shuffled - the canonical projection is a map lookup per row after
-a join with the small per-sheet column mapping.
-
-Steps (one DataFrame each, all distributed):
-
-* ``sheet_bounds``     first non-empty row of every sheet
-* ``preview_cells``    cells of the first ``PREVIEW_ROWS`` rows, normalised text
-* ``header_rows``      score every preview row against the alias catalogue
-                       (count of fields it resolves), arg-max per sheet, ties to
-                       the first row, best score < 2 -> first row
-* ``header_names``     the chosen header row's cells, duplicate names repaired
-* ``resolve_columns``  per (sheet, field): exact alias match by alias priority,
-                       else the first column (sheet order) containing an alias
-* ``choose_sheets``    per (file, dataset): the sheet resolving most expected
-                       fields, ties to the first sheet
-* ``column_mapping``   chosen sheet -> ``map<field, col_idx>`` (<= 9 entries)
-* ``canonical_cells``  data rows below the header with one cell per field
+"""Header inference over workbook rows, as one fold per sheet.
+
+Input is a *rows* DataFrame (``ROWS_SCHEMA``): one row per non-empty sheet row with its cells as ``map<col_idx, cell>``.
+
+* ``preview``        the first ``PREVIEW_ROWS`` rows of every sheet, by a rank with a limit on the map side: each task keeps
+                     that many rows a sheet, so only those are exchanged, and data rows are read once
+* ``sheets``         one row per sheet.  Every preview row is scored against the alias catalogue (count of fields it
+                     resolves); one aggregation keeps the best row (ties: the first) and the first row, which is taken if the
+                     best scores below 2; the chosen row's names are repaired and resolved to fields as bounded arrays (at most
+                     a sheet's columns, at most a struct per field)
+* ``choose_sheets``  per (file, dataset): the sheet resolving most expected fields, ties to the first sheet, with
+                     ``mapping: map<field, col_idx>``
+* ``canonical_cells``  data rows below the header with one cell per field (a map lookup per row after a join with the
+                     chosen sheets)
+
+The fold needs the exchange of the preview and nothing else: its grouping key is the rank's.  Choosing sheets joins it with the
+files, so inference has three exchanges, whatever the number of fields.  ``header_rows``, ``header_names`` and
+``resolved_columns`` are long forms of ``sheets``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,12 +58,6 @@ ROWS_SCHEMA = T.StructType(
 SHEET_KEY = ["source_path", "source_sheet"]
 
 
-def alias_table(spark: SparkSession, aliases=COLUMN_ALIASES) -> DataFrame:
-    """(field, alias, priority): the alias catalogue as a tiny DataFrame."""
-    data = [(f, a, i) for f, lst in aliases.items() for i, a in enumerate(lst, start=1)]
-    return spark.createDataFrame(data, "field string, alias string, priority int")
-
-
 def cell_text(cell) -> Column:
     """Text form of a typed cell (numbers exact, no scientific notation)."""
     c = F.col(cell) if isinstance(cell, str) else cell
@@ -78,118 +70,132 @@ def cell_text(cell) -> Column:
     )
 
 
-def sheet_bounds(rows: DataFrame) -> DataFrame:
-    """(source_path, source_sheet, sheet_idx, first_row) per non-empty sheet."""
-    return rows.groupBy(*SHEET_KEY).agg(
-        F.min("sheet_idx").alias("sheet_idx"), F.min("row_idx").alias("first_row")
+def preview(rows: DataFrame, preview_rows: int = PREVIEW_ROWS) -> DataFrame:
+    """Each sheet's rows from its first non-empty row on, ``preview_rows`` row numbers far, with ``first_row``.
+
+    A sheet has at most one row per row number, so the window holds the rows of rank 1 to ``preview_rows``."""
+    w = Window.partitionBy(*SHEET_KEY).orderBy("row_idx")
+    ranked = rows.select(
+        *SHEET_KEY, "sheet_idx", "row_idx", "cells", F.row_number().over(w).alias("_rank"),
+        F.first("row_idx").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("first_row"),
     )
+    near = (F.col("_rank") <= preview_rows) & (F.col("row_idx") < F.col("first_row") + preview_rows)
+    return ranked.where(near).drop("_rank")
 
 
-def preview_cells(rows: DataFrame, bounds: DataFrame, preview_rows: int = PREVIEW_ROWS) -> DataFrame:
-    """Cells of each sheet's first ``preview_rows`` rows with normalised text.
-    Empty names are dropped (an empty cell never resolves a field).
+def _named_cells(cells: Column) -> Column:
+    """Non-blank cells in sheet order: array of (col_idx, raw text)."""
+    entries = F.transform(F.map_entries(cells), lambda e: F.struct(e["key"].alias("col_idx"), cell_text(e["value"]).alias("raw")))
+    return F.array_sort(F.filter(entries, lambda e: tx.has_text(e["raw"])))
 
-    The preview row numbers are enumerated per sheet and joined on
-    (path, sheet, row): a row-level key, so no workbook lands in one task."""
-    wanted = bounds.select(
-        *SHEET_KEY, F.explode(F.sequence("first_row", F.col("first_row") + (preview_rows - 1))).alias("row_idx")
-    )
-    p = rows.join(wanted, [*SHEET_KEY, "row_idx"])
-    cells = p.select(*SHEET_KEY, "row_idx", F.explode("cells").alias("col_idx", "cell"))
-    cells = cells.withColumn("raw", cell_text("cell"))
-    return cells.withColumn("name", tx.normalize_name("raw")).where(F.col("name") != "")
 
+def _any_of(words: list[str]) -> str:
+    return "|".join(re.escape(w) for w in words)
 
-def _alias_hits(names: DataFrame, aliases: DataFrame) -> DataFrame:
-    # 55 aliases: a fixed-size table, safe to broadcast; ``contains`` is a
-    # non-equi condition, so this plans as a broadcast nested-loop join over
-    # header-sized inputs only.
-    return names.join(F.broadcast(aliases), names["name"].contains(aliases["alias"]))
 
+def row_score(cells: str, aliases=COLUMN_ALIASES) -> Column:
+    """How many fields some normalised name of ``cells`` (an array of col_idx, raw) resolves, exactly or partly.
 
-def header_rows(preview: DataFrame, bounds: DataFrame, aliases: DataFrame,
-                min_score: int = MIN_HEADER_SCORE) -> DataFrame:
-    """(source_path, source_sheet, sheet_idx, first_row, header_row, header_score)."""
-    hits = _alias_hits(preview, aliases)
-    scores = hits.groupBy(*SHEET_KEY, "row_idx").agg(F.count_distinct("field").alias("score"))
-    best = scores.groupBy(*SHEET_KEY).agg(
-        F.max_by("row_idx", F.struct("score", (-F.col("row_idx")).alias("neg_row"))).alias("best_row"),
+    A name holds no line break, so one text of all names is searched once per field."""
+    names = F.array_join(F.transform(cells, lambda c: tx.normalize_name(c["raw"])), "\n")
+    fields = F.transform(F.array(names), lambda n: sum(n.rlike(_any_of(words)).cast("int") for words in aliases.values()))
+    return fields[0]
+
+
+def _repaired_names(cells: str) -> Column:
+    """(col_idx, raw, name) of the chosen row's cells: a raw name used by several columns gets its column number appended
+    (``Fecha`` twice -> ``fecha_3``, ``fecha_7``), then names are normalised; those without letters or digits are left out."""
+    by_raw = F.array_sort(F.transform(cells, lambda c: F.struct(c["raw"].alias("raw"), c["col_idx"].alias("col_idx"))))
+
+    def named(sorted_):
+        def one(c, i):
+            same = (F.get(sorted_, i - 1)["raw"] == c["raw"]) | (F.get(sorted_, i + 1)["raw"] == c["raw"])
+            repaired = F.when(F.coalesce(same, F.lit(False)), F.concat(c["raw"], F.lit("..."), c["col_idx"].cast("string")))
+            return F.struct(c["col_idx"].alias("col_idx"), c["raw"].alias("raw"),
+                            tx.normalize_name(F.coalesce(repaired, c["raw"])).alias("name"))
+
+        return F.transform(sorted_, one)
+
+    bound = F.transform(F.array(by_raw), named)[0]  # sorted once
+    return F.array_sort(F.filter(bound, lambda c: c["name"] != ""))
+
+
+def _resolved_field(names: str, field: str, words: list[str]) -> Column:
+    place = F.array(*map(F.lit, words))
+    hits = F.filter(names, lambda c: c["name"].rlike(_any_of(words)))
+
+    def key(c):
+        at = F.array_position(place, c["name"])  # 0: a partial match
+        return F.struct((at == 0).alias("partial"), at.alias("priority"), c["col_idx"].alias("col_idx"), c["name"].alias("name"))
+
+    def shown(b):
+        out = F.struct(F.lit(field).alias("field"), b["col_idx"].alias("col_idx"), b["name"].alias("column_name"), (~b["partial"]).alias("exact"))
+        return F.when(b.isNotNull(), out)
+
+    return F.transform(F.array(F.array_min(F.transform(hits, key))), shown)[0]
+
+
+def _resolved_fields(names: str, aliases=COLUMN_ALIASES) -> Column:
+    """(field, col_idx, column_name, exact) of every field that some name resolves.  Exact beats partial; among exact the
+    alias priority decides, then sheet order; among partial the sheet order."""
+    return F.array_compact(F.array(*[_resolved_field(names, field, words) for field, words in aliases.items()]))
+
+
+def sheets(rows: DataFrame, aliases=COLUMN_ALIASES, min_score: int = MIN_HEADER_SCORE, preview_rows: int = PREVIEW_ROWS) -> DataFrame:
+    """One row per sheet: path, sheet, sheet_idx, first_row, header_row, header_score, names (col_idx, raw, name) and resolved
+    (field, col_idx, column_name, exact).
+
+    ``aliases``: {field: words in order of priority}.  An empty cell never resolves a field; a sheet none of whose rows resolves
+    ``min_score`` fields has its first row as header."""
+    scored = preview(rows, preview_rows).withColumn("named", _named_cells(F.col("cells"))).drop("cells")
+    scored = scored.withColumn("score", row_score("named", aliases))
+    candidate = F.struct("row_idx", "named")
+    best = scored.groupBy(*SHEET_KEY).agg(
+        F.min("sheet_idx").alias("sheet_idx"),
+        F.min("first_row").alias("first_row"),
         F.max("score").alias("header_score"),
+        F.max_by(candidate, F.struct("score", -F.col("row_idx"))).alias("best"),
+        F.min_by(candidate, "row_idx").alias("first"),
     )
-    out = bounds.join(best, SHEET_KEY, "left")
-    return out.select(
-        *SHEET_KEY,
-        "sheet_idx",
-        "first_row",
-        F.when(F.col("header_score") >= min_score, F.col("best_row")).otherwise(F.col("first_row")).alias("header_row"),
-        F.coalesce("header_score", F.lit(0)).cast("int").alias("header_score"),
-    )
+    header = F.when(F.col("header_score") >= min_score, F.col("best")).otherwise(F.col("first"))
+    out = best.withColumn("header", header).select(
+        *SHEET_KEY, "sheet_idx", "first_row", F.col("header.row_idx").alias("header_row"), "header_score", F.col("header.named").alias("named"))
+    out = out.withColumn("names", _repaired_names("named")).drop("named")
+    return out.withColumn("resolved", _resolved_fields("names", aliases))
 
 
-def header_names(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Normalised header names of the chosen header row, with name repair:
-    a raw name used by several columns gets its column number appended
-    (``Fecha`` twice -> ``fecha_3``, ``fecha_7``)."""
-    # joined on (path, sheet, row): one row per sheet, a row-level key
-    h = rows.join(headers.select(*SHEET_KEY, F.col("header_row").alias("row_idx")), [*SHEET_KEY, "row_idx"])
-    cells = h.select(*SHEET_KEY, F.explode("cells").alias("col_idx", "cell"))
-    cells = cells.withColumn("raw", cell_text("cell")).where(tx.has_text("raw"))
-    dup = F.count(F.lit(1)).over(Window.partitionBy(*SHEET_KEY, "raw")) > 1
-    repaired = F.when(dup, F.concat("raw", F.lit("..."), F.col("col_idx").cast("string"))).otherwise(F.col("raw"))
-    return cells.select(*SHEET_KEY, "col_idx", "raw", tx.normalize_name(repaired).alias("name")).where(
-        F.col("name") != ""
-    )
+def header_rows(sheet_rows: DataFrame) -> DataFrame:
+    """(source_path, source_sheet, sheet_idx, first_row, header_row, header_score)."""
+    return sheet_rows.drop("names", "resolved")
 
 
-def resolve_columns(names: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(source_path, source_sheet, field, col_idx, column_name, exact) for every
-    field some column resolves.  Exact beats partial; among exact the alias
-    priority decides, then sheet order; among partial the sheet order."""
-    hits = _alias_hits(names, aliases)
-    exact = hits["name"] == hits["alias"]
-    key = F.struct(
-        (~exact).alias("partial"),
-        F.when(exact, F.col("priority")).otherwise(F.lit(0)).alias("pri"),
-        F.col("col_idx").alias("pos"),
-    )
-    return hits.groupBy(*SHEET_KEY, "field").agg(
-        F.min_by("col_idx", key).alias("col_idx"),
-        F.min_by("name", key).alias("column_name"),
-        F.max(exact).alias("exact"),
-    )
+def header_names(sheet_rows: DataFrame) -> DataFrame:
+    """(source_path, source_sheet, col_idx, raw, name): a row per named column of every sheet's header."""
+    return sheet_rows.select(*SHEET_KEY, F.inline("names"))
 
 
-def choose_sheets(resolved: DataFrame, headers: DataFrame, files: DataFrame,
-                  excluded=DATASET_EXCLUDED_FIELD) -> DataFrame:
-    """Best sheet per (file, dataset).
+def resolved_columns(sheet_rows: DataFrame) -> DataFrame:
+    """(source_path, source_sheet, field, col_idx, column_name, exact): a row per resolved field of every sheet."""
+    return sheet_rows.select(*SHEET_KEY, F.inline("resolved"))
 
-    ``files``: (source_path, dataset).  Score = expected fields resolved, where
-    each dataset ignores the other dataset's date field."""
-    spark = resolved.sparkSession
-    excl = spark.createDataFrame(list(excluded.items()), "dataset string, excluded_field string")
-    cand = files.join(headers.select(*SHEET_KEY, "sheet_idx", "header_row", "header_score"), "source_path")
-    cand = cand.join(F.broadcast(excl), "dataset", "left")
-    sc = resolved.join(cand, SHEET_KEY).where(
-        F.col("excluded_field").isNull() | (F.col("field") != F.col("excluded_field"))
-    )
-    scores = sc.groupBy("source_path", "dataset", "source_sheet").agg(F.count("field").alias("sheet_score"))
-    cand = cand.join(scores, ["source_path", "dataset", "source_sheet"], "left").withColumn(
-        "sheet_score", F.coalesce("sheet_score", F.lit(0)).cast("int")
-    )
-    pick = F.struct("sheet_score", (-F.col("sheet_idx")).alias("neg_idx"))
-    best = cand.groupBy("source_path", "dataset").agg(
-        F.max_by(F.struct("source_sheet", "sheet_idx", "header_row", "header_score", "sheet_score"), pick).alias("b")
-    )
-    return best.select("source_path", "dataset", "b.*")
 
+def choose_sheets(sheet_rows: DataFrame, files: DataFrame, excluded=DATASET_EXCLUDED_FIELD) -> DataFrame:
+    """Best sheet per (file, dataset), with all columns of ``files``, ``sheet_score``, ``resolved`` and ``mapping``.
 
-def column_mapping(resolved: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Chosen sheets with ``mapping: map<field, col_idx>`` over all 9 fields
-    (a missing field is simply absent: its value is NULL)."""
-    m = resolved.groupBy(*SHEET_KEY).agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "col_idx"))).alias("mapping")
-    )
-    return chosen.join(m, SHEET_KEY, "left")
+    ``files``: (source_path, dataset, ...), a row each.  The score counts the fields resolved; each dataset ignores the other
+    dataset's date field.  ``mapping`` has all fields (a missing one is absent: its value is NULL)."""
+    dataset = F.col("dataset")
+    skip = F.lit(None).cast("string")
+    for name, field in excluded.items():
+        skip = F.when(dataset == name, F.lit(field)).otherwise(skip)
+    columns = ["source_sheet", "sheet_idx", "header_row", "header_score", "resolved"]
+    cand = files.join(sheet_rows.select("source_path", *columns), "source_path").withColumn("_skip", skip)
+    score = F.size(F.filter("resolved", lambda r: ~r["field"].eqNullSafe(F.col("_skip"))))
+    cand = cand.withColumn("sheet_score", score)
+    best = cand.groupBy(*files.columns).agg(
+        F.max_by(F.struct(*columns, "sheet_score"), F.struct("sheet_score", -F.col("sheet_idx"))).alias("b"))
+    pairs = F.transform("b.resolved", lambda r: F.struct(r["field"].alias("field"), r["col_idx"].alias("col_idx")))
+    return best.select(*files.columns, "b.*", F.map_from_entries(pairs).alias("mapping"))
 
 
 def canonical_cells(rows: DataFrame, mapping: DataFrame, fields=CANONICAL_FIELDS) -> DataFrame:

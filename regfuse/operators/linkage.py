@@ -22,8 +22,8 @@ Plan shape (why it scales):
   shuffle; both joins and the key grain read that one reduced exchange;
 * the key grain is a second aggregation over the reduced rows (no list or map
   is gathered per key, whatever the number of tranches);
-* presented rows without a key cannot link: they go past the joins and are
-  united with the result, so the NULL key is never shuffled;
+* rows without a key cannot link: in the joins each has a key of its own that no
+  other row has, so they are spread like any rows and read in the same pass;
 * presented rows are left-joined to each grain.  Every right side has at most
   one row per key and arrives through its own exchange (its key comes out of a
   grouped struct, so it is not taken as already placed), which lets adaptive
@@ -83,9 +83,9 @@ def exact_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame
     return _exact_columns(tranche_rollup(recommended, order_col).where(F.col("tramo_clean") != ""), F.col("tramo_clean"))
 
 
-def _exact_columns(tranches: DataFrame, tramo: Column) -> DataFrame:
+def _exact_columns(tranches: DataFrame, tramo: Column, on=("project_key",)) -> DataFrame:
     return tranches.select(
-        "project_key",
+        *on,
         tramo,
         F.col("fecha_min").alias("fecha_recomendado_exact"),
         F.col("regimen_first.v").alias("regimen_recomendado_exact"),
@@ -95,9 +95,9 @@ def _exact_columns(tranches: DataFrame, tramo: Column) -> DataFrame:
     )
 
 
-def _key_rollup(tranches: DataFrame) -> DataFrame:
+def _key_rollup(tranches: DataFrame, on=("project_key",)) -> DataFrame:
     tc = F.col("tramo_clean")
-    grouped = tranches.groupBy(F.struct("project_key").alias("k")).agg(
+    grouped = tranches.groupBy(F.struct(*on).alias("k")).agg(
         F.min("fecha_min").alias("fecha_recomendado_project"),
         F.min("regimen_first").getField("v").alias("regimen_recomendado_project"),
         F.min("monto_ui_first").getField("v").alias("monto_ui_recomendado_project"),
@@ -105,7 +105,7 @@ def _key_rollup(tranches: DataFrame) -> DataFrame:
         F.sum("n_rows").alias("recommended_rows_project"),
         F.count_if(tc != "").alias("recommended_tramos"),
     )
-    return grouped.select(F.col("k.project_key").alias("project_key"), *[c for c in grouped.columns if c != "k"])
+    return grouped.select(*[F.col(f"k.{c}").alias(c) for c in on], *[c for c in grouped.columns if c != "k"])
 
 
 def project_rollup(recommended: DataFrame, order_col: str = "_order") -> DataFrame:
@@ -120,11 +120,26 @@ def link_presented(presented: DataFrame, recommended: DataFrame, order_col: str
     A blank tranche is no tranche: a presented one is NULL in the exact join and
     matches nothing.  (No filter on the rollup, so that both joins share it.)"""
     tranches = tranche_rollup(recommended, order_col)
-    exact = _exact_columns(tranches, F.col("tramo_clean").alias("_tramo"))
-    keyed = presented.where(F.col("project_key").isNotNull())
-    j = keyed.withColumn("_tramo", F.nullif(F.col("tramo_clean"), F.lit("")))
-    j = j.join(exact, ["project_key", "_tramo"], "left").drop("_tramo").join(_key_rollup(tranches), "project_key", "left")
-    j = j.unionByName(presented.where(F.col("project_key").isNull()), allowMissingColumns=True)
+    j = presented.withColumns({"_key": link_key(order_col), "_tramo": F.nullif(F.col("tramo_clean"), F.lit(""))})
+    j = with_recommendations(j, tranches, ["_key"]).drop("_key", "_tramo")
+    return resolve_link(j)
+
+
+def link_key(order_col: str) -> Column:
+    """The project key; for a row without one a key that no row has (keys hold no control character)."""
+    return F.coalesce(F.col("project_key"), F.concat(F.lit("\u0000"), F.xxhash64(order_col).cast("string")))
+
+
+def with_recommendations(rows: DataFrame, tranches: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` (with ``_tramo``) left-joined to the exact and to the key grain of ``tranches``, whose column ``project_key``
+    is named ``on[0]`` there; further columns of ``on`` are in both."""
+    renamed = tranches.withColumnRenamed("project_key", on[0])
+    exact = _exact_columns(renamed, F.col("tramo_clean").alias("_tramo"), on)
+    return rows.join(exact, [*on, "_tramo"], "left").join(_key_rollup(renamed, on), on, "left")
+
+
+def resolve_link(j: DataFrame) -> DataFrame:
+    """The resolved recommendation and ``match_method`` of rows ``with_recommendations``."""
     fallback = F.col("fecha_recomendado_exact").isNull() & (F.col("recommended_rows_project") == 1)
     j = j.withColumn("can_fallback_to_project", fallback)
     fb = F.col("can_fallback_to_project")
@@ -147,15 +162,18 @@ def link_presented(presented: DataFrame, recommended: DataFrame, order_col: str
     )
 
 
-def recommended_only(presented: DataFrame, recommended: DataFrame) -> DataFrame:
+def recommended_only(presented: DataFrame, recommended: DataFrame, order_col: str = "_order") -> DataFrame:
     """Recommended rows whose key no presented row has; rows without a key
-    always stay (they go past the join).
+    always stay (in the join they have a key of their own).
 
     Such a row is its own recommendation: its values are the resolved ones and
     it counts as the one recommended row of its key."""
-    keys = presented.where(F.col("project_key").isNotNull()).select("project_key")
-    keyed = recommended.where(F.col("project_key").isNotNull()).join(keys, "project_key", "left_anti")
-    rows = keyed.unionByName(recommended.where(F.col("project_key").isNull()))
+    keys = presented.where(F.col("project_key").isNotNull()).select(F.col("project_key").alias("_key"))
+    rows = recommended.withColumn("_key", link_key(order_col)).join(keys, "_key", "left_anti").drop("_key")
+    return as_own_recommendation(rows)
+
+
+def as_own_recommendation(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "fecha_presentado": F.lit(None).cast("date"),

@@ -100,7 +100,7 @@ rec_raw AS (
            nullif({as_text('lower(l_linestatus)')}, '') AS tramo,
            l_extendedprice AS monto_ui,
            l_orderkey AS o1, l_linenumber AS o2, l_partkey AS o3, l_suppkey AS o4, l_extendedprice AS o5
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 ),
 rec AS ({_finish('rec_raw')})"""
 

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from regfuse.functions import dates as D
 from regfuse.functions import numbers as N
-from regfuse.functions.constants import CANONICAL_FIELDS, DATASET_PATTERNS, MINISTRY_RULES
+from regfuse.functions.constants import CANONICAL_FIELDS, COLUMN_ALIASES, DATASET_PATTERNS, MINISTRY_RULES
 from regfuse.operators import consolidate, deck, headers as H, reports
-from regfuse.operators.joins import join_small
+from regfuse.operators.joins import evaluated_once, join_small
 from regfuse.operators.linkage import unlinked_recommended
 from regfuse.operators.register import standardize
 from regfuse.operators.rowid import cell_order_key, dense_row_ids
@@ -29,25 +29,16 @@ DATE_FIELDS = ["fecha_presentado", "fecha_recomendado"]
 
 @dataclass
 class Inference:
-    bounds: DataFrame
-    headers: DataFrame
-    names: DataFrame
-    resolved: DataFrame
-    chosen: DataFrame
-    mapping: DataFrame
-
-
-def infer(rows: DataFrame, files: DataFrame, aliases: DataFrame | None = None) -> Inference:
-    """Header row, column mapping and best sheet for every (file, dataset)."""
-    aliases = aliases if aliases is not None else H.alias_table(rows.sparkSession)
-    bounds = H.sheet_bounds(rows)
-    preview = H.preview_cells(rows, bounds)
-    hdr = H.header_rows(preview, bounds, aliases)
-    names = H.header_names(rows, hdr)
-    resolved = H.resolve_columns(names, aliases)
-    chosen = H.choose_sheets(resolved, hdr, files.select("source_path", "dataset"))
-    mapping = H.column_mapping(resolved, chosen)
-    return Inference(bounds, hdr, names, resolved, chosen, mapping)
+    sheets: DataFrame  # a row per sheet, see headers.sheets
+    chosen: DataFrame  # a row per (file, dataset), with the chosen sheet's mapping
+
+
+def infer(rows: DataFrame, files: DataFrame, aliases: dict[str, list[str]] = COLUMN_ALIASES) -> Inference:
+    """Header row, column mapping and best sheet for every (file, dataset).
+
+    ``files``: (source_path, dataset, ...); their other columns are kept in ``chosen``."""
+    sheets = H.sheets(rows, aliases)
+    return Inference(sheets, H.choose_sheets(sheets, files))
 
 
 def typed_values(cc: DataFrame, locale: str = "auto") -> DataFrame:
@@ -85,35 +76,42 @@ def typed_values(cc: DataFrame, locale: str = "auto") -> DataFrame:
     out = out.withColumn(
         "v_monto_ui", F.when(m.getField("cell_type") == "number", m.getField("num")).otherwise(parsed)
     )
-    return out.drop("_m_text", "locale")
+    return evaluated_once(out.drop("_m_text", "locale"), [f"v_{f}" for f in CANONICAL_FIELDS],
+                          ["source_path", "source_sheet", "header_row", "row_idx", "dataset", "file_rank"])
 
 
-def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: DataFrame | None = None,
+def register_rows(rows: DataFrame, chosen: DataFrame, locale: str = "auto", ministry_rules=MINISTRY_RULES) -> DataFrame:
+    """Rows of all workbooks -> canonical register rows with their ``dataset``.
+
+    ``chosen``: see ``infer``, with ``file_rank``.  The register's ``_order``
+    is ``file_rank << 32 | row`` - file order then sheet order, one bigint."""
+    v = typed_values(H.canonical_cells(rows, chosen), locale)
+    return standardize(
+        v,
+        **{f: F.col(f"v_{f}") for f in CANONICAL_FIELDS},
+        source_file=W.base_name("source_path"),
+        source_path=F.col("source_path"),
+        source_sheet=F.col("source_sheet"),
+        source_header_row=F.col("header_row"),
+        source_row=F.col("row_idx"),
+        order=cell_order_key("file_rank", "row_idx"),
+        extra={"dataset": F.col("dataset")},
+        ministry_rules=ministry_rules,
+    )
+
+
+def by_dataset(register: DataFrame) -> dict[str, DataFrame]:
+    """{dataset: register} of ``register_rows``."""
+    return {name: register.where(F.col("dataset") == name).drop("dataset") for name in ("presentados", "recomendados")}
+
+
+def registers_from_rows(rows: DataFrame, files: DataFrame, aliases: dict[str, list[str]] = COLUMN_ALIASES,
                         locale: str = "auto", ministry_rules=MINISTRY_RULES) -> tuple[dict[str, DataFrame], Inference]:
     """Rows of all workbooks -> {dataset: canonical register} (+ inference tables).
 
-    ``files``: (source_path, dataset, file_rank).  The register's ``_order``
-    is ``file_rank << 32 | row`` - file order then sheet order, one bigint."""
+    ``files``: (source_path, dataset, file_rank)."""
     inf = infer(rows, files, aliases)
-    # file order joins the (small) mapping, not the data rows
-    mapping = inf.mapping.join(files.select("source_path", "dataset", "file_rank"), ["source_path", "dataset"])
-    cc = H.canonical_cells(rows, mapping)
-    v = typed_values(cc, locale)
-    out = {}
-    for name in ("presentados", "recomendados"):
-        part = v.where(F.col("dataset") == name)
-        out[name] = standardize(
-            part,
-            **{f: F.col(f"v_{f}") for f in CANONICAL_FIELDS},
-            source_file=W.base_name("source_path"),
-            source_path=F.col("source_path"),
-            source_sheet=F.col("source_sheet"),
-            source_header_row=F.col("header_row"),
-            source_row=F.col("row_idx"),
-            order=cell_order_key("file_rank", "row_idx"),
-            ministry_rules=ministry_rules,
-        )
-    return out, inf
+    return by_dataset(register_rows(rows, inf.chosen, locale, ministry_rules)), inf
 
 
 def with_row_ids(register: DataFrame, id_col: str) -> DataFrame:
@@ -137,10 +135,12 @@ def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt:
     W.require_datasets(files, patterns)
     kept = [decoded := materialize(W.read_decoded(spark, input_dir, output_dir, patterns))]
     rows = W.read_rows(decoded)
-    catalogue = H.alias_table(spark, aliases) if aliases else None
-    regs, inf = registers_from_rows(rows, files, catalogue, locale, ministry_rules)
+    inf = infer(rows, files, aliases or COLUMN_ALIASES)
+    kept += [chosen := materialize(inf.chosen)]  # a row per workbook, read by every consumer
+    kept += [register := materialize(register_rows(rows, chosen, locale, ministry_rules))]
+    regs = by_dataset(register)
     # each register feeds the rollup, the link, the anti join and its own sink
-    kept += [pres := materialize(regs["presentados"]), rec := materialize(regs["recomendados"])]
+    pres, rec = regs["presentados"], regs["recomendados"]
     kept += [base := materialize(consolidate.authoritative(pres, rec, sort=False, extra=("source_path",)))]
     auth = base.drop("source_path")
     outputs = {
@@ -152,7 +152,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt:
         "unlinked_recommended": unlinked_recommended(pres, rec).drop("_order"),
     }
     n = sinks.write_all(outputs, output_dir, fmt)
-    ledger = deck.form_ledger(inv, W.decode_errors(decoded), inf.chosen, pres, rec, base)
+    ledger = deck.form_ledger(inv, W.decode_errors(decoded), chosen, pres, rec, base)
     sinks.write(ledger, f"{output_dir.rstrip('/')}/ledger", "parquet")  # it has nested columns
     published = {name: sinks.read(spark, f"{output_dir.rstrip('/')}/{name}", df.schema, fmt) for name, df in outputs.items()}
     published["ledger"] = spark.read.parquet(f"{output_dir.rstrip('/')}/ledger")

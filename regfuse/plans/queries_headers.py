@@ -1,5 +1,5 @@
 """Header inference, best sheet, alias resolution and canonical projection on
-workbook rows synthesised from ``orders`` (see ``grid.py``)."""
+workbook rows synthesised from ``orders`` (see ``grid.py``); the SQL infers from the same cells."""
 
 from __future__ import annotations
 
@@ -7,143 +7,84 @@ from pyspark.sql import functions as F
 
 from regfuse.functions.constants import CANONICAL_FIELDS
 from regfuse.operators import deck
+from regfuse.operators import headers as H
 from regfuse.plans import grid
 from regfuse.plans import oracle as O
-from regfuse.plans.pipeline import infer, registers_from_rows
+from regfuse.plans.pipeline import infer, register_rows
 from regfuse.plans.registry import register
 
-
-def _prio_values(rows: list[tuple], cols: str) -> str:
-    vals = ",\n  ".join("(" + ", ".join(O.q(v) if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
-    return f"layout({cols}) AS (VALUES\n  {vals})"
-
-
-def _files_cte() -> str:
-    return "files AS (SELECT DISTINCT o_orderpriority AS prio FROM orders)"
-
-
-def _sheet_rows():
-    sheets, _ = grid.expected_inference()
-    by_path = {lay["path"]: prio for prio, lay in grid.LAYOUTS.items()}
-    return [(by_path[s["path"]], s["path"], s["sheet"], s["header_row"], s["header_score"]) for s in sheets]
-
-
-def _rows(spark, sf_dir):
-    return grid.grid_rows(spark, sf_dir).persist()
+_CTE = f"WITH {grid.inference_cte()}"
 
 
 def _inference(spark, sf_dir):
-    return infer(_rows(spark, sf_dir), grid.grid_files(spark))
+    return infer(grid.grid_rows(spark, sf_dir), grid.grid_files(spark, sf_dir))
 
 
-# ---- H3 H4 W2 O5 ----------------------------------------------------------
-@register("header_row_detect", f"""
-WITH {_files_cte()}, {_prio_values(_sheet_rows(), 'prio, source_path, source_sheet, header_row, header_score')}
-SELECT source_path, source_sheet, header_row, header_score FROM layout JOIN files USING (prio)""")
+# ---- H3 H4 W2 O4 O5 S6 ------------------------------------------------------
+@register("header_row_detect", f"""{_CTE}
+SELECT path AS source_path, sheet AS source_sheet, CAST(header_row AS INTEGER) AS header_row, header_score FROM sheets""")
 def q_header_row_detect(spark, sf_dir):
-    return _inference(spark, sf_dir).headers.select("source_path", "source_sheet", "header_row", "header_score")
+    sheets = H.sheets(grid.grid_rows(spark, sf_dir))
+    return H.header_rows(sheets).select("source_path", "source_sheet", "header_row", "header_score")
 
 
-# ---- H2 H5 H9 -------------------------------------------------------------
-def _resolved_rows():
-    sheets, _ = grid.expected_inference()
-    by_path = {lay["path"]: prio for prio, lay in grid.LAYOUTS.items()}
-    return [(by_path[s["path"]], s["path"], s["sheet"], f, c, n)
-            for s in sheets for f, (c, n) in s["resolved"].items()]
+# ---- H5 ---------------------------------------------------------------------
+@register("header_names", f"""{_CTE}
+SELECT path AS source_path, sheet AS source_sheet, col_idx, name FROM names WHERE name <> ''""")
+def q_header_names(spark, sf_dir):
+    return H.header_names(H.sheets(grid.grid_rows(spark, sf_dir))).drop("raw")
 
 
-@register("alias_resolve", f"""
-WITH {_files_cte()}, {_prio_values(_resolved_rows(), 'prio, source_path, source_sheet, field, col_idx, column_name')}
-SELECT source_path, source_sheet, field, col_idx, column_name FROM layout JOIN files USING (prio)""")
+# ---- H2 H9 ------------------------------------------------------------------
+@register("alias_resolve", f"""{_CTE}
+SELECT path AS source_path, sheet AS source_sheet, field, col_idx, name AS column_name FROM resolved""")
 def q_alias_resolve(spark, sf_dir):
-    return _inference(spark, sf_dir).resolved.select("source_path", "source_sheet", "field", "col_idx", "column_name")
-
-
-# ---- H6 H7 H8 -------------------------------------------------------------
-def _chosen_rows():
-    _, chosen = grid.expected_inference()
-    by_path = {lay["path"]: prio for prio, lay in grid.LAYOUTS.items()}
-    return [(by_path[c["path"]], c["path"], c["dataset"], c["sheet"], c["header_row"], c["sheet_score"]) for c in chosen]
+    return H.resolved_columns(H.sheets(grid.grid_rows(spark, sf_dir))).drop("exact")
 
 
-@register("best_sheet", f"""
-WITH {_files_cte()}, {_prio_values(_chosen_rows(), 'prio, source_path, dataset, source_sheet, header_row, sheet_score')}
-SELECT source_path, dataset, source_sheet, header_row, sheet_score FROM layout JOIN files USING (prio)""")
+# ---- H6 H7 H8 ---------------------------------------------------------------
+@register("best_sheet", f"""{_CTE}
+SELECT path AS source_path, dataset, sheet AS source_sheet, CAST(header_row AS INTEGER) AS header_row, sheet_score FROM chosen""")
 def q_best_sheet(spark, sf_dir):
     return _inference(spark, sf_dir).chosen.select("source_path", "dataset", "source_sheet", "header_row", "sheet_score")
 
 
-# ---- D8 -------------------------------------------------------------------
-def _layout_text_rows():
-    sheets, chosen = grid.expected_inference()
-    by_path = {lay["path"]: prio for prio, lay in grid.LAYOUTS.items()}
-    res = {(s["path"], s["sheet"]): s["resolved"] for s in sheets}
-    out = []
-    for c in chosen:
-        pairs = sorted(f"{f}={n}" for f, (_, n) in res[(c["path"], c["sheet"])].items())
-        out.append((by_path[c["path"]], c["dataset"], "|".join(pairs)))
-    return out
-
-
-@register("schema_versions", f"""
-WITH {_files_cte()}, {_prio_values(_layout_text_rows(), 'prio, dataset, layout')}
-SELECT dataset, layout, count(*) AS libros FROM layout JOIN files USING (prio) GROUP BY dataset, layout""")
+# ---- D8 ---------------------------------------------------------------------
+@register("schema_versions", f"""{_CTE},
+layouts AS (SELECT c.path, c.dataset, string_agg(r.field || '=' || r.name, '|' ORDER BY r.field || '=' || r.name) AS layout
+            FROM chosen c JOIN resolved r USING (path, sheet) GROUP BY c.path, c.dataset)
+SELECT dataset, layout, count(*) AS libros FROM layouts GROUP BY dataset, layout""")
 def q_schema_versions(spark, sf_dir):
-    inf = _inference(spark, sf_dir)
-    v = deck.schema_versions(inf.resolved, inf.chosen)
+    v = deck.schema_versions(_inference(spark, sf_dir).chosen)
     return v.select("dataset", F.concat_ws("|", "layout").alias("layout"), "libros")
 
 
-# ---- H9 H10 F1-F11 P1 (canonical rows from the grid) -----------------------
-_KIND_SQL = {
-    "rut_text": "lpad(CAST(o_custkey AS VARCHAR), 9, '0') || CAST(o_custkey % 10 AS VARCHAR)",
-    "code_num": "CAST(o_orderkey AS VARCHAR)",
-    "code_text": "CAST(o_orderkey AS VARCHAR)",
-    "company": "'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')",
-    "priority": f"nullif({O.norm_ministerio('o_orderpriority')}, '')",
-    "date_cell": "CAST(o_orderdate AS DATE)",
-    "date_serial": "CAST(o_orderdate AS DATE)",
-    "date_text": "CAST(o_orderdate AS DATE)",
-    "status": "o_orderstatus",
-    "tramo": "CASE o_orderstatus WHEN 'O' THEN 'Inicial' WHEN 'F' THEN '1a. Ampliación' END",
-    "amount_num": "o_totalprice",
-    "amount_comma": O.parse_number("'U$S ' || translate(format('{:,.2f}', o_totalprice), ',.', '.,')", "comma"),
+# ---- S7 H9 H10 F1-F11 P1 (canonical rows from the grid) ----------------------
+_FORM = {"fecha_presentado": "dt", "fecha_recomendado": "dt", "monto_ui": "num"}
+_NORMAL = {
+    "rut": O.norm_rut("rut"), "codigo": O.norm_codigo("codigo"), "ministerio_evaluador": f"nullif({O.norm_ministerio('ministerio_evaluador')}, '')",
+    **{f: f"nullif({O.as_text(f)}, '')" for f in ("empresa", "regimen", "tramo")},
 }
-_NULL_TYPE = {"fecha_presentado": "DATE", "fecha_recomendado": "DATE", "monto_ui": "DOUBLE"}
 
 
 def _canonical_sql() -> str:
-    sheets, chosen = grid.expected_inference()
-    res = {(s["path"], s["sheet"]): s["resolved"] for s in sheets}
-    parts = []
-    for prio, lay in grid.LAYOUTS.items():
-        c = next(x for x in chosen if x["path"] == lay["path"])
-        resolved = res[(c["path"], c["sheet"])]
-        cols = [f"{O.q(c['dataset'])} AS dataset", f"{O.q(lay['path'])} AS source_path",
-                f"{O.q(c['sheet'])} AS source_sheet", f"{c['header_row']} AS source_header_row",
-                f"{c['header_row'] + 1} + o_orderkey AS source_row"]
-        for f in CANONICAL_FIELDS:
-            if f in resolved:
-                kind = lay["columns"][resolved[f][0] - 1][2]
-                cols.append(f"{_KIND_SQL[kind]} AS {f}")
-            else:
-                cols.append(f"CAST(NULL AS {_NULL_TYPE.get(f, 'VARCHAR')}) AS {f}")
-        parts.append(f"SELECT {', '.join(cols)} FROM orders WHERE o_orderpriority = {O.q(prio)}")
-    body = "\nUNION ALL\n".join(parts)
+    raw = ", ".join(f"max(CASE WHEN field = '{f}' THEN {_FORM.get(f, 'txt')} END) AS {f}" for f in CANONICAL_FIELDS)
+    normal = ", ".join(f"{e} AS {f}" for f, e in _NORMAL.items())
     tc = O.tramo_clean("tramo")
-    return f"""WITH c AS ({body})
-SELECT *, {tc} AS tramo_clean, contains({tc}, 'ampl') AS es_ampliacion,
-       rut || '::' || codigo AS project_key
+    return f"""{_CTE},
+mapped AS (SELECT c.dataset, c.path, c.sheet, c.header_row, r.field, r.col_idx FROM chosen c JOIN resolved r USING (path, sheet)),
+raw AS (SELECT m.dataset, m.path, m.sheet, m.header_row, d.row_idx, {raw}
+        FROM data_cells d JOIN mapped m ON d.path = m.path AND d.sheet = m.sheet AND d.col_idx = m.col_idx
+        WHERE d.row_idx > m.header_row GROUP BY ALL),
+c AS (SELECT * REPLACE ({normal}) FROM raw)
+SELECT dataset, path AS source_path, sheet AS source_sheet, CAST(header_row AS INTEGER) AS source_header_row, row_idx AS source_row,
+       {", ".join(CANONICAL_FIELDS)}, {tc} AS tramo_clean, contains({tc}, 'ampl') AS es_ampliacion, rut || '::' || codigo AS project_key
 FROM c"""
 
 
 @register("canonical_pivot", _canonical_sql())
 def q_canonical_pivot(spark, sf_dir):
-    regs, _ = registers_from_rows(_rows(spark, sf_dir), grid.grid_files(spark))
-    out = None
-    cols = ["source_path", "source_sheet", "source_header_row", "source_row", *CANONICAL_FIELDS,
+    rows, files = grid.grid_rows(spark, sf_dir), grid.grid_files(spark, sf_dir)
+    cols = ["dataset", "source_path", "source_sheet", "source_header_row", "source_row", *CANONICAL_FIELDS,
             "tramo_clean", "es_ampliacion", "project_key"]
-    for ds, df in sorted(regs.items()):
-        part = df.select(F.lit(ds).alias("dataset"), *cols)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return register_rows(rows, infer(rows, files).chosen).select(*cols)

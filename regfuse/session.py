@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # else every column built records its call site
+    # the JVM does not compile longer methods: beyond it, expressions are evaluated in several short ones
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

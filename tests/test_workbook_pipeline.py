@@ -7,6 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from regfuse.operators import headers as H
 from regfuse.plans import pipeline
 from regfuse.sources import workbook as W
 from tests.test_linkage_golden import PRES, REC
@@ -84,7 +85,8 @@ def test_decode_and_headers(spark, folder):
     assert chosen[("Registro PRESENTADOS.xlsm", "presentados")] == ("Datos", 6)
     assert chosen[("Presentados 2020.xlsx", "presentados")] == ("Hoja1", 1)
     assert chosen[("Recomendados.xlsx", "recomendados")] == ("Recomendados", 2)
-    res = {(os.path.basename(r.source_path), r.field): (r.col_idx, r.column_name) for r in inf.resolved.collect()}
+    res = {(os.path.basename(r.source_path), r.field): (r.col_idx, r.column_name)
+           for r in H.resolved_columns(inf.sheets).collect()}
     # duplicate-free 'Fecha' column: partial match of fecha_presentado goes to the first column containing it
     assert res[("Recomendados.xlsx", "fecha_recomendado")] == (5, "fecha_resolucion")
     assert res[("Recomendados.xlsx", "codigo")] == (2, "codigo")
