@@ -8,8 +8,8 @@ through one task.  Instead:
    partition;
 2. tag every row with its partition and its position in the partition
    (``monotonically_increasing_id`` keeps the position in the low 33 bits);
-3. keep the tagged rows (``persist``, lazily): both uses below read the same
-   tags, and a lost part is recomputed within the same ranges and order;
+3. write the tagged rows once: both uses below read the same tags, and a lost
+   executor takes nothing with it (``session.scratch`` removes the table);
 4. count rows per partition (one row per partition - bounded by the partition
    count), turn counts into running offsets and broadcast that tiny table;
 5. ``id = offset + position + 1``.
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regfuse.functions.constants import ROW_BITS
+from regfuse.session import materialize
 
 _POS_MASK = (1 << 33) - 1
 
@@ -39,7 +40,7 @@ def dense_row_ids(df: DataFrame, order_cols, id_col: str = "row_id", num_partiti
         .withColumn("_rid_part", F.spark_partition_id())
         .withColumn("_rid_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
     )
-    tagged = tagged.persist()
+    tagged = materialize(tagged)
     counts = tagged.groupBy("_rid_part").agg(F.count(F.lit(1)).alias("_rid_n"))
     before = Window.orderBy("_rid_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -88,69 +88,40 @@ LAYOUTS = {
 }
 
 
-def _text(c: Column) -> Column:
-    return F.struct(F.lit("text").alias("cell_type"), c.cast("string").alias("text"),
-                    F.lit(None).cast("double").alias("num"), F.lit(None).cast("timestamp_ntz").alias("ts"))
-
-
-def _num(c: Column) -> Column:
-    return F.struct(F.lit("number").alias("cell_type"), F.lit(None).cast("string").alias("text"),
-                    c.cast("double").alias("num"), F.lit(None).cast("timestamp_ntz").alias("ts"))
-
-
-def _date(c: Column) -> Column:
-    return F.struct(F.lit("date").alias("cell_type"), F.lit(None).cast("string").alias("text"),
-                    F.lit(None).cast("double").alias("num"), c.cast("timestamp_ntz").alias("ts"))
-
-
-def cell_of(kind: str) -> Column:
-    """Cell struct for one kind of synthetic value (NULL -> no cell)."""
-    ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
-    st = F.col("o_orderstatus")
-    if kind == "rut_text":
-        return _text(F.concat(F.lpad(ck.cast("string"), 9, "0"), F.lit("-"), (ck % 10).cast("string")))
-    if kind == "code_num":
-        return _num(ok)
-    if kind == "code_text":
-        return _text(F.concat(F.lit(" "), ok.cast("string"), F.lit(" ")))
-    if kind == "company":
-        return _text(F.concat(F.lit("Customer#"), F.lpad(ck.cast("string"), 9, "0")))
-    if kind == "priority":
-        return _text(F.col("o_orderpriority"))
-    if kind == "date_cell":
-        return _date(od)
-    if kind == "date_serial":
-        return _num(F.datediff(F.to_date(od), F.lit("1899-12-30").cast("date")))
-    if kind == "date_text":
-        return _text(F.date_format(od, "d/M/yyyy"))
-    if kind == "status":
-        return _text(st)
-    if kind == "tramo":
-        t = F.when(st == "O", F.lit("Inicial")).when(st == "F", F.lit("1a. Ampliación"))
-        return F.when(t.isNotNull(), _text(t))
-    if kind == "amount_num":
-        return _num(F.col("o_totalprice"))
-    if kind == "amount_comma":
-        return _text(F.concat(F.lit("U$S "), F.translate(F.format_number("o_totalprice", 2), ",.", ".,")))
-    if kind == "decoy_text":
-        return _text(F.concat(F.lit("obs "), ok.cast("string")))
-    if kind == "decoy_date":
-        return _date(F.date_add(F.to_date(od), 30))
-    raise ValueError(kind)
-
-
-def _data_cells(layout) -> Column:
-    # a NULL value stands for an empty cell; every reader skips it
-    keys = [F.lit(i) for i in range(1, len(layout["columns"]) + 1)]
-    cells = F.map_from_arrays(F.array(*keys), F.array(*[cell_of(kind) for _, _, kind in layout["columns"]]))
-    return F.transform(F.array(F.lit(0)), lambda _: cells)[0]  # in a lambda: six layouts exceed the size of generated code
+def _cell(kind: str, text="NULL", num="NULL", ts="NULL") -> str:
+    return (f"named_struct('cell_type', '{kind}', 'text', CAST({text} AS STRING), 'num', CAST({num} AS DOUBLE), "
+            f"'ts', CAST({ts} AS TIMESTAMP_NTZ))")
+
+
+# Cell of each kind of synthetic value, as Spark SQL (a NULL text stands for an empty cell; every reader skips it)
+_CELLS = {
+    "rut_text": _cell("text", "concat(lpad(CAST(o_custkey AS STRING), 9, '0'), '-', CAST(o_custkey % 10 AS STRING))"),
+    "code_num": _cell("number", num="o_orderkey"),
+    "code_text": _cell("text", "concat(' ', CAST(o_orderkey AS STRING), ' ')"),
+    "company": _cell("text", "concat('Customer#', lpad(CAST(o_custkey AS STRING), 9, '0'))"),
+    "priority": _cell("text", "o_orderpriority"),
+    "date_cell": _cell("date", ts="o_orderdate"),
+    "date_serial": _cell("number", num="datediff(to_date(o_orderdate), DATE'1899-12-30')"),
+    "date_text": _cell("text", "date_format(o_orderdate, 'd/M/yyyy')"),
+    "status": _cell("text", "o_orderstatus"),
+    "tramo": _cell("text", "CASE o_orderstatus WHEN 'O' THEN 'Inicial' WHEN 'F' THEN '1a. Ampliación' END"),
+    "amount_num": _cell("number", num="o_totalprice"),
+    "amount_comma": _cell("text", "concat('U$S ', translate(format_number(o_totalprice, 2), ',.', '.,'))"),
+    "decoy_text": _cell("text", "concat('obs ', CAST(o_orderkey AS STRING))"),
+    "decoy_date": _cell("date", ts="date_add(to_date(o_orderdate), 30)"),
+}
+
+
+def _data_cells(layout) -> str:
+    keys = ", ".join(str(i) for i in range(1, len(layout["columns"]) + 1))
+    cells = ", ".join(_CELLS[kind] for _, _, kind in layout["columns"])
+    # in a lambda: six layouts exceed the size of generated code
+    return f"transform(array(0), x -> map_from_arrays(array({keys}), array({cells})))[0]"
 
 
 def _by_layout(value) -> Column:
-    out = None
-    for name, lay in LAYOUTS.items():
-        out = F.when(F.col("layout") == name, value(lay)) if out is None else out.when(F.col("layout") == name, value(lay))
-    return out
+    """``value`` (layout -> SQL) of each row's layout."""
+    return F.expr("CASE layout " + " ".join(f"WHEN {O.q(name)} THEN {value(lay)}" for name, lay in LAYOUTS.items()) + " END")
 
 
 def _orders(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
@@ -169,10 +140,10 @@ def data_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One data row per order, in the layout of its workbook."""
     o = _orders(spark, sf_dir, ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     return o.select(
-        _path(_by_layout(lambda lay: F.lit(lay["path"]))).alias("source_path"),
-        _by_layout(lambda lay: F.lit(lay["sheet"])).alias("source_sheet"),
-        _by_layout(lambda lay: F.lit(lay["sheet_idx"])).cast("int").alias("sheet_idx"),
-        (_by_layout(lambda lay: F.lit(lay["header_row"] + 1)) + F.pmod("o_orderkey", F.lit(BOOK_ROWS))).cast("int").alias("row_idx"),
+        _path(_by_layout(lambda lay: O.q(lay["path"]))).alias("source_path"),
+        _by_layout(lambda lay: O.q(lay["sheet"])).alias("source_sheet"),
+        _by_layout(lambda lay: lay["sheet_idx"]).cast("int").alias("sheet_idx"),
+        (_by_layout(lambda lay: lay["header_row"] + 1) + F.pmod("o_orderkey", F.lit(BOOK_ROWS))).cast("int").alias("row_idx"),
         _by_layout(_data_cells).alias("cells"),
         F.lit(False).alias("date1904"),
     )
@@ -209,11 +180,11 @@ def grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grid_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source_path, dataset, file_rank) of the synthetic workbooks; ranks follow book, then layout."""
-    places = {name: i for i, name in enumerate(LAYOUTS)}
-    rank = F.col("book") * len(LAYOUTS) + _by_layout(lambda lay: F.lit(next(places[k] for k, v in LAYOUTS.items() if v is lay)))
+    place = {lay["path"]: i for i, lay in enumerate(LAYOUTS.values())}
+    rank = F.col("book") * len(LAYOUTS) + _by_layout(lambda lay: place[lay["path"]])
     return books(spark, sf_dir).select(
-        _path(_by_layout(lambda lay: F.lit(lay["path"]))).alias("source_path"),
-        _by_layout(lambda lay: F.lit(lay["dataset"])).alias("dataset"), rank.cast("int").alias("file_rank"))
+        _path(_by_layout(lambda lay: O.q(lay["path"]))).alias("source_path"),
+        _by_layout(lambda lay: O.q(lay["dataset"])).alias("dataset"), rank.cast("int").alias("file_rank"))
 
 
 # ---------------------------------------------------------------------------

@@ -20,7 +20,7 @@ from regfuse.operators.joins import evaluated_once, join_small
 from regfuse.operators.linkage import unlinked_recommended
 from regfuse.operators.register import standardize
 from regfuse.operators.rowid import cell_order_key, dense_row_ids
-from regfuse.session import materialize, remove
+from regfuse.session import materialize, scratch
 from regfuse.sources import sinks, workbook as W
 
 TEXT_FIELDS = ["rut", "codigo", "empresa", "ministerio_evaluador", "regimen", "tramo"]
@@ -121,43 +121,45 @@ def with_row_ids(register: DataFrame, id_col: str) -> DataFrame:
 
 def run(spark: SparkSession, input_dir: str, output_dir: str | None = None, fmt: str = "csv",
         locale: str = "auto", aliases: dict[str, list[str]] | None = None, ministry_rules=MINISTRY_RULES,
-        patterns: dict[str, str] | None = None) -> dict[str, DataFrame]:
+        patterns: dict[str, str] | None = None, atomic: bool = False) -> dict[str, DataFrame]:
     """The batch job: discover, decode, infer, normalise, link, consolidate,
     report, write.  Returns the published tables, read back from ``output_dir``.
 
     ``aliases`` ({field: header words}) replaces the default catalogue,
     ``ministry_rules`` and ``patterns`` (file name -> dataset) theirs.
-    Intermediate tables are removed at the end."""
+    ``atomic``: publish all tables by one manifest (``sinks.publish``) instead
+    of a folder each.  Intermediate tables are removed at the end."""
     output_dir = output_dir or input_dir.rstrip("/") + "/processed"
     patterns = patterns or DATASET_PATTERNS
-    inv = W.inventory(spark, input_dir, output_dir, patterns)
-    files = W.selected_files(inv)
-    W.require_datasets(files, patterns)
-    kept = [decoded := materialize(W.read_decoded(spark, input_dir, output_dir, patterns))]
-    rows = W.read_rows(decoded)
-    inf = infer(rows, files, aliases or COLUMN_ALIASES)
-    kept += [chosen := materialize(inf.chosen)]  # a row per workbook, read by every consumer
-    kept += [register := materialize(register_rows(rows, chosen, locale, ministry_rules))]
-    regs = by_dataset(register)
-    # each register feeds the rollup, the link, the anti join and its own sink
-    pres, rec = regs["presentados"], regs["recomendados"]
-    kept += [base := materialize(consolidate.authoritative(pres, rec, sort=False, extra=("source_path",)))]
-    auth = base.drop("source_path")
-    outputs = {
-        "presentados_normalized": with_row_ids(pres, "presentado_row_id").drop("_order"),
-        "recomendados_normalized": with_row_ids(rec, "recomendado_row_id").drop("_order"),
-        "projects_authoritative": consolidate.sort_authoritative(auth),
-        "summary_by_ministerio": reports.summary_by_group(auth, money_scale=None),
-        "linkage_audit": reports.linkage_audit(auth),
-        "unlinked_recommended": unlinked_recommended(pres, rec).drop("_order"),
-    }
-    n = sinks.write_all(outputs, output_dir, fmt)
-    ledger = deck.form_ledger(inv, W.decode_errors(decoded), chosen, pres, rec, base)
-    sinks.write(ledger, f"{output_dir.rstrip('/')}/ledger", "parquet")  # it has nested columns
-    published = {name: sinks.read(spark, f"{output_dir.rstrip('/')}/{name}", df.schema, fmt) for name, df in outputs.items()}
+    with scratch(spark):
+        inv = W.inventory(spark, input_dir, output_dir, patterns)
+        files = W.selected_files(inv)
+        W.require_datasets(files, patterns)
+        decoded = materialize(W.read_decoded(spark, input_dir, output_dir, patterns))
+        rows = W.read_rows(decoded)
+        inf = infer(rows, files, aliases or COLUMN_ALIASES)
+        chosen = materialize(inf.chosen)  # a row per workbook, read by every consumer
+        regs = by_dataset(materialize(register_rows(rows, chosen, locale, ministry_rules)))
+        # each register feeds the rollup, the link, the anti join and its own sink
+        pres, rec = regs["presentados"], regs["recomendados"]
+        base = materialize(consolidate.authoritative(pres, rec, sort=False, extra=("source_path",)))
+        auth = base.drop("source_path")
+        outputs = {
+            "presentados_normalized": with_row_ids(pres, "presentado_row_id").drop("_order"),
+            "recomendados_normalized": with_row_ids(rec, "recomendado_row_id").drop("_order"),
+            "projects_authoritative": consolidate.sort_authoritative(auth),
+            "summary_by_ministerio": reports.summary_by_group(auth, money_scale=None),
+            "linkage_audit": reports.linkage_audit(auth),
+            "unlinked_recommended": unlinked_recommended(pres, rec).drop("_order"),
+        }
+        n = sinks.publish(outputs, output_dir, fmt) if atomic else sinks.write_all(outputs, output_dir, fmt)
+        ledger = deck.form_ledger(inv, W.decode_errors(decoded), chosen, pres, rec, base)
+        sinks.write(ledger, f"{output_dir.rstrip('/')}/ledger", "parquet")  # it has nested columns
+    if atomic:
+        published = {name: sinks.read_published(spark, output_dir, name) for name in outputs}
+    else:
+        published = {name: sinks.read(spark, f"{output_dir.rstrip('/')}/{name}", df.schema, fmt) for name, df in outputs.items()}
     published["ledger"] = spark.read.parquet(f"{output_dir.rstrip('/')}/ledger")
-    for table in kept:
-        remove(table)
     print(f"Wrote processed datasets to {output_dir}")
     print(f"Rows in authoritative set: {n.get('projects_authoritative')}")
     return published

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from regfuse.operators import consolidate, deck
+from regfuse.operators import consolidate, deck, reports
 from regfuse.operators.rowid import dense_row_ids
 from regfuse.plans import oracle as O
 from regfuse.plans import standins
 from regfuse.plans.registry import register
 from regfuse.plans.standins import table
+from regfuse.session import checkpoint_dir, materialize
+from regfuse.sources import sinks
 from regfuse.sources import workbook as W
 
 METHODS = ["rut_codigo_tramo", "rut_codigo_unique", "rut_codigo_ambiguous", "presentado_only", "recomendado_only"]
@@ -58,6 +62,19 @@ def q_approval_time(spark, sf_dir):
     return deck.approval_time(_auth(spark, sf_dir))
 
 
+# ---- D2 (values that need not repeat) ------------------------------------------
+@register("amount_quantiles", f"""WITH {O.linkage_cte()}, {_auth_g()},
+ranked AS (SELECT ministerio_evaluador, monto_ui_presentado AS x,
+                  row_number() OVER (PARTITION BY ministerio_evaluador ORDER BY monto_ui_presentado) - 1 AS rn,
+                  count(*) OVER (PARTITION BY ministerio_evaluador) AS n
+           FROM ag WHERE monto_ui_presentado IS NOT NULL)
+SELECT ministerio_evaluador, min(x) FILTER (WHERE rn = floor((n - 1) * 0.5)) AS mediana,
+       min(x) FILTER (WHERE rn = floor((n - 1) * 0.9)) AS p90, min(x) FILTER (WHERE rn = floor((n - 1) * 0.99)) AS p99
+FROM ranked GROUP BY ministerio_evaluador""")
+def q_amount_quantiles(spark, sf_dir):
+    return deck.amount_quantiles(_auth(spark, sf_dir))
+
+
 # ---- D3 -------------------------------------------------------------------
 @register("approval_time_rollup", f"""WITH {O.linkage_cte()},
 d AS (SELECT *, year(fecha_presentado) AS anio, quarter(fecha_presentado) AS trimestre,
@@ -162,6 +179,35 @@ def q_metric_registry(spark, sf_dir):
     return deck.metric_registry(_auth(spark, sf_dir), dimensions=_DIMS)
 
 
+# ---- A6 opt-in: estimates from stored sketches, next to the exact counts ------------
+@register("sketched_projects", f"""WITH {O.linkage_cte()},
+a AS (SELECT * REPLACE ({', '.join(f"coalesce({d}, 'SIN_DATO') AS {d}" for d in _DIMS)}) FROM auth)
+SELECT {_dim_name} AS dimension, {_dim_val} AS valor, count(*) AS filas, count(DISTINCT project_key) AS proyectos,
+       count(DISTINCT CASE WHEN has_benefits THEN project_key END) AS proyectos_promovidos, TRUE AS dentro_del_error
+FROM a GROUP BY GROUPING SETS ({', '.join(f'({d})' for d in _DIMS)}, ())""")
+def q_sketched_projects(spark, sf_dir):
+    auth, levels = _auth(spark, sf_dir), [[d] for d in _DIMS] + [[]]
+    estimate = deck.merged_projects(deck.project_sketches(auth, _DIMS), _DIMS, levels)
+    counted = deck.by_level(auth.withColumns({d: F.coalesce(d, F.lit("SIN_DATO")) for d in _DIMS}), _DIMS, levels, {"filas": F.lit(1).cast("bigint")})
+    e, c = estimate.alias("e"), counted.alias("c")
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"c.{k}")) for k in ("_level", *_DIMS)]
+    near = [F.abs(F.col(f"e.{k}") - F.col(f"c.{k}")) <= F.ceil(F.col(f"c.{k}") * deck.sketch_error()) for k in ("proyectos", "proyectos_promovidos")]
+    return c.join(e, same).select(
+        F.element_at(F.array(*[F.lit(d) for d in _DIMS], F.lit("total")), F.col("c._level") + 1).alias("dimension"),
+        F.coalesce(*[F.col(f"c.{d}") for d in _DIMS], F.lit("total")).alias("valor"), "e.filas", "c.proyectos", "c.proyectos_promovidos",
+        (near[0] & near[1]).alias("dentro_del_error"))
+
+
+# ---- S8 D11: one publication of all tables -------------------------------------
+@register("published_audit", f"""WITH {O.linkage_cte()}
+SELECT match_method, source, count(*) AS rows FROM auth GROUP BY match_method, source""")
+def q_published_audit(spark, sf_dir):
+    auth = materialize(_auth(spark, sf_dir))
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    sinks.publish({"linkage_audit": reports.linkage_audit(auth), "summary": reports.summary_by_group(auth)}, folder)
+    return sinks.read_published(spark, folder, "linkage_audit", verify=True)
+
+
 # ---- W1 -------------------------------------------------------------------
 @register("stable_row_ids", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,

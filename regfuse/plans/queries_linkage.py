@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from regfuse.operators import consolidate, linkage, reports
+from regfuse.operators import consolidate, linkage, placement, reports
 from regfuse.plans import oracle as O
 from regfuse.plans import standins
 from regfuse.plans.registry import register
+from regfuse.session import checkpoint_dir, materialize, remove_path
 
 # --------------------------------------------------------------------------
 
@@ -97,3 +100,20 @@ def q_fallback_unique(spark, sf_dir):
             "ministerio_recomendado", "recommended_rows_project",
         )
     )
+
+
+# ---- J1-J5 on a placed register ----------------------------------------------
+@register("relinked", f"""WITH {O.linkage_cte()}
+SELECT project_key, tramo_clean, fecha_recomendado, regimen_recomendado, monto_ui_recomendado, match_method FROM linked
+UNION ALL SELECT project_key, tramo_clean, fecha_recomendado, regimen_recomendado, monto_ui_recomendado, match_method FROM ronly""")
+def q_relinked(spark, sf_dir):
+    p, r = standins.registers(spark, sf_dir)
+    name = f"placed_{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    placed = placement.place(p, name, folder)
+    columns = ["project_key", "tramo_clean", "fecha_recomendado", "regimen_recomendado", "monto_ui_recomendado", "match_method"]
+    linked = placement.relink(spark, placed, r).select(*columns)
+    out = materialize(linked.unionByName(placement.relinked_only(spark, placed, r).select(*columns)))
+    placement.remove_placed(spark, placed)
+    remove_path(spark, folder)
+    return out

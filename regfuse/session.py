@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +76,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_scopes: list[list[str]] = []
+
+
 def materialize(df):
     """Write ``df`` once as a parquet table under the session's checkpoint
     folder and read it back.
@@ -82,23 +86,39 @@ def materialize(df):
     This cuts the lineage like ``checkpoint()`` (a lost executor re-reads the
     table instead of recomputing it) but is columnar and compressed - the RDD
     checkpoint path serialises row objects one by one.  Row order across
-    partitions is not kept: sort after reading when order matters."""
+    partitions is not kept: sort after reading when order matters.  Inside
+    ``scratch`` the table goes when the block ends, else see ``remove``."""
     import uuid
 
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/regfuse-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
     # short-lived table: dictionary encoding only costs time here
     df.write.mode("error").option("parquet.enable.dictionary", "false").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.materialized_path = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables materialised inside the block are removed when it ends."""
+    _scopes.append(paths := [])
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def remove(df) -> None:
     """Remove the table of a ``materialize`` once nothing reads it any more."""
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if folder.rsplit("/", 1)[-1].startswith("regfuse-") and base.split(":", 1)[-1].lstrip("/") in folder:
-            path = hadoop.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_path(df.sparkSession, df.materialized_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
