@@ -7,5 +7,5 @@ DuckDB SQL over the same tables, with identical column names.
 
 from __future__ import annotations
 
-from regfuse.plans import queries_deck, queries_functions, queries_headers, queries_linkage  # noqa: F401
+from regfuse.plans import queries_deck, queries_forms, queries_functions, queries_headers, queries_linkage  # noqa: F401
 from regfuse.plans.registry import ORACLE, QUERIES  # noqa: F401

@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from regfuse.operators import consolidate, linkage, placement, reports
+from regfuse.operators.rowid import dense_row_ids
 from regfuse.plans import oracle as O
 from regfuse.plans import standins
 from regfuse.plans.registry import register
 from regfuse.session import checkpoint_dir, materialize, remove_path
+from regfuse.sources import sinks
 
 # --------------------------------------------------------------------------
 
@@ -102,6 +104,35 @@ def q_fallback_unique(spark, sf_dir):
     )
 
 
+# ---- O1 O2 O3: the published order, as a column --------------------------------
+@register("published_order", f"""WITH {O.linkage_cte()},
+by_group AS (SELECT coalesce(ministerio_evaluador, 'SIN_DATO') AS g, round(coalesce(sum(monto_ui_beneficios), 0.0), 2) AS m FROM auth GROUP BY 1),
+audit AS (SELECT match_method, source FROM auth GROUP BY ALL)
+SELECT 'projects_authoritative' AS published, CAST(project_row_id AS VARCHAR) AS row_name,
+       row_number() OVER (ORDER BY rut NULLS LAST, codigo NULLS LAST, fecha_presentado NULLS LAST, tramo NULLS LAST, project_row_id) AS place
+FROM auth
+UNION ALL SELECT 'summary_by_ministerio', g, row_number() OVER (ORDER BY m DESC, g) FROM by_group
+UNION ALL SELECT 'linkage_audit', match_method || '/' || source, row_number() OVER (ORDER BY match_method, source) FROM audit""")
+def q_published_order(spark, sf_dir):
+    """Where each row stands in the published tables: places are taken from the written files, not computed again."""
+    auth = materialize(_auth(spark, sf_dir, with_ids=True))
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    names = {
+        "projects_authoritative": (consolidate.sort_authoritative(auth), F.col("project_row_id").cast("string")),
+        "summary_by_ministerio": (reports.summary_by_group(auth), F.col("ministerio_evaluador")),
+        "linkage_audit": (reports.linkage_audit(auth), F.concat("match_method", F.lit("/"), "source")),
+    }
+    out = None
+    for name, (df, row_name) in names.items():
+        sinks.write(df, f"{folder}/{name}", "parquet")
+        read = spark.read.parquet(f"{folder}/{name}").select(row_name.alias("row_name"), sinks.file_place())
+        part = dense_row_ids(read, ["_file", "_row"], "place").select(F.lit(name).alias("published"), "row_name", "place")
+        out = part if out is None else out.unionByName(part)
+    out = materialize(out)
+    remove_path(spark, folder)
+    return out
+
+
 # ---- J1-J5 on a placed register ----------------------------------------------
 @register("relinked", f"""WITH {O.linkage_cte()}
 SELECT project_key, tramo_clean, fecha_recomendado, regimen_recomendado, monto_ui_recomendado, match_method FROM linked

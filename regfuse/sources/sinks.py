@@ -57,6 +57,12 @@ def read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv")
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
+def file_place():
+    """Where a row of a written parquet table stands: file (they are numbered in the table's order) and row in the file.
+    For ``select`` on a plain scan: two columns, ``_file`` and ``_row``."""
+    return F.expr("inline(array(struct(_metadata.file_name AS _file, _metadata.row_index AS _row)))")
+
+
 def write_all(outputs: dict[str, DataFrame], output_dir: str, fmt: str = "csv") -> dict[str, int]:
     base = output_dir.rstrip("/")
     return {name: write(df, f"{base}/{name}", fmt) for name, df in outputs.items()}
