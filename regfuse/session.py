@@ -20,11 +20,15 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.python.sql.dataFrameDebugging.enabled": "false",  # else every column built records its call site
     # the JVM does not compile longer methods: beyond it, expressions are evaluated in several short ones
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Settings that a session must be built with; a cluster's belong in its spark-submit configuration.
+STATIC_CONF = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # else every column built records its call site
+}
+
 
 def ensure_conf(spark: SparkSession) -> SparkSession:
     for k, v in DEFAULT_CONF.items():
@@ -69,7 +73,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in DEFAULT_CONF.items():
+    for k, v in (DEFAULT_CONF | STATIC_CONF).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
