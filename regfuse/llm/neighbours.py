@@ -144,11 +144,12 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
 def _search(k: int, relax: float):
     def run(index: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+        empty = pd.DataFrame({"key": [], "query_id": [], "vec_id": [], "score": []}).astype({"key": "int64", "query_id": "int64", "vec_id": "int64"})
         if index.empty or block.empty:
             return empty
         i, b = index.iloc[0], block.iloc[0]
         ids, query_ids = np.frombuffer(i["ids"], np.int64), np.frombuffer(b["ids"], np.int64)
+        keys = np.frombuffer(b["keys"], np.int64)
         x = np.frombuffer(i["vectors"], np.float64).reshape(len(ids), -1)
         q = np.frombuffer(b["vectors"], np.float64).reshape(len(query_ids), -1)
         mu, inner, outer = np.frombuffer(i["mu"]), np.frombuffer(i["inner"], np.int32), np.frombuffer(i["outer"], np.int32)
@@ -160,7 +161,7 @@ def _search(k: int, relax: float):
             return empty
         a, c = q[at], x[s.rows[at, rank]]
         score = (a * c).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((c * c).sum(axis=1)))
-        return pd.DataFrame({"query_id": query_ids[at], "vec_id": s.found[at, rank], "score": score})
+        return pd.DataFrame({"key": keys[at], "query_id": query_ids[at], "vec_id": s.found[at, rank], "score": score})
 
     return run
 
@@ -177,22 +178,25 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 5, relax: float = 1.0
     q = queries.select(queries[id_col].cast("bigint").alias("id"), queries[vector_col].cast("array<double>").alias("v"))
     q = q.where(F.col("id").isNotNull() & _valid(F.col("v"))).withColumn("dim", F.size("v")).distinct()
     sizes = q.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
-    q = q.join(written(sizes), "dim").withColumn("block", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int"))
+    q = q.join(written(sizes), "dim").withColumn("key", F.xxhash64("id", "v"))  # two vectors under one id are two queries
+    q = q.withColumn("block", F.pmod("key", F.col("blocks")).cast("int"))
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
         x = np.array(rows["v"].tolist(), np.float64)
         return pd.DataFrame({"dim": rows["dim"].iloc[:1].to_numpy(), "block": rows["block"].iloc[:1].to_numpy(),
-                             "ids": [rows["id"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()]})
+                             "ids": [rows["id"].to_numpy(np.int64).tobytes()], "keys": [rows["key"].to_numpy(np.int64).tobytes()],
+                             "vectors": [x.tobytes()]})
 
-    blocks = written(q.select("dim", "block", "id", "v").groupBy("dim", "block").applyInPandas(pack, "dim int, block int, ids binary, vectors binary"))
+    packed = "dim int, block int, ids binary, keys binary, vectors binary"
+    blocks = written(q.select("dim", "block", "id", "key", "v").groupBy("dim", "block").applyInPandas(pack, packed))
     pairs = index.select("dim", "shard").join(blocks.select("dim", "block"), "dim")  # a row for each shard and block
     left, right = index.join(pairs, ["dim", "shard"]), blocks.join(pairs, ["dim", "block"])
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)  # their columns come from the same tables
     by = ("dim", "shard", "block")
     found = written(
-        left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(_search(k, relax), "query_id bigint, vec_id bigint, score double")
+        left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(_search(k, relax), "key bigint, query_id bigint, vec_id bigint, score double")
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_id", "key").orderBy(F.col("score").desc(), "vec_id")
     best = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

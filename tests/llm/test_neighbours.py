@@ -41,6 +41,12 @@ def test_few_candidates_and_empty(spark):
     assert got(spark, []) == []
 
 
+def test_two_vectors_under_one_id_are_two_queries(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (3, [1.0, 1.0])]
+    found = [(r, v) for _, r, v, _ in got(spark, rows, k=2)]
+    assert sorted(found) == [(1, 1), (1, 2), (2, 3), (2, 3)]
+
+
 def test_relaxed_recall_and_work():
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(40, 32))
