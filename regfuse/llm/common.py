@@ -48,6 +48,16 @@ def written(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded bytes from now on: some rows are very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def sampled(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """All of ``df``, or about ``rows`` of its rows: those whose keys' hash falls below the share that gives as many.
     The same rows on every run, and no sort or gathering to find them."""

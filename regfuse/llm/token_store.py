@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regfuse.llm.common import sampled, texts_of, written
+from regfuse.llm.common import sampled, small_batches, texts_of, written
 from regfuse.session import checkpoint_dir
 
 END_ID = 0
@@ -40,7 +40,7 @@ ROWS = 256  # texts encoded, and written to Arrow, at once
 class _Pieces(dict):
     """Ids (little-endian unsigned 32-bit) of words after a space, remembered; bounded, and filled a batch at a time."""
 
-    limit = 500_000
+    limit = 50_000
 
     def __init__(self, encode):
         self.encode = encode
@@ -71,12 +71,13 @@ def _splits_at_spaces(tokenizer_json: str) -> bool:
 
 @functools.lru_cache(maxsize=1)
 def _encoder(tokenizer_json: str):
-    """texts -> for each the bytes of its ids and the end id.  A worker keeps its words from task to task."""
+    """texts -> for each the bytes of its ids and the end id.  ``forget`` of the result drops the words it remembers."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
+    # a text that holds one of these is split around it by the library
+    added = [t["content"] for t in json.loads(tokenizer_json).get("added_tokens") or []]
     end = END_ID.to_bytes(4, "little")
 
     def library(texts: list[str]) -> list[bytes]:
@@ -90,13 +91,15 @@ def _encoder(tokenizer_json: str):
         return out
 
     if not _splits_at_spaces(tokenizer_json):
-        return lambda texts: [x + end for t in texts for x in library([t])]
+        whole = lambda texts: [x + end for t in texts for x in library([t])]
+        whole.forget = lambda: None
+        return whole
     pieces, starts = _Pieces(library), {}
 
     def encode(texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            if "  " in text:
+            if "  " in text or any(t in text for t in added):
                 out.append(library([text])[0] + end)
                 continue
             first, *rest = text.split(" ")
@@ -112,6 +115,11 @@ def _encoder(tokenizer_json: str):
             out.append(b"".join([starts[first], *map(pieces.__getitem__, rest), end]))
         return out
 
+    def forget():
+        pieces.clear()
+        starts.clear()
+
+    encode.forget = forget
     return encode
 
 
@@ -151,6 +159,7 @@ def _frames(tokenizer_json: str, dictionary: bytes):
                 [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(pack.compress, ids), pa.binary())],
                 names=["doc_id", "n_tokens", "frame"],
             )
+        encode.forget()  # a worker outlives its tasks
 
     return run
 
@@ -191,6 +200,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, id_col: str = "
     their compressed bytes.  An empty table gives an empty store; other columns are ignored."""
     docs = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias("text"))
     spark = docs.sparkSession
+    small_batches(spark)
     dictionary = train_dictionary(docs, tokenizer_json)
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(dict_hash, bytearray(dictionary))], "dict_hash string, dictionary binary").coalesce(1).write.parquet(
@@ -217,6 +227,7 @@ def index_of(spark: SparkSession, path: str) -> DataFrame:
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """Every document of the store: part, row, doc_id, n_tokens, ids (little-endian unsigned 32-bit integers)."""
+    small_batches(spark)  # a block row is about 1 MB
     dictionary = {r.dict_hash: bytes(r.dictionary) for r in spark.read.parquet(f"{path}/dictionary").collect()}
     laid = spark.read.parquet(f"{path}/laid")
     blocks = laid.where("bytes is not null").select("part", "block", "dict_hash", "bytes")

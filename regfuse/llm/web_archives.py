@@ -26,10 +26,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfuse.llm.common import ship, written
+from regfuse.llm.common import BATCH_BYTES, ship, small_batches, written
 from regfuse.session import checkpoint_dir, remove
 
-ARCHIVE_BYTES, ARCHIVE_RECORDS, SPAN_BYTES, BATCH_BYTES = 256 << 20, 100_000, 1 << 20, 16 << 20
+ARCHIVE_BYTES, ARCHIVE_RECORDS, SPAN_BYTES = 256 << 20, 100_000, 1 << 20
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -210,13 +210,6 @@ class ArchiveReader:
 
 
 # ---- jobs ------------------------------------------------------------------
-def _small_batches(spark: SparkSession) -> None:
-    """Arrow batches of bounded bytes: some pages are very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 1000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-
-
 KEY = ["digest", "n_bytes", "check"]
 
 
@@ -277,7 +270,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """
     spark = pages.sparkSession
     ship(spark)
-    _small_batches(spark)
+    small_batches(spark)
     rows = pages.select(pages[id_col].cast("bigint").alias("page_id"), pages[url_col].cast("string").alias("url"),
                         F.coalesce(pages[html_col].cast("string"), F.lit("")).alias("html"))
     payload = F.when(~F.col("revisit"), F.encode("html", "UTF-8")).alias("payload")
@@ -330,7 +323,7 @@ def read_records(index: DataFrame) -> DataFrame:
 
     Ranges that follow each other in an archive are read at once, up to ``SPAN_BYTES``."""
     ship(index.sparkSession)
-    _small_batches(index.sparkSession)
+    small_batches(index.sparkSession)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 

@@ -15,7 +15,6 @@ from tests.conftest import SF_SMALL
 @pytest.fixture(scope="module")
 def encode():
     t = Tokenizer.from_str(tokenizer_json())
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -53,6 +52,13 @@ def test_edge_rows_and_single_reads(spark, encode, monkeypatch):
     assert sorted(r.start for r in got)[0] == 0
 
 
+def test_special_tokens_as_the_library_does(spark, encode):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "word<|endoftext|>word and more"), (4, "a b")]
+    assert encode(rows[0][1]) == [64, 220, 50256, 275, 0]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [tuple(r) for r in T.encode_documents(df, tokenizer_json()).orderBy("doc_id").collect()] == want(rows, encode)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert T.encode_documents(df, tokenizer_json()).count() == 0
