@@ -40,7 +40,7 @@ ROWS = 256  # texts encoded, and written to Arrow, at once
 class _Pieces(dict):
     """Ids (little-endian unsigned 32-bit) of words after a space, remembered; bounded, and filled a batch at a time."""
 
-    limit = 50_000
+    limit = 300_000
 
     def __init__(self, encode):
         self.encode = encode
