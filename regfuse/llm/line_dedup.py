@@ -6,13 +6,16 @@ template keeps, at each place, the token that more than half of the leaf's disti
 elsewhere.  A line's template is
 
 * its own masked form, if that form occurs in at least ``min_docs`` documents;
-* else its leaf's template, if the line has the template's token at ``similarity`` or more of all places and such lines
-  occur in at least ``min_docs`` documents;
+* else its leaf's template, if the line has the template's token at ``similarity`` or more of the places after its path,
+  at one at least, and such lines occur in at least ``min_docs`` documents.  The path's tokens are equal by
+  construction and count for nothing; so do places where both hold ``<*>``;
 * else none.
 
 Lines with a template are repeated text: they are dropped, save the first occurrence of each template (smallest
-doc_id, then line), so that no text is lost altogether.  Counting is by grouped aggregation over all documents: lines of
-a leaf are never gathered, and a template has at most one token for each place.
+doc_id, then text digest, then line), so that no text is lost altogether.  Counting is by grouped aggregation over all
+documents: lines of a leaf are never gathered, and a template has at most one token for each place.  Lines are masked
+once and written; counts and joins then carry hashes, and only lines of leaves that may have a template of their own
+send their text through an exchange.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ DEPTH, MIN_DOCS, SIMILARITY = 3, 2, 0.75
 VARIABLE = "[0-9@]|://"
 SPACE = r"[\x20\x09-\x0D]+"
 FIELD = "<*>"
+ROW = ("doc_id", "digest")  # a document: rows with equal id and equal text are one
 
 
 def masked_line(line):
@@ -36,68 +40,85 @@ def masked_line(line):
     return F.when(F.rlike(line, F.lit(VARIABLE)), F.array_join(fields, " ")).otherwise(squeezed)
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, digest, text): 64 bits of the text tell rows of one doc_id apart; rows without one carry 128."""
+    text = F.col(text_col).cast("string")
+    second = F.when(F.col(id_col).isNull(), F.xxhash64(F.lit("second"), text)).otherwise(0)
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.struct(F.xxhash64(text).alias("h"), second.alias("g")).alias("digest"), text.alias("text"))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line from 0, masked, path hash) of the lines that are not blank."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    lines = lines.select("doc_id", "line", masked_line(F.col("raw")).alias("masked")).where("masked <> ''")
+    """(doc_id, digest, line from 0, leaf, form, masked) of the lines that are not blank; leaf and form are hashes, masked
+    is null for lines that are no longer than a path."""
+    lines = docs.select(*ROW, F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    lines = lines.select(*ROW, "line", masked_line(F.col("raw")).alias("masked")).where("masked <> ''")
     tokens = F.length("masked") - F.length(F.replace(F.col("masked"), F.lit(" "))) + 1
-    return lines.withColumn("path", F.concat_ws(" ", tokens, F.substring_index("masked", " ", DEPTH)))
+    lines = lines.withColumn("tokens", tokens).withColumn("path", F.concat_ws(" ", "tokens", F.substring_index("masked", " ", DEPTH)))
+    return lines.select(
+        *ROW, "line", F.xxhash64("path").alias("leaf"), F.xxhash64("masked", "path").alias("form"),
+        F.when(F.col("tokens") > DEPTH, F.col("masked")).alias("masked"),
+    )
 
 
-def templates(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
-    """Lines with a template: doc_id, line, template (a text).  ``docs``: doc_id, text."""
-    lines = lines_of(docs)
-    narrow = written(lines.select("doc_id", "line", F.xxhash64("path").alias("leaf"), F.xxhash64("masked", "path").alias("form")))
-    # documents by leaf and form; a form's documents also count for its leaf
+def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
+    """Lines with a template that are not its first occurrence: doc_id, digest, line.  ``docs``: see ``keyed``."""
+    lines = written(lines_of(docs))
+    at = F.struct(*ROW, "line")
+    # documents by form
     per_form = written(
-        narrow.groupBy("leaf", "form", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("docs"))
-    )
-    own = written(per_form.where(F.col("docs") >= min_docs).select("form"))
-    exact = narrow.join(own, "form").select("doc_id", "line", F.hex("form").alias("template"))
-
-    # leaves where several distinct forms in several documents leave lines without a template of their own
-    leaves = narrow.groupBy("leaf").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("form").alias("f"), F.max("form").alias("g"))
-    open_ = written(leaves.where("(a <> b or a is null) and f <> g").select("leaf"))
-    wide = lines.select("doc_id", "line", "masked", F.xxhash64("path").alias("leaf"), F.xxhash64("masked", "path").alias("form"))
-    wide = written(wide.join(open_, "leaf"))
-    forms = wide.groupBy("leaf", "form").agg(F.any_value("masked").alias("masked"))
-    places = forms.select("leaf", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+        lines.groupBy("leaf", "form", *ROW).agg(F.min("line").alias("line"))
+        .groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("docs"), F.min(at).alias("first"))
+    )
+    own = per_form.where(F.col("docs") >= min_docs).select("form", "first")
+    exact = lines.select(*ROW, "line", "form").join(own.hint("merge"), "form").where(at != F.col("first")).select(*ROW, "line")
+
+    # leaves whose lines without a template of their own are in several documents
+    other = per_form.where(F.col("docs") < min_docs).groupBy("leaf").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
+    forms = per_form.join(other.select("leaf").hint("merge"), "leaf").select("form", "first", (F.col("docs") >= min_docs).alias("own"))
+    wide = lines.where("masked is not null").join(forms.hint("merge"), "form").withColumn("is_first", at == F.col("first"))
+    wide = written(wide.where("is_first or not own").select(*ROW, "line", "leaf", "masked", "own", "is_first"))
+    tokens = F.split("masked", " ")
+    # one line a form; places count from 0, those of the path are skipped
+    beyond = F.slice(tokens, DEPTH + 1, F.size(tokens) - DEPTH)
+    places = wide.where("is_first").select("leaf", F.posexplode(beyond).alias("place", "token"))
     counts = places.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("n"))
     most = counts.groupBy("leaf", "place").agg(F.sum("n").alias("all"), F.max(F.struct("n", "token")).alias("top"))
-    fixed = most.where(2 * F.col("top.n") > F.col("all")).select("leaf", "place", F.col("top.token").alias("token"))
-    # at most one token a place: no longer than a line
-    shape = written(fixed.groupBy("leaf").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("place", "token")))).alias("shape")))
-    rest = wide.join(own, "form", "left_anti").join(shape, "leaf")
-    tokens = F.split("masked", " ")
-    equal = F.aggregate(
-        F.transform(tokens, lambda t, i: F.when(F.coalesce(F.element_at(F.col("shape"), i), F.lit("")) == t, 1).otherwise(0)),
-        F.lit(0), lambda a, b: a + b,
-    )
-    like = written(rest.where(equal >= similarity * F.size(tokens)).select("doc_id", "line", "leaf"))
-    frequent = like.select("leaf", "doc_id").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
-    general = like.join(written(frequent.select("leaf")), "leaf")
-    return written(exact.unionByName(general.select("doc_id", "line", F.concat(F.lit("leaf "), F.hex("leaf")).alias("template"))))
+    token = F.when(2 * F.col("top.n") > F.col("all"), F.col("top.token"))
+    fixed = F.array_sort(F.collect_list(F.struct("place", token.alias("token"))))
+    # at most one token a place: no longer than a line.  A line can reach the similarity only where enough places are fixed
+    shape = most.groupBy("leaf").agg(fixed.alias("fixed")).select("leaf", F.transform("fixed", lambda x: x.token).alias("shape"))
+    enough = F.size(F.filter("shape", lambda t: t.isNotNull()))
+    constant = F.exists("shape", lambda t: F.coalesce(t != FIELD, F.lit(False)))
+    shape = written(shape.where((enough >= similarity * F.size("shape")) & constant))
+    rest = wide.where("not own").join(shape, "leaf").select(*ROW, "line", "leaf", F.arrays_zip(beyond.alias("t"), F.col("shape").alias("s")).alias("pairs"))
+    equal = F.filter("pairs", lambda x: x.t == x.s)
+    masked = F.size(F.filter(equal, lambda x: x.t == FIELD))
+    agree = F.size(equal) - masked
+    like = written(rest.where((agree >= 1) & (agree >= similarity * (F.size("pairs") - masked))).select(*ROW, "line", "leaf"))
+    per_leaf = like.groupBy("leaf", *ROW).agg(F.min("line").alias("line")).groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"), F.min(at).alias("first"))
+    general = like.join(per_leaf.where(F.col("docs") >= min_docs), "leaf").where(at != F.col("first")).select(*ROW, "line")
+    return exact.unionByName(general)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, text (without the dropped lines), n_lines (lines that are not blank), n_dropped.
 
-    Null text stays null with no lines, empty text empty; blank lines stay.  Rows that share a doc_id, and rows with a null
-    one, count as one document when documents are counted, and a line number of theirs is dropped in all of them if it is
-    dropped in one with that template.  Other columns are ignored; an empty table gives an empty result.
+    Null text stays null with no lines, empty text empty; blank lines stay.  Rows with equal doc_id (null among them) and
+    equal text are one document and treated alike; rows that share a doc_id with different texts are different documents.
+    Null ids come before all others where the first occurrence is chosen.  Other columns are ignored; an empty table
+    gives an empty result.
     """
-    docs = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    found = templates(docs, min_docs, similarity)
-    first = written(found.groupBy("template").agg(F.min(F.struct("doc_id", "line")).alias("first")))
-    dropped = found.join(first, "template").where(~(F.struct("doc_id", "line").eqNullSafe(F.col("first"))))
+    docs = keyed(docs, id_col, text_col)
     # a document's own line numbers: no longer than the document
-    dropped = written(dropped.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("dropped")))
-    d, x = docs.alias("d"), dropped.alias("x")
-    rows = d.join(x, F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")), "left").select("d.doc_id", "text", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    dropped = written(repeated_lines(docs, min_docs, similarity).groupBy(*ROW).agg(F.collect_set("line").alias("dropped")))
+    d, x = docs.alias("d"), dropped.hint("merge").alias("x")
+    same = F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("d.digest") == F.col("x.digest"))
+    rows = d.join(x, same, "left").select("d.doc_id", "text", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("dropped"), i))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped"), lambda i: F.get(lines, i))
+    text = F.when(F.size("dropped") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
     worded = F.size(F.filter(lines, lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))))
     return rows.select(
-        "doc_id", F.array_join(kept, "\n").alias("text"),
+        "doc_id", text.alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(worded).cast("bigint").alias("n_lines"), F.size("dropped").cast("bigint").alias("n_dropped"),
     )

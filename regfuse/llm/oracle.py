@@ -43,7 +43,7 @@ lines AS (
 own AS (SELECT m FROM lines GROUP BY m HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}),
 open AS (SELECT leaf FROM lines GROUP BY leaf HAVING count(DISTINCT doc_id) > 1 AND count(DISTINCT m) > 1),
 forms AS (SELECT DISTINCT leaf, m, tok FROM lines WHERE leaf IN (SELECT leaf FROM open)),
-places AS (SELECT leaf, unnest(tok) AS token, generate_subscripts(tok, 1) AS place FROM forms),
+places AS (SELECT * FROM (SELECT leaf, unnest(tok) AS token, generate_subscripts(tok, 1) AS place FROM forms) WHERE place > {line_dedup.DEPTH}),
 counts AS (SELECT leaf, place, token, count(*) AS n, sum(count(*)) OVER (PARTITION BY leaf, place) AS all_n FROM places GROUP BY leaf, place, token),
 fixed AS (SELECT leaf, place, token FROM counts WHERE 2 * n > all_n),
 rest AS (
@@ -51,7 +51,9 @@ rest AS (
   FROM lines WHERE leaf IN (SELECT leaf FROM open) AND m NOT IN (SELECT m FROM own)),
 alike AS (
   SELECT r.doc_id, r.line, r.leaf FROM rest r JOIN fixed f ON r.leaf = f.leaf AND r.place = f.place AND r.token = f.token
-  GROUP BY r.doc_id, r.line, r.leaf, r.size HAVING count(*) >= {line_dedup.SIMILARITY} * r.size),
+  GROUP BY r.doc_id, r.line, r.leaf, r.size
+  HAVING count(*) FILTER (r.token <> '{line_dedup.FIELD}') >= greatest(1,
+    {line_dedup.SIMILARITY} * (r.size - {line_dedup.DEPTH} - count(*) FILTER (r.token = '{line_dedup.FIELD}')))),
 general AS (SELECT * FROM alike WHERE leaf IN (SELECT leaf FROM alike GROUP BY leaf HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS})),
 found AS (
   SELECT doc_id, line, 'own ' || m AS template FROM lines WHERE m IN (SELECT m FROM own)

@@ -35,6 +35,22 @@ def test_line_edge_rows(spark):
     assert lines(spark, []) == []
 
 
+def test_lines_that_share_only_their_path_stay(spark):
+    rows = [(1, "I would like tea"), (2, "I would like coffee"), (3, "I would like water"), (4, "a b c"), (5, "a b d")]
+    assert [r[3] for r in lines(spark, rows)] == [0, 0, 0, 0, 0]
+    short = [(i, f"we saw it {n} once") for i, n in enumerate(["here", "there", "nowhere", "again"])]
+    assert [r[3] for r in lines(spark, short)] == [0, 0, 0, 0]  # one of two places beyond the path agrees
+    fields = [(1, "we saw it 5 green"), (2, "we saw it 6 blue"), (3, "we saw it 7 red")]
+    assert [r[3] for r in lines(spark, fields)] == [0, 0, 0]  # a masked field is no evidence
+
+
+def test_rows_that_share_an_id_are_told_apart_by_their_texts(spark):
+    rows = [(1, f"{NOTICE}\nfirst own line"), (7, f"x\n{NOTICE}"), (7, "y\nunique second line"), (None, f"z\n{NOTICE}"), (None, "w\nother second line")]
+    got = lines(spark, rows)
+    assert (7, "y\nunique second line", 2, 0) in got and (None, "w\nother second line", 2, 0) in got
+    assert (7, "x", 2, 1) in got and (None, f"z\n{NOTICE}", 2, 0) in got and (1, "first own line", 2, 1) in got
+
+
 def found(spark, rows):
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, digest string, license_id string")
     return sorted((tuple(r) for r in licenses.scan(df).collect()), key=repr)
