@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from regfuse.operators import consolidate, lineage, search, versions
+from regfuse.operators import consolidate, lineage, replacement, search, versions
 from regfuse.plans import oracle as O
 from regfuse.plans import standins
 from regfuse.plans.registry import register
@@ -105,3 +105,36 @@ def q_form_versions(spark, sf_dir):
         rows, files = (part, own) if rows is None else (rows.unionByName(part), files.unionByName(own))
     chain = versions.version_chain(files)
     return versions.version_diff(rows, chain, _KEY, ["l_quantity", "l_extendedprice"])
+
+
+# ---- D4 D6 ------------------------------------------------------------------
+# A workbook per customer: its orders up to a day are its rows, the last order's day is its time, its finished orders are its
+# content.  Between the two listings orders were added, and the workbooks of one market segment were taken away.
+_WORKBOOK = """SELECT 'c' || o_custkey AS path, max(o_orderdate) AS t, count(*) AS length,
+    count(*) FILTER (o_orderstatus = 'F') AS content FROM orders WHERE o_orderdate < DATE '{}' {} GROUP BY o_custkey"""
+
+
+@register("replaced_workbooks", f"""WITH before AS ({_WORKBOOK.format('1995-06-01', '')}),
+after AS ({_WORKBOOK.format('1997-01-01', "AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")}),
+f AS (SELECT coalesce(a.path, b.path) AS path, a.length AS now_n, b.length AS old_n,
+  CASE WHEN b.path IS NULL THEN 'new' WHEN a.path IS NULL THEN 'removed' WHEN a.t = b.t AND a.length = b.length THEN 'unchanged'
+       WHEN a.content = b.content THEN 'touched' ELSE 'replaced' END AS change FROM after a FULL JOIN before b ON a.path = b.path)
+SELECT path, change, CASE WHEN change = 'removed' THEN 0 WHEN change IN ('new', 'replaced') THEN now_n ELSE old_n END AS n_rows FROM f""")
+def q_replaced_workbooks(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumn("path", F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    gone = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    first = orders.where("o_orderdate < date'1995-06-01'")
+    second = orders.where("o_orderdate < date'1997-01-01'").join(gone, "o_custkey", "left_anti")
+
+    def listing(rows):
+        content = F.count_if(F.col("o_orderstatus") == "F").cast("string").alias("content_hash")
+        return rows.groupBy("path").agg(F.max("o_orderdate").cast("timestamp").alias("modificationTime"), F.count(F.lit(1)).alias("length"), content)
+
+    state = listing(first).withColumn("rows_at", F.lit("first"))
+    after = listing(second)
+    done = materialize(replacement.outcomes(state, replacement.changed_files(after, state), after, "second"))
+    rows = first.withColumn("rows_at", F.lit("first")).unionByName(second.withColumn("rows_at", F.lit("second")))
+    current = replacement.current_rows(rows, replacement.next_state(state, done), "path").groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    known = state.select("path").union(after.select("path")).distinct()
+    return known.join(done, "path", "left").join(current, "path", "left").select(
+        "path", F.coalesce("change", F.lit("unchanged")).alias("change"), F.coalesce("n", F.lit(0)).alias("n_rows"))
