@@ -2,7 +2,8 @@
 
 Text is lower-cased, everything but letters becomes one space, and runs of one to three characters are hashed into
 ``buckets`` features.  Counts per language come from grouped sums over the training rows; the log-probability matrix
-(languages x buckets, at most ``MATRIX_CELLS`` cells whatever the data) goes to every task.  Texts are scored in numpy
+(languages x buckets) goes to every task.  It has at most ``MATRIX_CELLS`` cells: more languages than that allows are an
+error, and the caller chooses fewer buckets.  Texts are scored in numpy
 by summing the rows of the features they hold, in pieces, so a very long text needs no more memory than a piece.
 
 Training rows: at most about ``FIT_ROWS`` a language, those with the smallest hash of their id, as counted beforehand.
@@ -10,10 +11,12 @@ Training rows: at most about ``FIT_ROWS`` a language, those with the smallest ha
 
 from __future__ import annotations
 
+import codecs
 import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +25,7 @@ from regfuse.llm.common import texts_of
 ORDERS, BUCKETS, MATRIX_CELLS = 3, 1 << 14, 1 << 24
 FIT_ROWS, SMOOTHING = 20_000, 0.5
 UNKNOWN = "und"
-PIECE = 1 << 18
+PIECE = 1 << 18  # bytes
 
 
 @functools.cache
@@ -37,11 +40,14 @@ def _letters() -> np.ndarray:
 
 def features(text: bytes | None, buckets: int = BUCKETS):
     """Feature numbers of a UTF-8 text, an array for each piece; nothing for a text without letters."""
-    points = np.frombuffer((text or b"").decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    text, decoder = text or b"", codecs.getincrementaldecoder("utf-8")("replace")
     before = np.full(1, 32, np.uint32)  # the last characters of the pieces before
     started = False
-    for i in range(0, len(points), PIECE):
-        part = np.concatenate([before, _letters()[points[i : i + PIECE]]])
+    for i in range(0, len(text), PIECE):
+        points = np.frombuffer(decoder.decode(text[i : i + PIECE], i + PIECE >= len(text)).encode("utf-32-le"), np.uint32)
+        if not len(points):  # a piece within a character
+            continue
+        part = np.concatenate([before, _letters()[points]])
         space = part == 32
         keep = np.ones(len(part), bool)
         keep[len(before) :] = ~(space[len(before) :] & space[len(before) - 1 : -1])
@@ -80,21 +86,20 @@ def _counts(buckets: int):
 def train(rows: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS):
     """``rows`` (doc_id, text, lang non-null) -> (languages in order, log-probabilities [bucket, language], log priors)."""
     counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    known = sorted((r.lang, r.n) for r in counted.collect())  # a row per language
-    while buckets > 256 and len(known) * buckets > MATRIX_CELLS:
-        buckets //= 2
-    rate = F.lit(1.0)
-    for lang, n in known:
-        if n > fit_rows:
-            rate = F.when(F.col("lang") == lang, F.lit(fit_rows / n)).otherwise(rate)
+    most = MATRIX_CELLS // buckets
+    known = sorted((r.lang, r.n) for r in counted.limit(most + 1).collect())  # a row per language
+    if len(known) > most:
+        raise ValueError(f"more than {most} languages: a matrix of {buckets} buckets would exceed {MATRIX_CELLS} cells; set fewer buckets")
+    # at most ``most`` rows
+    rates = rows.sparkSession.createDataFrame([(lang, fit_rows / n) for lang, n in known], "lang string, rate double")
     share = (F.xxhash64("doc_id", F.lit("language")).cast("double") + 2.0**63) / 2.0**64
-    grams = rows.where(share < rate).select("lang", "text").mapInArrow(_counts(buckets), "lang string, bucket int, n bigint")
-    sums = grams.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    picked = rows.join(F.broadcast(rates), "lang").where((F.col("rate") >= 1) | (share < F.col("rate")))
+    grams = picked.select("lang", "text").mapInArrow(_counts(buckets), "lang string, bucket int, n bigint")
+    sums = grams.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # a row per cell
     langs = [lang for lang, _ in known]
     table = np.zeros((buckets, len(langs)))
-    place = {lang: k for k, lang in enumerate(langs)}
-    for r in sums.toLocalIterator():
-        table[r.bucket, place[r.lang]] = r.n
+    place = pc.index_in(sums["lang"], pa.array(langs, pa.string())).to_numpy()
+    table[sums["bucket"].to_numpy(), place] = sums["n"].to_numpy()
     table += SMOOTHING
     priors = np.log(np.array([n for _, n in known], float) / max(1, sum(n for _, n in known)))
     return langs, np.log(table / table.sum(axis=0, keepdims=True)), priors
@@ -125,7 +130,7 @@ def _predict(langs, table, priors):
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
-             fit_rows: int = FIT_ROWS) -> DataFrame:
+             fit_rows: int = FIT_ROWS, buckets: int = BUCKETS) -> DataFrame:
     """One row per input row: doc_id, held_out (crc32 of the id as text is divisible by ``folds``; never trained on),
     lang_pred, score (posterior).
 
@@ -137,6 +142,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang"))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     docs = docs.withColumn("held_out", F.crc32(name.cast("binary")) % folds == 0)
-    model = train(docs.where("not held_out and lang is not null").select("doc_id", "text", "lang"), fit_rows)
+    model = train(docs.where("not held_out and lang is not null").select("doc_id", "text", "lang"), fit_rows, buckets)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double"
     return docs.select("doc_id", "held_out", "text").mapInArrow(_predict(*model), schema)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from regfuse.llm import language as L
 from tests.conftest import SF_MID
@@ -61,3 +62,18 @@ def test_naive_bayes_by_hand(spark):
     best, score = L.classify(text, langs, table, priors)
     assert best == langs[int(np.argmax(want))]
     assert abs(score - 1 / sum(math.exp(w - max(want)) for w in want)) < 1e-9
+
+
+def test_more_languages_than_the_matrix_holds(spark, monkeypatch):
+    monkeypatch.setattr(L, "MATRIX_CELLS", 2 * L.BUCKETS)
+    rows = spark.createDataFrame([(i, "abc", g) for i, g in enumerate("xyz")], "doc_id bigint, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        L.train(rows)
+    assert L.train(rows, buckets=L.BUCKETS // 2)[0] == ["x", "y", "z"]
+
+
+def test_sample_of_a_large_language(spark):
+    rows = [(i, "abab", "x") for i in range(400)] + [(1000, "cdcd", "y")]
+    langs, table, priors = L.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), fit_rows=100)
+    assert langs == ["x", "y"] and abs(np.exp(priors[0]) - 400 / 401) < 1e-9  # priors are of all rows
+    assert L.classify(b"cd cd", langs, table, priors)[0] == "y"
