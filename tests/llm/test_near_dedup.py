@@ -62,6 +62,48 @@ def test_against_all_pairs(spark):
     assert {r[2] for r in result if r[0] is not None and r[0] >= 700} == {700}
 
 
+def test_prefix_pairs_lose_no_pair_of_two_components(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**40, 120)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))) for _ in range(40)]  # frequent shingles, many sizes
+    for _ in range(80):  # copies without their original: 0 to 40 % of it replaced, partly by the same few
+        x = base.copy()
+        at = rng.choice(120, rng.integers(0, 48), replace=False)
+        x[at] = rng.choice([0, 10**13], len(at)) + rng.integers(0, 400, len(at))
+        sets.append(np.unique(x[: rng.integers(90, 121)]))
+    sets += [np.array([5]), np.array([5]), np.array([7])]
+    cids = [int(c) for c in rng.integers(0, 60, len(sets))]
+    rows = [(i, c, bytearray(x.astype(np.int64).tobytes())) for i, (c, x) in enumerate(zip(cids, sets, strict=True))]
+    df = spark.createDataFrame(rows, "nid bigint, cid bigint, shingles binary")
+    made = {(r.a, r.b) for r in N._prefix_pairs(df, 75).collect()}
+    wanted = set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(a, sets[j]))
+            if cids[i] != cids[j] and 100 * common >= 75 * (len(a) + len(sets[j]) - common):
+                wanted.add((j, i))
+    assert len(wanted) > 20 and wanted <= made
+    assert all(a < b and cids[a] != cids[b] for a, b in made)
+    assert N._prefix_pairs(df.where("nid < 0"), 75).collect() == []
+
+
+def test_sets_with_enough_of_their_own_meet_nobody(spark):
+    """A frequent passage of 100 shingles in 300 sets that hold 20 more each (similarity 0.71): no pair is made."""
+    own = np.arange(300 * 20).reshape(300, 20) + 10**6
+    rows = [(i, i, bytearray(np.concatenate([np.arange(100), own[i]]).astype(np.int64).tobytes())) for i in range(300)]
+    df = spark.createDataFrame(rows, "nid bigint, cid bigint, shingles binary")
+    assert N._prefix_pairs(df, 75).count() == 0
+
+
+def test_intermediate_tables_are_removed(spark):
+    from pathlib import Path
+
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.iterdir())
+    got(spark, [(1, "a b c d e f"), (2, "a b c d e f g"), (3, "a b c d e f g h")])
+    assert len(set(folder.iterdir()) - before) == 2  # the rows and their classes, which the result reads
+
+
 def test_empty_table(spark):
     assert got(spark, []) == []
 
