@@ -21,7 +21,6 @@ holds m - n + 1 runs of n consecutive matches, and an error lies in n - 1 of the
 
 from __future__ import annotations
 
-import itertools
 import math
 import re
 
@@ -35,18 +34,15 @@ from regfuse.llm.common import WordHashes, mix64, texts_of, written
 SEEDS = ((3, 2), (2, 1), (1, 0))  # words of a seed, words left out at most; the first that an item is long enough for
 BLOOM_BITS = 1 << 23  # one megabyte, whatever the size of the benchmark; more items mean more false passes, not fewer hits
 PROBES = 3
+TOGETHER = 1 << 14  # words of short documents that are hashed at once
 THRESHOLD, PENALTY = 0.5, 0.5
 _WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(text: bytes | None) -> list[bytes]:
+def words_of(text: bytes | None) -> list[str]:
     """Lower-cased runs of letters, digits and underscores."""
-    if not text:
-        return []
-    if text.isascii():
-        return re.findall(rb"\w+", text.lower())
-    return [w.encode() for w in _WORD.findall(text.decode("utf-8", "replace").lower())]
+    return _WORD.findall(text.decode("utf-8", "replace").lower()) if text else []
 
 
 def _hashed(text: bytes | None, hashes: WordHashes) -> np.ndarray:
@@ -79,24 +75,29 @@ def _play(length: int, threshold: float, penalty: float) -> int:
     return max(1, math.ceil((1 - threshold) * length / penalty)) if penalty > 0 else 1 << 40
 
 
+def _choices(words: np.ndarray, n: int, slack: int):
+    """For every way to leave out ``slack`` words at most between ``n`` words: the seeds' hashes by the place of their first
+    word, and how far their last word is from it.  Ways that begin alike share that part of the work."""
+    begun = [(0, 0, slack, np.full(len(words), n, np.uint64))]
+    while begun:
+        taken, end, spare, chosen = begun.pop()
+        for at in range(end, end + (spare if taken else 0) + 1):
+            if at >= len(words):
+                break
+            more = (chosen[: len(words) - at] ^ words[at:]) * _ODD
+            more ^= more >> np.uint64(29)
+            if taken + 1 < n:
+                begun.append((taken + 1, at + 1, spare - (at - end), more))
+            else:
+                yield more, at
+
+
 def seed_hashes(words: np.ndarray, n: int, slack: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all choices of ``n`` words in order with ``slack`` words left out at most, and the places of their first."""
-    found, places = [], []
-    for gaps in itertools.product(range(1, slack + 2), repeat=n - 1):
-        if sum(gaps) - len(gaps) > slack:
-            continue
-        offsets = [0, *itertools.accumulate(gaps)]
-        count = len(words) - offsets[-1]
-        if count > 0:
-            chosen = np.full(count, n, np.uint64)
-            for k in offsets:
-                chosen = (chosen ^ words[k : k + count]) * _ODD
-                chosen ^= chosen >> np.uint64(29)
-            found.append(chosen)
-            places.append(np.arange(count))
+    found = [chosen for chosen, _ in _choices(words, n, slack)]
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(found), np.concatenate(places)
+    return np.concatenate(found), np.concatenate([np.arange(len(chosen)) for chosen in found])
 
 
 def _item_grams(threshold: float, penalty: float):
@@ -141,30 +142,45 @@ def _bloom(grams: DataFrame, bits: int) -> tuple[np.ndarray, list[int]]:
 
 
 def _spots(grams: np.ndarray, probe: int, bits: int) -> np.ndarray:
-    return (mix64(grams + np.uint64(probe)) % np.uint64(bits)).view(np.int64)
+    """Places in a filter of ``bits`` bits, a power of two; the first from the seed's upper bits, which are mixed already."""
+    if probe == 0:
+        return (grams >> np.uint64(65 - bits.bit_length())).view(np.int64)
+    return (mix64(grams + np.uint64(probe)) & np.uint64(bits - 1)).view(np.int64)
 
 
 def _passing(bloom: np.ndarray, sizes: list[int], bits: int):
+    def hits(texts: list[np.ndarray], first: int):
+        """Seeds of these documents (rows from ``first`` on) that pass: row, seed, place.  Short documents are hashed
+        together; a seed that would reach from one into the next is left out."""
+        words, lengths = np.concatenate(texts), [len(x) for x in texts]
+        row = np.repeat(np.arange(len(texts)), lengths)
+        start = np.cumsum([0, *lengths])
+        for n, slack in SEEDS:
+            for g, reach in _choices(words, n, slack) if n in sizes else ():
+                at = None
+                for probe in range(PROBES):
+                    spot = _spots(g, probe, bits)
+                    hit = np.flatnonzero((bloom[spot >> 6] >> (spot & 63).view(np.uint64)) & np.uint64(1))
+                    g, at = g[hit], hit if at is None else at[hit]
+                inside = row[at] == row[at + reach]
+                g, at = g[inside], at[inside]
+                yield row[at] + first, g, at - start[row[at]]
+
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            ids, grams, places = [], [], []
-            for key, text in zip(batch.column("doc").to_pylist(), texts_of(batch.column("text")), strict=True):
-                words = _hashed(text, hashes)
-                for n, slack in SEEDS:
-                    if n not in sizes:
-                        continue
-                    g, at = seed_hashes(words, n, slack)
-                    for probe in range(PROBES):
-                        if len(g):
-                            spot = _spots(g, probe, bits)
-                            hit = (bloom[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
-                            g, at = g[hit], at[hit]
-                    ids += [key] * len(g)
-                    grams += g.view(np.int64).tolist()
-                    places += at.tolist()
+            found = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))]
+            waiting, many = [], 0
+            texts = texts_of(batch.column("text"))
+            for row, text in enumerate(texts):
+                waiting.append(_hashed(text, hashes))
+                many += len(waiting[-1])
+                if many >= TOGETHER or row == len(texts) - 1:
+                    found += hits(waiting, row + 1 - len(waiting))
+                    waiting, many = [], 0
+            rows, grams, places = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(grams, pa.int64()), pa.array(places, pa.int64())], names=["doc", "gram", "place"]
+                [batch.column("doc").take(pa.array(rows)), pa.array(grams.view(np.int64)), pa.array(places)], names=["doc", "gram", "place"]
             )
 
     return run
