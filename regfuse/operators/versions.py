@@ -41,13 +41,14 @@ def version_diff(rows: DataFrame, chain: DataFrame, key: list[str], values: list
 
     ``rows``: the rows of all files, told apart by ``path``; ``values``: columns that count as content.  A key may repeat: its
     rows are compared as a whole, in any order.  NULLs are values like any other.  First versions have no differences."""
-    digest = F.sha2(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), 256)
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), 256))
     r = rows.select(F.col(path).alias("_path"), F.struct(*key).alias("_key"), digest.alias("_digest"))
     later = chain.where(F.col("previous_path").isNotNull())
     sides = later.select("family", "version", F.col(path).alias("_path"), F.lit(1).alias("_new")).unionByName(
         later.select("family", "version", F.col("previous_path").alias("_path"), F.lit(0).alias("_new")))
     new = F.col("_new")
-    counted = r.join(sides, "_path").groupBy("family", "version", "_key", "_digest").agg(
+    # a row or two per file, which a listing holds anyway: rows are not exchanged by file, where one file would be one task
+    counted = r.join(F.broadcast(sides), "_path").groupBy("family", "version", "_key", "_digest").agg(
         F.sum(new).alias("_n"), F.sum(1 - new).alias("_o"))
     by_key = counted.groupBy("family", "version", "_key").agg(
         F.sum("_n").alias("_n"), F.sum("_o").alias("_o"), F.max(F.col("_n") != F.col("_o")).alias("_differs"))
