@@ -41,9 +41,9 @@ def q_company_search(spark, sf_dir):
 
 
 # ---- D5 D12 -----------------------------------------------------------------
-def _auth(spark, sf_dir):
+def _auth(spark, sf_dir, *columns):
     p, r = standins.registers(spark, sf_dir)
-    return materialize(consolidate.authoritative(p, r, with_ids=True, sort=False))
+    return consolidate.authoritative(p, r, with_ids=True, sort=False, columns=(*DIMENSIONS, *columns))  # written as it is numbered
 
 
 _CELLS = " UNION ALL ".join(
@@ -53,7 +53,7 @@ _CELLS = " UNION ALL ".join(
 @register("metric_lineage", f"""WITH {O.linkage_cte()}
 SELECT dimension, valor, project_row_id, source_file, source_sheet, source_row FROM ({_CELLS}) WHERE has_benefits""")
 def q_metric_lineage(spark, sf_dir):
-    auth = _auth(spark, sf_dir)
+    auth = _auth(spark, sf_dir, "has_benefits", "source_file", "source_sheet", "source_row")
     bitmaps = lineage.cell_bitmaps(auth, DIMENSIONS, only=F.col("has_benefits"))
     return lineage.rows_behind(bitmaps, auth)
 
