@@ -13,16 +13,21 @@ Documents are range-partitioned by doc_id, so ``(part, row)`` is ascending doc_i
 
 from __future__ import annotations
 
+import codecs
 import functools
 import hashlib
 import json
 import os
+import re
 import sys
 import uuid
 import zlib
 from array import array
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,34 +38,71 @@ from regfuse.session import checkpoint_dir
 END_ID = 0
 BLOCK_BYTES = 1 << 20
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_IDS, DICTIONARY_BYTES = 1000, 8192, 1024, 32 << 10
-BATCH_TEXTS = 64  # texts or words given to the library at once
-ROWS = 256  # texts encoded, and written to Arrow, at once
+BATCH_TEXTS = 64  # texts given to the library at once
+ROWS = 1024  # texts encoded, and written to Arrow, at once
 
 
 class _Pieces(dict):
-    """Ids (little-endian unsigned 32-bit) of words after a space, remembered; bounded, and filled a batch at a time."""
-
-    limit = 300_000
-
-    def __init__(self, encode):
-        self.encode = encode
-        self.stops = dict(zip(".,;:!?", encode(list(".,;:!?")), strict=True))
-
-    def learn(self, words: set[str]) -> None:
-        new = {w for w in words if w not in self}
-        if len(self) + 2 * len(new) > self.limit:
-            self.clear()
-            new = set(words)
-        # letters and one stop after them are separate pieces: such a word's ids are the letters' and the stop's
-        stopped = {w for w in new if w[-1:] in self.stops and w[:-1].isalpha()}
-        plain = [w for w in (new - stopped) | {w[:-1] for w in stopped} if w not in self]
-        self.update(zip(plain, self.encode([" " + w for w in plain]), strict=True))
-        self.update((w, self[w[:-1]] + self.stops[w[-1]]) for w in stopped)
+    """Ids (little-endian unsigned 32-bit) of words after a space, and after a newline that the word begins with, remembered
+    in two halves: when the newer one is full the older one goes, so memory is bounded and frequent words stay.
+
+    Words of letters that take two bytes at most, digits and ASCII signs are cut into pieces here, as byte-level BPE cuts
+    them, and the library's model gets each piece; it cuts all others itself."""
+
+    limit, longest = 600_000, 64
+    letters = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+    plain = re.compile("[!-&(-~À-ÖØ-öø-ɏ]*")  # without an apostrophe, which may begin a piece of its own with letters
+    cut = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+|[!-/:-@[-`{-~]+")
+
+    def __init__(self, tokenizer, encode):
+        self.tokenize, self.encode, self.older = tokenizer.model.tokenize, encode, {}
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        # the character by which the model knows each byte
+        self.written = "".join(chr(256 + others.index(b)) if b in others else chr(b) for b in range(256))
+        self.newline = self.piece("\n")
+        self.stops = {c: self.piece(c) for c in ".,;:!?"}
+
+    def piece(self, text: str) -> bytes:
+        return _bytes([t.id for t in self.tokenize(codecs.charmap_decode(text.encode(), "strict", self.written)[0])])
+
+    def made(self, word: str) -> bytes:
+        if word[:1] == "\n":
+            if not self.plain.fullmatch(word, 1):
+                return self.newline + self.encode([word[1:]])[0]
+            return self.newline + b"".join(map(self.piece, self.cut.findall(word)))
+        if not self.plain.fullmatch(word):
+            return self.encode([" " + word])[0]
+        first, *rest = self.cut.findall(word) or [""]
+        return b"".join(map(self.piece, [" " + first, *rest]))
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if self.letters.fullmatch(word):  # most words
+                ids = self.piece(" " + word)
+            elif word[-1:] in self.stops and self.letters.fullmatch(word[:-1]):
+                known = word[:-1] in self or word[:-1] in self.older
+                ids = self[word[:-1]] + self.stops[word[-1]]
+                if not known:  # a rare word is remembered once
+                    return ids
+            else:
+                ids = self.made(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.limit // 2:
+                self.older = self.copy()
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
 
 
 def _splits_at_spaces(tokenizer_json: str) -> bool:
-    """Byte-level BPE whose words carry their leading space: a text's ids are those of its first word and of each later
-    word after its space, one after the other, provided that no two spaces meet."""
+    """Byte-level BPE whose words carry their leading space: a text's ids are those of its words, each with the space or
+    newline before it, one after the other, where ``_RUN`` finds nothing."""
     kind = json.loads(tokenizer_json)
     before = kind.get("pre_tokenizer") or {}
     return (
@@ -69,6 +111,18 @@ def _splits_at_spaces(tokenizer_json: str) -> bool:
     )
 
 
+# white space between two others, or last and after another: there a space or newline need not begin a piece
+_SWAPPED = sys.byteorder == "big"
+_RUN = re.compile(r"\s[ \n](?:\s|\Z)")
+
+
+def _bytes(ids: list[int]) -> bytes:
+    ids = array("I", ids)  # four bytes an id
+    if _SWAPPED:
+        ids.byteswap()
+    return ids.tobytes()
+
+
 @functools.lru_cache(maxsize=1)
 def _encoder(tokenizer_json: str):
     """texts -> for each the bytes of its ids and the end id.  ``forget`` of the result drops the words it remembers."""
@@ -83,43 +137,28 @@ def _encoder(tokenizer_json: str):
     def library(texts: list[str]) -> list[bytes]:
         out = []
         for i in range(0, len(texts), BATCH_TEXTS):
-            for e in tokenizer.encode_batch_fast(texts[i : i + BATCH_TEXTS], add_special_tokens=False):
-                ids = array("I", e.ids)  # four bytes an id
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                out.append(ids.tobytes())
+            out += [_bytes(e.ids) for e in tokenizer.encode_batch_fast(texts[i : i + BATCH_TEXTS], add_special_tokens=False)]
         return out
 
     if not _splits_at_spaces(tokenizer_json):
         whole = lambda texts: [x + end for t in texts for x in library([t])]
         whole.forget = lambda: None
         return whole
-    pieces, starts = _Pieces(library), {}
+    pieces = _Pieces(tokenizer, library)
 
     def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if "  " in text or any(t in text for t in added):
-                out.append(library([text])[0] + end)
-                continue
-            first, *rest = text.split(" ")
-            words = set(rest)
-            if len(words) > pieces.limit // 4:  # an exceptional text is encoded whole, so that memory stays bounded
-                out.append(library([text])[0] + end)
-                continue
-            pieces.learn(words)
-            if first not in starts:
-                if len(starts) >= pieces.limit // 4:
-                    starts.clear()
-                starts[first] = library([first])[0] if first else b""
-            out.append(b"".join([starts[first], *map(pieces.__getitem__, rest), end]))
-        return out
-
-    def forget():
-        pieces.clear()
-        starts.clear()
-
-    encode.forget = forget
+        begun = ["\n" + t for t in texts]  # so that the first word is one after a newline
+        odd = [_RUN.search(b) is not None or any(t in b for t in added) for b in begun]
+        # the words of all the other texts: each different one is looked up once
+        words = pc.split_pattern(pa.array([b.replace("\n", " \n")[1:] for b, o in zip(begun, odd, strict=True) if not o], pa.large_string()), " ")
+        coded = words.flatten().dictionary_encode()
+        ids = pa.array(map(pieces.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[words.offsets.to_numpy()].tolist() if len(words) else [0]
+        data, skip = memoryview(ids.buffers()[2] or b""), len(pieces.newline)
+        plain = (bytes(data[x + skip : y]) for x, y in pairwise(ends))
+        return [(library([t])[0] if o else next(plain)) + end for t, o in zip(texts, odd, strict=True)]
+
+    encode.forget = pieces.forget
     return encode
 
 
@@ -227,14 +266,18 @@ def index_of(spark: SparkSession, path: str) -> DataFrame:
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """Every document of the store: part, row, doc_id, n_tokens, ids (little-endian unsigned 32-bit integers)."""
+    blocks, unpacked = _stored(spark, path)
+    return blocks.mapInArrow(unpacked, "part int, row bigint, doc_id bigint, n_tokens bigint, ids binary")
+
+
+def _stored(spark: SparkSession, path: str):
+    """The store's blocks with their index rows, and what unpacks them."""
     small_batches(spark)  # a block row is about 1 MB
     dictionary = {r.dict_hash: bytes(r.dictionary) for r in spark.read.parquet(f"{path}/dictionary").collect()}
     laid = spark.read.parquet(f"{path}/laid")
     blocks = laid.where("bytes is not null").select("part", "block", "dict_hash", "bytes")
     index = index_of(spark, path).groupBy("part", "block").agg(F.collect_list(F.struct("offset", "length", "row", "doc_id", "n_tokens")).alias("docs"))
-    return blocks.join(index, ["part", "block"]).mapInArrow(
-        _unpacked(dictionary), "part int, row bigint, doc_id bigint, n_tokens bigint, ids binary"
-    )
+    return blocks.join(index, ["part", "block"]), _unpacked(dictionary)
 
 
 def _unpacked(dictionary: dict[str, bytes]):
@@ -273,9 +316,10 @@ def _sums(batches):
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """Per stored document, from its decompressed ids: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32."""
-    read = written(
-        read_store(spark, path).mapInArrow(_sums, "part int, row bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint")
-    )
+    blocks, unpacked = _stored(spark, path)
+    # the sums are made where the ids are, which need not leave the task for them
+    sums = blocks.mapInArrow(lambda batches: _sums(unpacked(batches)), "part int, row bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint")
+    read = written(sums)
     parts = read.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))  # a row per partition

@@ -62,3 +62,22 @@ def test_special_tokens_as_the_library_does(spark, encode):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert T.encode_documents(df, tokenizer_json()).count() == 0
+
+
+def test_white_space_and_signs_as_the_library_does(encode):
+    texts = ["", " ", "\n", "\n\n", " \n", "\n ", "a", " a", "\na", "a\n", "a ", "a\n\n", "a\n\nb", "a\n\n\nb", "a \nb", "a\n b", "a  b", "a\n\n b"]
+    texts += ["a\r\nb", "a\r\n\r\nb", "a\t b", "a\t\n\tb\t", "a\u00a0 b", "a \u3000b", "a\u2028\nb", "\x1c \n", "a\x00b \x7f\xad c"]
+    texts += ["it's 's ' '' don't.", "été, Élan. naïve×÷", "ß\nÀ: x2y 12a3 (b) c$$$ d_e .,%%% \"q\"", "日本語 text", "e\u0301 \u0250a ǅ½²"]
+    texts += ["w" * 100 + " " + "w" * 100, "<|endoftext|>\n\na", "a. b, c; D:\nE! f? g.\n\nH"]
+    made = T._encoder(tokenizer_json())
+    assert [np.frombuffer(x, "<u4").tolist() for x in made(texts)] == [encode(t) for t in texts]
+
+
+def test_rare_words_do_not_push_out_frequent_ones(encode, monkeypatch):
+    monkeypatch.setattr(T._Pieces, "limit", 20)
+    made = T._encoder.__wrapped__(tokenizer_json())
+    calls = []
+    monkeypatch.setattr(T._Pieces, "piece", lambda self, text, piece=T._Pieces.piece: (calls.append(text), piece(self, text))[1])
+    texts = [f"and then{chr(97 + i)} comes" for i in range(26)]
+    assert [np.frombuffer(made([t])[0], "<u4").tolist() for t in texts] == [encode(t) for t in texts]
+    assert calls.count(" comes") == 1 and len(calls) == 28
