@@ -221,7 +221,11 @@ def _aligned(threshold: float, penalty: float):
                 needle = items[item]
                 reach = _play(len(needle), threshold, penalty)
                 start = max(0, low - reach)
-                score, end = align(needle, words[start : max(0, high + len(needle) + reach)], penalty)
+                around = words[start : max(0, high + len(needle) + reach)]
+                # each of the item's words scores one at most, and none if it is not around
+                if np.isin(needle, around).sum() < threshold * len(needle) - 1e-6:
+                    continue
+                score, end = align(needle, around, penalty)
                 share = score / len(needle)
                 if share >= threshold:
                     out.append((doc, item, share, start + end))

@@ -1,6 +1,7 @@
 """Decontamination against alignment of all pairs."""
 
 import numpy as np
+import pyarrow as pa
 
 from regfuse.llm import decontaminate as D
 
@@ -116,3 +117,13 @@ def test_empty_tables(spark):
     assert D.contaminated(d.limit(0), b).count() == 0
     assert D.contaminated(d, b.limit(0)).count() == 0
     assert [tuple(r) for r in D.contaminated(d, b).collect()] == [(1, 1, 1.0, 5)]
+
+
+def test_windows_with_too_few_of_the_words_are_not_aligned(monkeypatch):
+    calls = []
+    monkeypatch.setattr(D, "align", lambda *a, align=D.align: (calls.append(a), align(*a))[1])
+    item = "one two three four five six seven eight"
+    texts = ["one two three a b c d e f", "x one two three four y z", "one x two y three z four", "four three two one"]
+    columns = {"doc": [1, 2, 3, 4], "item": [7] * 4, "low": [0] * 4, "high": [1] * 4, "text": texts, "item_text": [item] * 4}
+    found = [r for b in D._aligned(0.5, 0.5)([pa.RecordBatch.from_pydict(columns)]) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["score"]) for r in found] == [(2, 0.5)] and len(calls) == 3
