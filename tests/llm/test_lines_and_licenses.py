@@ -1,5 +1,9 @@
 """Line dedup and licence scan: cases, edge rows, and the SQL."""
 
+import re
+
+from pyspark.sql import functions as F
+
 from regfuse.llm import licenses, line_dedup
 
 NOTICE = "Accept our cookies to read on please"
@@ -51,6 +55,28 @@ def test_rows_that_share_an_id_are_told_apart_by_their_texts(spark):
     assert (7, "x", 2, 1) in got and (None, f"z\n{NOTICE}", 2, 0) in got and (1, "first own line", 2, 1) in got
 
 
+def test_masked_lines(spark):
+    def expected(line):  # token by token
+        tokens = [t for t in re.split(r"[ \t\n\x0b\f\r]+", line) if t]
+        return " ".join("<*>" if re.search(r"[0-9@]|://", t) else t for t in tokens)
+
+    raw = [
+        "", " \t ", "plain words", "  two  spaces\tand tab\r", "at 10:45 by ann@x.org", "see http://x.org/a now", "a:b c:/d :// e: /f", "x1 2y :z: ::// é5é \u00a07",
+        "a://b://c d", "9", "<*> 1", "note: //", "é ü\u2003@", "a" * 300_000, "a" * 300_000 + "1", ":" * 300_000, "b " * 50_000 + "7",
+    ]
+    df = spark.createDataFrame([(x,) for x in raw], "raw string")
+    got = df.select("raw", line_dedup.masked_line(F.col("raw")).alias("m"), line_dedup.worded(F.col("raw")).alias("w")).collect()
+    assert {r.raw: r.m for r in got} == {x: expected(x) for x in raw}
+    assert all(r.w == (r.m != "") for r in got)
+
+
+def test_lines_are_masked_once(spark):
+    docs = line_dedup.keyed(spark.createDataFrame([(1, "a b 1")], "doc_id bigint, text string"), "doc_id", "text")
+    plan = line_dedup.lines_of(docs)._jdf.queryExecution().executedPlan().toString()
+    filters = [p for p in plan.splitlines() if "Filter" in p]
+    assert filters and not any("regexp_replace" in p or "RLIKE" in p for p in filters) and "lambda" not in plan
+
+
 def found(spark, rows):
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, digest string, license_id string")
     return sorted((tuple(r) for r in licenses.scan(df).collect()), key=repr)
