@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from regfuse.operators import consolidate, deck, linkage, rowid, versions
+from regfuse.functions import text as tx
+from regfuse.operators import consolidate, deck, linkage, reports, rowid, versions
 from regfuse.operators.register import standardize
 from regfuse.plans import catalog, queries_deck, queries_forms, queries_linkage
 from regfuse.session import ensure_conf, materialize
@@ -137,3 +138,19 @@ def test_published_order_writes_the_table_once(spark, monkeypatch):
     seen = recorded(monkeypatch, queries_linkage)
     catalog.QUERIES["published_order"](ensure_conf(spark), SF)
     assert len(seen) == 1 and set(seen[0]) == {"published", "row_name", "place"}, seen
+
+
+@pytest.mark.parametrize("wanted", [lambda a: reports.summary_by_group(a), lambda a: a.select("ministerio_evaluador", "monto_ui_presentado"), reports.linkage_audit])
+def test_both_grains_read_one_rollup_whatever_is_wanted(plain, wanted):
+    """Recommended rows are read twice: for the rollup that both grains share, and for those without a presented key."""
+    pres, rec = registers(plain)
+    plan = plan_of(wanted(consolidate.authoritative(pres, rec, with_ids=False, sort=False)))
+    assert "ReusedExchange" in plan
+    assert len(re.findall(r"Scan ExistingRDD\[k#\d+,t#\d+,o#\d+,reg#", plan)) == 2
+
+
+def test_numbers_and_other_texts_keep_their_digits(spark):
+    raw = ["12", "007", "-5", "+5", " 5", "12.5", "1e3", "9223372036854775807", "9223372036854775808", "12.345.678-9", "0", "-0", "", "-", "abc", "١", None]
+    df = spark.createDataFrame([(x,) for x in raw], "x string")
+    expected = [None if x is None else re.sub("[^0-9]", "", x) or None for x in raw]
+    assert [r[0] for r in df.select(tx.normalize_rut("x")).collect()] == expected
