@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from regfuse.operators import consolidate
 from regfuse.operators.register import standardize
-from regfuse.session import checkpoint_dir
+from regfuse.plans import catalog
+from regfuse.session import checkpoint_dir, ensure_conf
 
+SF = "/root/testdata/sf0.001"
 CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
@@ -104,3 +106,13 @@ def test_sort_keeps_values_that_do_not_follow_from_others(spark):
     assert got.collect() == sorted(auth.collect(), key=order)
     below = got._jdf.queryExecution().optimizedPlan().toString().split("Sort [")[1]
     assert below.count("struct(v, ") >= 4, below  # what follows from others is not exchanged
+
+
+def test_published_order_leaves_its_rows_only(spark):
+    at = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(at))
+    out = catalog.QUERIES["published_order"](ensure_conf(spark), SF)
+    assert [f"{at}/{d}" for d in os.listdir(at) if d not in before] == [out.materialized_path.removeprefix("file:")]  # five tables before
+    rows = out.collect()
+    for name in {x.published for x in rows}:
+        assert sorted(x.place for x in rows if x.published == name) == list(range(1, sum(x.published == name for x in rows) + 1))
